@@ -310,7 +310,7 @@ def page_contacts(html: str, url: str, given: frozenset[str]) -> list[tuple]:
     heads = ("h2", "h3", "h4", "h5")
 
     def linked(node: Node) -> list[str]:
-        return [m for a in [node, *node.elements("a")] if a.tag == "a" and a.attrs.get("href", "")[:7].lower() == "mailto:" for m in mails_in(unquote(a.attrs["href"]))]
+        return [m for a in node.elements("a") if a.attrs.get("href", "")[:7].lower() == "mailto:" for m in mails_in(unquote(a.attrs["href"]))]
 
     def accept(node: Node, mail: str, method: str) -> None:
         n, evidence, people = node, "", {}
