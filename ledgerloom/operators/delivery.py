@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.session import checkpoint
+
 
 def ranked(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """rows with their rank from 1 in a total order.
 
-    Rows are range-sorted; within a range they are numbered, and ranges are
-    offset by the sizes of those before, one number a range. The order must be
-    total, or ranks of ties may differ between runs.
+    Rows are range-sorted and checkpointed, so ranges stand; a row's rank is its
+    place in its range after the rows of the ranges before, whose sizes are one
+    number a range. The order must be total, or ranks of ties may differ
+    between runs.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = {f"_o{n}": c for n, c in enumerate(order)}
-    # the key decides the range, so the same rows meet in the same range in both branches
-    ranged = rows.withColumns(keys).repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id())
-    inside = ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
+    ranged = checkpoint(rows.withColumns(keys).repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop(*keys))
+    placed = ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
-    starts = inside.groupBy("_part").agg(F.max("_row").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_part", "_start")
-    return inside.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_row")).drop("_part", "_row", "_start", *keys)
+    starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_part", "_start")
+    return placed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_part", "_at", "_start")
 
 
 def export_rows(contacts: DataFrame, schools: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -47,3 +47,11 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
     return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-")
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
