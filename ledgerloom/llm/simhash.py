@@ -29,7 +29,7 @@ from .components import connected_components
 SEED = 42
 LEAST_LEAF, MOST_LEAF, PREFIX_BITS = 2048, 1 << 19, 10
 SMALL = 48  # node pairs with at most so many leaf pairs are compared directly
-CHUNK = 1 << 18
+CHUNK = 1 << 17
 
 
 # --- fingerprints -----------------------------------------------------------
@@ -115,7 +115,7 @@ def trie_links(keys: np.ndarray, split: int | None, bits: int, budget: int, sett
             stack.append((depth + 1, *(x[at : at + CHUNK] for x in nxt)))
 
 
-def _blocks(cut: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _blocks(cut: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of node pairs with about most leaf pairs each."""
     s, n = 0, len(cut) - 1
     while s < n:
@@ -371,7 +371,7 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
 
     n = max(64, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     banded = nodes.select("node", F.posexplode(F.arrays_zip("keys", "checks")).alias("band", "kc")).select("node", "band", F.col("kc.keys").alias("key"), F.col("kc.checks").alias("check"))
-    routed = route(banded, "key", BAND_BITS, BAND_BUDGET, leaves=8, band="band").select("node", "key", "check", "_task", "_side")
+    routed = route(banded, "key", BAND_BITS, BAND_BUDGET, leaves=1, band="band").select("node", "key", "check", "_task", "_side")
     found = routed.repartition(n, "_task").sortWithinPartitions("_task").mapInArrow(run, f"u {nodes.schema['node'].dataType.simpleString()}, v {nodes.schema['node'].dataType.simpleString()}")
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
