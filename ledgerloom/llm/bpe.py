@@ -23,7 +23,7 @@ from .common import prepare
 
 #: The fixed split pattern of this vocabulary family.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MOST_WORDS = 400_000  # remembered pre-tokens; beyond, the memory starts anew
+MOST_WORDS = 150_000  # remembered pre-tokens; beyond, the memory starts anew
 
 
 def _byte_letters() -> dict[str, int]:

@@ -17,7 +17,7 @@ from .common import texts
 class HashCache(dict):
     """XXH64 of byte strings; forgets all when it grows too large, which changes no result."""
 
-    MOST = 500_000
+    MOST = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
@@ -58,7 +58,9 @@ def fit(sample: DataFrame, extract: Callable, train: Callable):
             values += [np.frombuffer(x, np.float32) for x in b.column(2).to_pylist()]
             h += b.column(3).to_pylist()
         order = np.argsort(np.array(h, np.int64), kind="stable").tolist()  # rows may arrive in any order
-        model = train(np.array([ys[k] for k in order], np.int64), Sparse([at[k] for k in order], [values[k] for k in order]))
+        rows = Sparse([at[k] for k in order], [values[k] for k in order])
+        at.clear(), values.clear()
+        model = train(np.array([ys[k] for k in order], np.int64), rows)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     rows = sample.mapInArrow(features, "y int, at binary, value binary, h long").repartition(1).mapInArrow(one, "model binary").collect()
@@ -66,31 +68,55 @@ def fit(sample: DataFrame, extract: Callable, train: Callable):
 
 
 class Sparse:
-    """Sparse rows with products in both directions."""
+    """Sparse rows with products in both directions, taken in blocks so that temporaries stay small."""
+
+    BLOCK = 1 << 20
 
     def __init__(self, at: list[np.ndarray], values: list[np.ndarray]):
-        self.n = len(at)
-        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(x) for x in at])
+        self.ends = np.cumsum([0, *map(len, at)], dtype=np.int64)
         self.at = np.concatenate(at) if at else np.empty(0, np.int32)
         self.value = np.concatenate(values) if values else np.empty(0, np.float32)
 
+    @property
+    def n(self) -> int:
+        return len(self.ends) - 1
+
+    @property
+    def row(self) -> np.ndarray:
+        """The row of every entry."""
+        return np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.ends))
+
+    def blocks(self):
+        """(first row, last row, first entry, last entry) of runs of rows."""
+        a = 0
+        while a < self.n:
+            b = max(a + 1, int(np.searchsorted(self.ends, self.ends[a] + self.BLOCK, side="right")) - 1)
+            yield a, b, int(self.ends[a]), int(self.ends[b])
+            a = b
+
+    def local(self, a: int, b: int) -> np.ndarray:
+        return np.repeat(np.arange(b - a), np.diff(self.ends[a : b + 1]))
+
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=self.value * w[self.at], minlength=self.n)
+        out = [np.bincount(self.local(a, b), weights=self.value[s:e] * w[self.at[s:e]], minlength=b - a) for a, b, s, e in self.blocks()]
+        return np.concatenate(out) if out else np.empty(0)
 
     def back(self, r: np.ndarray, size: int) -> np.ndarray:
-        return np.bincount(self.at, weights=self.value * r[self.row], minlength=size)
+        out = np.zeros(size)
+        for a, b, s, e in self.blocks():
+            out += np.bincount(self.at[s:e], weights=self.value[s:e] * r[a:b][self.local(a, b)], minlength=size)
+        return out
 
     def rows(self, keep: np.ndarray) -> Sparse:
-        out = Sparse([], [])
-        hit = keep[self.row]
-        new = np.cumsum(keep) - 1
-        out.n, out.row, out.at, out.value = int(keep.sum()), new[self.row[hit]].astype(np.int32), self.at[hit], self.value[hit]
+        out, hit = Sparse([], []), np.repeat(keep, np.diff(self.ends))
+        out.ends = np.cumsum(np.concatenate(([0], np.diff(self.ends)[keep])))
+        out.at, out.value = self.at[hit], self.value[hit]
         return out
 
     def scaled(self, by: np.ndarray) -> Sparse:
-        out = Sparse([], [])
-        hit = by[self.at] != 0
-        out.n, out.row, out.at = self.n, self.row[hit], self.at[hit]
+        out, hit = Sparse([], []), by[self.at] != 0
+        out.ends = np.concatenate(([0], np.cumsum(hit)))[self.ends]
+        out.at = self.at[hit]
         out.value = (self.value[hit] * by[out.at]).astype(np.float32)
         return out
 

@@ -48,8 +48,9 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def log_odds(y: np.ndarray, x: Sparse) -> np.ndarray:
     """Smoothed log-odds of each feature between toxic and other texts; 0 where it is rare or no sign of toxicity, so that much other text hides nothing."""
-    toxic = np.bincount(x.at[y[x.row] == 1], minlength=SIZE).astype(float)
-    clean = np.bincount(x.at[y[x.row] == 0], minlength=SIZE).astype(float)
+    both = np.bincount(x.at, minlength=SIZE).astype(float)
+    toxic = np.bincount(x.at[np.repeat(y == 1, np.diff(x.ends))], minlength=SIZE).astype(float)
+    clean = both - toxic
     pos, neg = max(1, (y == 1).sum()), max(1, (y == 0).sum())
     r = np.log((toxic + 0.5) / (pos + 1)) - np.log((clean + 0.5) / (neg + 1))
     return np.where((toxic + clean >= LEAST_SEEN) & (r >= LEAST_ODDS), r, 0.0)
@@ -57,8 +58,7 @@ def log_odds(y: np.ndarray, x: Sparse) -> np.ndarray:
 
 def grades(y: np.ndarray, x: Sparse, odds: np.ndarray) -> np.ndarray:
     """0 for other texts; toxic ones 1, or 2 where the share of strongly toxic features is above the median of toxic texts."""
-    toxic = np.bincount(x.row, weights=x.value * (odds[x.at] >= 2.5), minlength=x.n)
-    share = toxic / np.maximum(1, np.bincount(x.row, weights=x.value, minlength=x.n))
+    share = x.dot((odds >= 2.5).astype(float)) / np.maximum(1, x.dot(np.ones(SIZE)))
     return np.where(y == 1, 1 + (share > np.median(share[y == 1])), 0) if (y == 1).any() else np.zeros(len(y), np.int64)
 
 
@@ -91,7 +91,7 @@ def train(y: np.ndarray, x: Sparse) -> dict:
 class Scorer:
     """Scores of texts; a word's score is remembered, bounded."""
 
-    MOST = 400_000
+    MOST = 100_000
 
     def __init__(self, model: dict):
         self.w, self.theta, self.known = model["w"].tolist(), model["theta"], {}
