@@ -342,11 +342,34 @@ def closest_forest(links: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np
     return i[keep], j[keep], d[keep]
 
 
+FORESTS = 3
+
+
+def closest_forests(links: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """FORESTS disjoint minimum spanning forests: under FORESTS links a text, all links of small groups.
+
+    The check words only estimate similarity; several forests keep a group
+    connected although some of their links fail the exact check.
+    """
+    i, j, d = links
+    code = np.unique((i.astype(np.int64) << 32) | j, return_index=True)[1]
+    i, j, d = i[code], j[code], d[code]
+    kept = []
+    for _ in range(FORESTS):
+        if not len(i):
+            break
+        f = closest_forest((i, j, d))
+        kept.append(f)
+        rest = ~np.isin((i.astype(np.int64) << 32) | j, (f[0].astype(np.int64) << 32) | f[1])
+        i, j, d = i[rest], j[rest], d[rest]
+    return tuple(np.concatenate(x) for x in zip(*kept, strict=True))
+
+
 def candidate_links(nodes: DataFrame) -> DataFrame:
     """Distinct candidate pairs (u, v) of texts from nodes (node, keys, checks).
 
-    Each band is a trie self-join of its own; a task keeps only a minimum
-    spanning forest of its candidates by the check word's distance.
+    Each band is a trie self-join of its own; a task keeps only a few minimum
+    spanning forests of its candidates by the check word's distance.
     """
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,10 +386,10 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
                     held.append((i[near], j[near], d[near]))
                     size += int(near.sum())
                     if size > 1 << 21:
-                        held = [closest_forest(tuple(map(np.concatenate, zip(*held, strict=True))))]
+                        held = [closest_forests(tuple(map(np.concatenate, zip(*held, strict=True))))]
                         size = len(held[0][0])
             if held:
-                i, j, _ = closest_forest(tuple(map(np.concatenate, zip(*held, strict=True))))
+                i, j, _ = closest_forests(tuple(map(np.concatenate, zip(*held, strict=True))))
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), names.take(pa.array(j))], names=["u", "v"])
 
     n = max(64, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
