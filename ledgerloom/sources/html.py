@@ -15,6 +15,7 @@ from html.parser import HTMLParser
 from urllib.parse import unquote, urljoin, urlsplit
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,6 +122,7 @@ _TITLED = re.compile(rf"(?<![A-Za-z0-9_])(?:{P.TITLES})\.", re.I)
 _FRONT = re.compile(rf"^(?:(?:{P.TITLES})\.?\s+)+", re.I)
 _PLAIN = re.compile(r"^[^\s@]+@[^\s@]+\.[^\s@]+$")
 _BATCH_MAIL = re.compile(r"[A-Z0-9.!#$%&'*+/=?^_`{|}~-]+@[A-Z0-9.-]+\.[A-Z]{2,}", re.I | re.A)
+_RUN = regex.compile(r"(?<!\p{L})(?:\p{Lu}[\p{L}'’-]+\s+){1,3}\p{Lu}[\p{L}'’-]+")
 _ROLES = re.compile(P.BATCH_ROLES, re.I)
 _CLASSIC_ROLES = [(re.compile(p, re.I), role) for p, role in P.CLASSIC_ROLES]
 
@@ -168,7 +170,7 @@ def names_in(text: str, given: frozenset[str]) -> dict[str, tuple[str, str, str]
     out = {}
     for line in re.split(r"[\n\r;|]+", text):
         whole = split_name(line, given)
-        runs = [line] if whole else [m.group() for m in re.finditer(r"(?<![^\W\d_])(?:[^\W\d_a-zà-ž][\w'’-]+\s+){1,3}[^\W\d_a-zà-ž][\w'’-]+", line)]
+        runs = [line] if whole else _RUN.findall(line)
         for r in runs:
             if p := split_name(r, given):
                 out[fold(f"{p[0]}|{p[1]}")] = p
