@@ -285,9 +285,9 @@ def array_toolkit(spark, sf):
     )
 
 
-@query("SELECT l_shipdate AS day, count(*) AS n FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS l_shipdate, l_suppkey FROM lineitem WHERE l_suppkey % 2 = 0 EXCEPT SELECT CAST(l_shipdate AS DATE), l_suppkey FROM lineitem WHERE l_returnflag = 'R') GROUP BY 1")
+@query("SELECT l_shipdate AS day, count(*) AS n FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS l_shipdate, l_suppkey FROM lineitem WHERE l_linestatus = 'O' EXCEPT SELECT CAST(l_shipdate AS DATE), l_suppkey FROM lineitem WHERE l_returnflag = 'R') GROUP BY 1")
 def set_difference(spark, sf):
     """U2, U3."""
-    li = read(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"), "l_suppkey", "l_returnflag")
-    left, right = (x.select("day", "l_suppkey").distinct() for x in (li.filter("l_suppkey % 2 = 0"), li.filter("l_returnflag = 'R'")))
+    li = read(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"), "l_suppkey", "l_returnflag", "l_linestatus")
+    left, right = (x.select("day", "l_suppkey").distinct() for x in (li.filter("l_linestatus = 'O'"), li.filter("l_returnflag = 'R'")))
     return left.join(right, ["day", "l_suppkey"], "left_anti").groupBy("day").agg(F.count(F.lit(1)).alias("n"))

@@ -12,14 +12,14 @@ _STATUS = """school_rows AS (SELECT s.school AS school, CASE WHEN sc.school IS N
   WHEN profiles > 0 AND profiles_checked THEN 'PROFILE_DIRECTORY_CHECKED' WHEN coalesce(n, 0) > 0 THEN 'SOURCES_SCANNED_COMPLETENESS_UNCONFIRMED' ELSE 'NO_PERSONAL_CONTACTS' END AS status, coalesce(n, 0) AS contacts, sc.website AS website
   FROM fx_school s LEFT JOIN (SELECT school, website, school % 4 AS browser_targets, CAST(school % 5 = 0 AS INT) AS notes FROM fx_school WHERE school % 6 <> 0) sc ON s.school = sc.school
   LEFT JOIN (SELECT school, school % 7 AS profiles, school % 2 = 0 AS profiles_checked FROM fx_school WHERE school % 3 = 1) b ON s.school = b.school
-  LEFT JOIN (SELECT o_custkey AS school, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1) c ON s.school = c.school)"""
+  LEFT JOIN (SELECT o_custkey AS school, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) c ON s.school = c.school)"""
 
 
 def _rows(spark, sf):
     s = read(spark, sf, "fx_school")
     scans = s.filter("school % 6 != 0").selectExpr("school", "website", "school % 4 AS browser_targets", "cast(school % 5 = 0 AS INT) AS notes", "0 AS remaining")
     browsers = s.filter("school % 3 = 1").selectExpr("school", "school % 7 AS profiles", "school % 2 = 0 AS profiles_checked")
-    contacts = read(spark, sf, "orders").filter("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("school"))
+    contacts = read(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("school"))
     return M.school_rows(s.select("school"), scans, browsers, contacts)
 
 
