@@ -31,7 +31,7 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """source, source_size, place, weight, target from (source, source_size), a row a source.
+    """source, source_size, place, weight, budget, target from (source, source_size), a row a source.
 
     Sources by code point, nulls last, weigh 3, 1, 2, repeating, and share 3/2
     of all words; a target stops at twice its source's size and the excess goes
@@ -51,14 +51,15 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         "_left": F.sum("source_size").over(everything) * num - F.coalesce(F.sum(F.col("source_size") * MOST).over(before), F.lit(0)) * den,
         "_weights": F.sum("weight").over(rest) * den,
     })
-    level = level.withColumn("_open", F.col("weight") * F.col("_left") <= F.col("_cap") * F.col("_weights"))
-    first = F.min_by(F.struct("_left", "_weights"), F.struct(F.col("source_size").cast("double") / F.col("weight"), F.col("place"))).alias("_level")
-    shared = level.filter("_open").agg(first)
-    return level.crossJoin(F.broadcast(shared)).select(
+    level = level.withColumn("_open", F.when(F.col("weight") * F.col("_left") <= F.col("_cap") * F.col("_weights"), F.struct(F.col("source_size").cast("double") / F.col("weight"), F.col("place"))))
+    # the first source that does not stop sets the level
+    level = level.withColumn("_level", F.min_by(F.struct("_left", "_weights"), "_open").over(everything))
+    return level.select(
         "source",
         "source_size",
         "place",
         "weight",
+        F.floor(F.sum("source_size").over(everything) * num / den).alias("budget"),
         # least of cap and share: beyond the level's place every source is open
         F.least(F.col("_cap").cast("double"), (F.col("weight") * F.col("_level._left")).cast("double") / F.col("_level._weights").cast("double")).alias("target"),
     )
@@ -89,35 +90,34 @@ def fair_schedule(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     targets = source_targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")))
     in_source = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.withColumn("offset", F.coalesce(F.sum("words").over(in_source), F.lit(0)))
-    placed = offsets.join(F.broadcast(targets), offsets["source"].eqNullSafe(targets["source"])).select(
-        F.coalesce(offsets["source"], F.lit("")).alias("_s"), offsets["source"].isNull().alias("_null"), F.col("bucket").alias("_b"), "offset", "source_size", "target", "place"
+    placed = offsets.join(targets, offsets["source"].eqNullSafe(targets["source"])).select(
+        F.coalesce(offsets["source"], F.lit("")).alias("_s"), offsets["source"].isNull().alias("_null"), F.col("bucket").alias("_b"), "offset", "source_size", "target", "place", "budget"
     )
     keyed = slim.withColumns({"_s": F.coalesce("source", F.lit("")), "_null": F.col("source").isNull(), "_b": F.col("bucket")})
     order = Window.partitionBy("_s", "_null", "_b").orderBy("digest", "size", "crc").rowsBetween(Window.unboundedPreceding, -1)
     started = keyed.withColumn("_before", F.coalesce(F.sum("size").over(order), F.lit(0))).join(placed, ["_s", "_null", "_b"])
-    queued = checkpoint(started.select("_n", "_row", "doc_id", "source", "size", "digest", "source_size", "target", "place", (F.col("offset") + F.col("_before")).alias("start")))
+    queued = checkpoint(started.select("_n", "_row", "doc_id", "source", "size", "digest", "source_size", "target", "place", "budget", (F.col("offset") + F.col("_before")).alias("start")))
 
-    budget = F.broadcast(targets.agg(F.coalesce(F.floor(F.sum("source_size") * SHARE[0] / SHARE[1]), F.lit(0)).alias("budget")))
     packets = queued.filter("size > 0").select(
-        "_n", "digest", "place", "source_size", "target", "size", "start",
+        "_n", "digest", "place", "source_size", "target", "budget", "size", "start",
         F.explode(F.sequence(F.lit(0), F.lit(MOST - 1))).alias("copy"),
     ).withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(PACKET).cast("long"))))
     packets = packets.withColumn("words", F.least(F.lit(PACKET).cast("long"), F.col("size") - F.col("at")))
     done = F.col("copy") * F.col("source_size") + F.col("start") + F.col("at") + F.col("words")
-    packets = packets.select("_n", "words", (done.cast("double") / F.col("target")).alias("finish"), "place", done.alias("done"))
-    return queued.join(_cut(packets, budget), "_n", "left").select("_row", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    packets = packets.select("_n", "words", (done.cast("double") / F.col("target")).alias("finish"), "place", done.alias("done"), "budget")
+    return queued.join(_cut(packets), "_n", "left").select("_row", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def _cut(packets: DataFrame, budget: DataFrame) -> DataFrame:
+def _cut(packets: DataFrame) -> DataFrame:
     """_n, taken: the words of the packets before the range-sorted stream reaches the budget."""
     parts = int(packets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["finish", "place", "done"]
     stream = checkpoint(packets.repartitionByRange(parts, *order).sortWithinPartitions(*order))
     stream = stream.withColumn("part", F.spark_partition_id())
-    sums = stream.groupBy("part").agg(F.sum("words").alias("words"))
+    sums = stream.groupBy("part").agg(F.sum("words").alias("words"), F.max("budget").alias("_budget"))
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a partition
-    sums = sums.withColumn("served", F.coalesce(F.sum("words").over(upto), F.lit(0))).select("part", F.col("words").alias("part_words"), "served")
-    stream = stream.join(F.broadcast(sums), "part").crossJoin(budget).filter("served < budget")
+    sums = sums.withColumn("served", F.coalesce(F.sum("words").over(upto), F.lit(0))).select("part", F.col("words").alias("part_words"), "served", "_budget").filter("served < _budget")
+    stream = stream.drop("budget").join(F.broadcast(sums), "part").withColumnRenamed("_budget", "budget")
     # a range that fits whole needs no order; only the one at the cut is summed up packet by packet
     whole = stream.filter("served + part_words <= budget").select("_n", "words")
     running = F.coalesce(F.sum("words").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
