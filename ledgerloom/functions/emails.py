@@ -64,8 +64,8 @@ def is_freemail(host: Column, policy: str = "batch") -> Column:
 
 def decode_published(c: Column) -> Column:
     """Bracketed words for @ and dot replaced, each on its own."""
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?iu)\s*(\[\s*(at|zavin[aá]č)\s*\]|\(\s*(at|zavin[aá]č)\s*\))\s*", "@")
-    return F.regexp_replace(t, r"(?iu)\s*(\[\s*(dot|tečka)\s*\]|\(\s*(dot|tečka)\s*\))\s*", ".")
+    t = F.regexp_replace(F.coalesce(c, F.lit("")), f"(?iu){P.BATCH_AT}", "@")
+    return F.regexp_replace(t, f"(?iu){P.BATCH_DOT}", ".")
 
 
 def _url_decode(c: Column) -> Column:
@@ -75,8 +75,7 @@ def _url_decode(c: Column) -> Column:
 def normalize_published(c: Column) -> Column:
     """P10: mailto:, query and obfuscation removed; badly encoded or null: ''."""
     t = _url_decode(F.split_part(F.regexp_replace(strip(c), "(?i)^mailto:", ""), F.lit("?"), F.lit(1)))
-    t = F.regexp_replace(t, r"(?iu)\s*(\[at\]|\(at\)|\[zavináč\]|\(zavináč\)|\[zavinac\]|\(zavinac\))\s*", "@")
-    t = F.regexp_replace(t, r"(?iu)\s*(\[dot\]|\(dot\)|\[tečka\]|\(tečka\)|\[tecka\]|\(tecka\))\s*", ".")
+    t = F.regexp_replace(F.regexp_replace(t, f"(?iu){P.PILOT_AT}", "@"), f"(?iu){P.PILOT_DOT}", ".")
     return F.coalesce(F.lower(F.regexp_replace(t, r"\s*@\s*", "@")), F.lit(""))
 
 
@@ -88,13 +87,13 @@ def from_mailto(href: Column) -> Column:
 
 def extract(c: Column) -> Column:
     """Distinct well-formed addresses of a text in their order, after decoding."""
-    found = F.regexp_extract_all(decode_published(c), F.lit("(?i)[A-Z0-9.!#$%&'*+/=?^_`{|}~-]+@[A-Z0-9.-]+[.][A-Z]{2,}"), F.lit(0))
+    found = F.regexp_extract_all(decode_published(c), F.lit(f"(?i){P.BATCH_EMAIL}"), F.lit(0))
     return F.array_distinct(F.filter(F.transform(found, lambda e: F.lower(F.regexp_replace(e, "^[.]+|[.]+$", ""))), lambda e: valid(e, "batch")))
 
 
 def distinct_count(c: Column) -> Column:
     """Distinct addresses in a context, classic pattern."""
-    found = F.regexp_extract_all(c, F.lit("(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,}"), F.lit(0))
+    found = F.regexp_extract_all(c, F.lit(f"(?i){P.CLASSIC_EMAIL}"), F.lit(0))
     return F.size(F.array_distinct(F.transform(found, F.lower))).cast("long")
 
 

@@ -55,7 +55,7 @@ def strip_titles(c: Column, policy: str = "batch") -> Column:
 
 def boundaries(c: Column) -> Column:
     """P20: a blank between a lower-case and an upper-case Czech letter."""
-    return F.regexp_replace(c, "([a-záčďéěíňóřšťúůýž])([A-ZÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ])", "$1 $2")
+    return F.regexp_replace(c, f"([{P.LOWER}])([{P.UPPER}])", "$1 $2")
 
 
 def first_role(c: Column) -> Column:

@@ -167,7 +167,7 @@ def block_reason(c) -> Column:
     return (
         F.when((c("visible_email") != "") & (c("link_email") != "") & (c("visible_email") != c("link_email")), "LINK_TEXT_CONFLICT")
         .when((c("people") != 1) | c("foreign"), "AMBIGUOUS_BLOCK")
-        .when(c("evidence").rlike("(?iu)Primirest|sídlo společnosti|webdesign|tvorba webových"), "EXTERNAL_SERVICE_CONTACT")
+        .when(c("evidence").rlike(f"(?iu){P.SERVICE_WORDS}"), "EXTERNAL_SERVICE_CONTACT")
         .when(emails.is_generic(c("email"), "batch"), "GENERAL_MAILBOX")
     )
 
@@ -176,7 +176,7 @@ def prune_review(review: DataFrame, accepted: DataFrame) -> DataFrame:
     """Review items of accepted mailboxes go unless they tell of a conflict; the last of equal ones stays. F21: nameless noise goes."""
     noise = F.coalesce(F.col("name") == "", F.lit(True)) & F.col("reason").isin("EMAIL_WITHOUT_PERSON", "GENERAL_MAILBOX")
     items = review.filter(~F.coalesce(noise, F.lit(False)))
-    sticky = F.coalesce(F.col("reason"), F.lit("")).rlike("CONFLICT|CHANGED|SHARED|SUPPRESS")
+    sticky = F.coalesce(F.col("reason"), F.lit("")).rlike(P.STICKY_REASONS)
     free = items.filter(F.col("email").isNull() | sticky)
     bound = items.filter(F.col("email").isNotNull() & ~sticky).join(accepted.select("school", "email").distinct(), ["school", "email"], "left_anti")
     merged = free.unionByName(bound.select(*free.columns))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import policy as P
+
 
 def school_status(c) -> Column:
     """The first of seven statuses that fits."""
@@ -59,9 +61,9 @@ def page_flags(html: Column) -> dict[str, Column]:
     title = F.lower(F.concat_ws(" ", F.regexp_extract(html, "(?is)<title[^>]*>(.*?)</title>", 1), F.regexp_extract(html, "(?is)<h1[^>]*>(.*?)</h1>", 1)))
     plain = F.regexp_replace(F.regexp_replace(html, "(?is)<(script|style)[^>]*>.*?</(script|style)>", " "), "(?s)<[^>]+>", " ")
     return {
-        "soft404": title.rlike("404|stránk[au].*(nenalez|nepodařilo)|page not found"),
+        "soft404": title.rlike(P.NOT_FOUND),
         "js_shell": (F.length(F.trim(F.regexp_replace(plain, r"\s+", " "))) < 500) & F.lower(html).contains("<script"),
-        "pagination": html.rlike("(?is)<a\\s[^>]*>[^<]*(další|následující|next|»|›)[^<]*</a>") | html.rlike("(?i)<a\\s[^>]*rel=.next"),
+        "pagination": html.rlike(f"(?is)<a\\s[^>]*>[^<]*({P.NEXT_WORDS})[^<]*</a>") | html.rlike("(?i)<a\\s[^>]*rel=.next"),
         "interactive": html.rlike("(?is)<button[^>]*>[^<]*(zobrazit profil|view profile)") | html.rlike("(?i)aria-expanded=.false"),
     }
 

@@ -70,6 +70,26 @@ CLASSIC_ROLES = (
 )
 BATCH_ROLES = "ředitel(?:ka)?|zástup(?:ce|kyně)|třídní učitel(?:ka)?|učitel(?:ka)?|vychovatel(?:ka)?|asistent(?:ka)? pedagoga|psycholog(?:ka|žka)?|speciální pedagog|sociální pedagog|koordinátor(?:ka)?|metodik(?:čka)?|ekonom(?:ka)?|hospodář(?:ka)?|vedoucí[^\\n]{0,45}|sekretář(?:ka)?"
 
+# Words of blocks that belong to service firms, of pages that are not found, of controls that hide people.
+SERVICE_WORDS = "Primirest|sídlo společnosti|webdesign|tvorba webových"
+NOT_FOUND = "404|stránk[au].*(nenalez|nepodařilo)|page not found"
+NEXT_WORDS = "další|následující|next|»|›"
+STICKY_REASONS = "CONFLICT|CHANGED|SHARED|SUPPRESS"
+
+# Address patterns and spelled-out signs.
+CLASSIC_EMAIL = "[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,}"
+BATCH_EMAIL = "[A-Z0-9.!#$%&'*+/=?^_`{|}~-]+@[A-Z0-9.-]+[.][A-Z]{2,}"
+CLASSIC_HIDDEN = r"([A-Z0-9._%+-]+)\s*(?:\[at\]|\(at\)|\[zavinac\]|\(zavinac\)|zavinac)\s*([A-Z0-9.-]+)\s*(?:\[dot\]|\(dot\)|\[tecka\]|\(tecka\)|tecka)\s*([A-Z]{2,})"
+BATCH_AT = r"\s*(?:\[\s*(?:at|zavin[aá]č)\s*\]|\(\s*(?:at|zavin[aá]č)\s*\))\s*"
+BATCH_DOT = r"\s*(?:\[\s*(?:dot|tečka)\s*\]|\(\s*(?:dot|tečka)\s*\))\s*"
+PILOT_AT = r"\s*(?:\[at\]|\(at\)|\[zavináč\]|\(zavináč\)|\[zavinac\]|\(zavinac\))\s*"
+PILOT_DOT = r"\s*(?:\[dot\]|\(dot\)|\[tečka\]|\(tečka\)|\[tecka\]|\(tecka\))\s*"
+
+# Letters of names and limits of the pairing.
+UPPER = "A-ZÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ"
+LOWER = "a-záčďéěíňóřšťúůýž"
+CONTEXT_CHARS, CONTEXT_LEVELS, NAME_REACH, BLOCK_CHARS = 1200, 8, 160, 950
+
 # Academic titles before and after a name.
 TITLES = "Mgr|Bc|Ing|PhDr|RNDr|JUDr|PaedDr|ThDr|MUDr|MVDr|doc|prof"
 TITLES_BEFORE = "prof|doc|Mgr|MgA|Ing|BcA|Bc|PhDr|RNDr|JUDr|PaedDr|ThDr|MUDr|MVDr|DiS|Dis|M[.]A|Ph[.]D"

@@ -112,16 +112,16 @@ def fold(s: str) -> str:
 
 # --- addresses and names in Python, for the trees -----------------------------
 
-_MAIL = re.compile(r"[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}", re.I | re.A)
-_HIDDEN_MAIL = re.compile(r"([A-Z0-9._%+-]+)\s*(?:\[at\]|\(at\)|\[zavinac\]|\(zavinac\)|zavinac)\s*([A-Z0-9.-]+)\s*(?:\[dot\]|\(dot\)|\[tecka\]|\(tecka\)|tecka)\s*([A-Z]{2,})", re.I | re.A)
-_UPPER, _ANY = "A-ZÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ", "A-Za-zÁČĎÉĚÍŇÓŘŠŤÚŮÝŽáčďéěíňóřšťúůýž"
+_MAIL = re.compile(P.CLASSIC_EMAIL, re.I | re.A)
+_HIDDEN_MAIL = re.compile(P.CLASSIC_HIDDEN, re.I | re.A)
+_UPPER, _ANY = P.UPPER, "A-Za-z" + P.UPPER[3:] + P.LOWER[3:]
 _HINT = re.compile(rf"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))[{_UPPER}][{_ANY}-]+\s+[{_UPPER}][{_ANY}-]+(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))")
 _WORD = rf"[{_UPPER}][{_ANY}]+(?:-[{_UPPER}][{_ANY}]+)?"
 _NAME = re.compile(rf"(?:^|[\s,;:()|])((?:(?:{P.TITLES})\.?\s+)*({_WORD})\s+({_WORD}))(?:$|[\s,;:()|])")
 _TITLED = re.compile(rf"(?<![A-Za-z0-9_])(?:{P.TITLES})\.", re.I)
 _FRONT = re.compile(rf"^(?:(?:{P.TITLES})\.?\s+)+", re.I)
 _PLAIN = re.compile(r"^[^\s@]+@[^\s@]+\.[^\s@]+$")
-_BATCH_MAIL = re.compile(r"[A-Z0-9.!#$%&'*+/=?^_`{|}~-]+@[A-Z0-9.-]+\.[A-Z]{2,}", re.I | re.A)
+_BATCH_MAIL = re.compile(P.BATCH_EMAIL, re.I | re.A)
 _RUN = regex.compile(r"(?<!\p{L})(?:\p{Lu}[\p{L}'’-]+\s+){1,3}\p{Lu}[\p{L}'’-]+")
 _ROLES = re.compile(P.BATCH_ROLES, re.I)
 _CLASSIC_ROLES = [(re.compile(p, re.I), role) for p, role in P.CLASSIC_ROLES]
@@ -139,8 +139,7 @@ def batch_valid(mail: str) -> bool:
 
 def mails_in(text: str) -> list[str]:
     """P12 in Python."""
-    t = re.sub(r"\s*(?:\[\s*(?:at|zavin[aá]č)\s*\]|\(\s*(?:at|zavin[aá]č)\s*\))\s*", "@", text, flags=re.I)
-    t = re.sub(r"\s*(?:\[\s*(?:dot|tečka)\s*\]|\(\s*(?:dot|tečka)\s*\))\s*", ".", t, flags=re.I)
+    t = re.sub(P.BATCH_DOT, ".", re.sub(P.BATCH_AT, "@", text, flags=re.I), flags=re.I)
     return list(dict.fromkeys(m for m in (x.strip(".").lower() for x in _BATCH_MAIL.findall(t)) if batch_valid(m)))
 
 
@@ -183,11 +182,11 @@ def names_in(text: str, given: frozenset[str]) -> dict[str, tuple[str, str, str]
 def context_of(node: Node | None) -> str:
     """The nearest text of the node or its 8 ancestors, up to 1200 characters, that hints at a person; else the last that fits."""
     fallback = ""
-    for _ in range(9):
+    for _ in range(P.CONTEXT_LEVELS + 1):
         if node is None or node.tag == "#root":
             break
         t = squeeze(node.text())
-        if 0 < len(t) <= 1200:
+        if 0 < len(t) <= P.CONTEXT_CHARS:
             fallback = t
             if _HINT.search(t):
                 return t
@@ -235,7 +234,7 @@ def comparable(s: str) -> str:
 
 def names_before(context: str, mail: str, school: str | None) -> list[tuple[str, str]]:
     """Names before the e-mail, their start at most 160 characters (without titles) away."""
-    t = re.sub(f"([a-záčďéěíňóřšťúůýž])([{_UPPER}])", r"\1 \2", context)
+    t = re.sub(f"([{P.LOWER}])([{_UPPER}])", r"\1 \2", context)
     t = re.sub(re.escape(mail), lambda m: f" {mail} ", t, count=1, flags=re.I)
     at = t.lower().find(mail.lower())
     if at < 0:
@@ -250,7 +249,7 @@ def names_before(context: str, mail: str, school: str | None) -> list[tuple[str,
         if whole and comparable(raw) and comparable(raw) in whole:
             continue
         out[comparable(f"{first} {last}")] = (first, last, m.start(), raw)
-    return [(f, n) for f, n, start, raw in sorted(out.values(), key=lambda x: x[2]) if len(prefix) - (start + len(raw)) <= 160]
+    return [(f, n) for f, n, start, raw in sorted(out.values(), key=lambda x: x[2]) if len(prefix) - (start + len(raw)) <= P.NAME_REACH]
 
 
 def pair(mail: str, context: str, kind: str, school: str | None) -> tuple[str, str | None, str | None, str | None, float | None]:
@@ -316,11 +315,11 @@ def page_contacts(html: str, url: str, given: frozenset[str]) -> list[tuple]:
 
     def accept(node: Node, mail: str, method: str) -> None:
         n, evidence, people = node, "", {}
-        for _ in range(8):
+        for _ in range(P.CONTEXT_LEVELS):
             if n is None or n.tag in ("html", "body", "footer", "nav", "#root"):
                 break
             t = readable(n)
-            if len(t) > 950:
+            if len(t) > P.BLOCK_CHARS:
                 break
             if any(m != mail for m in [*mails_in(t), *linked(n)]):
                 evidence, people = t, {}
@@ -345,7 +344,7 @@ def page_contacts(html: str, url: str, given: frozenset[str]) -> list[tuple]:
         reason = (
             "LINK_TEXT_CONFLICT" if shown and href and shown[0] != href[0]
             else "AMBIGUOUS_BLOCK" if len(people) != 1 or any(m != mail for m in mails_in(evidence))
-            else "EXTERNAL_SERVICE_CONTACT" if re.search("Primirest|sídlo společnosti|webdesign|tvorba webových", evidence, re.I)
+            else "EXTERNAL_SERVICE_CONTACT" if re.search(P.SERVICE_WORDS, evidence, re.I)
             else "GENERAL_MAILBOX" if mail.split("@")[0] in P.GENERIC["batch"]
             else None
         )
