@@ -1,7 +1,7 @@
 """Operator 6: toxicity grades by cumulative-link ordinal regression.
 
 Features of a text are its distinct words (lower case, letters and digits) and
-their runs of 4 and 5 characters, hashed; a feature counts the distinct words
+their runs of 4 and 5 bytes, hashed; a feature counts the distinct words
 that have it. Features are scaled by their log-odds on the
 labelled sample. One weight vector is shared by the ordered thresholds:
 ``P(grade > k) = sigmoid(w.x - theta_k)``; the expected severity is the sum of
@@ -13,11 +13,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from math import fsum
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from xxhash import xxh64_intdigest
 
 from .common import prepare, texts
 from .models import Sparse, adam, fit, labelled_sample, sigmoid
@@ -32,9 +32,9 @@ REJECT = 0.5  # a text is toxic from this probability of a grade over 0
 _FIND = re.compile(r"[^\W_]+").findall
 
 
-def word_features(word: str) -> list[int]:
-    runs = {word[k : k + n] for n in RUNS for k in range(len(word) - n + 1)}
-    return [xxh64_intdigest(p.encode("utf-8", "replace"), 11) & (SIZE - 1) for p in (f"={word}", *sorted(runs))]
+def word_features(word: str) -> set[int]:
+    b = word.encode("utf-8", "replace")
+    return {crc32(b"=" + b) & (SIZE - 1), *[crc32(b[k : k + n]) & (SIZE - 1) for n in RUNS for k in range(len(b) - n + 1)]}
 
 
 def distinct_words(text: bytes) -> set[str]:
@@ -91,11 +91,21 @@ def train(y: np.ndarray, x: Sparse) -> dict:
 class Scorer:
     """Scores of texts; a word's score is remembered, bounded."""
 
-    MOST = 100_000
+    MOST = 250_000
+    _shared: dict[int, Scorer] = {}
 
     def __init__(self, model: dict):
         self.w, self.theta, self.known = model["w"].tolist(), model["theta"], {}
 
+    @classmethod
+    def of(cls, model: dict) -> Scorer:
+        """The scorer of a model that a worker's tasks share; only the latest model's is kept."""
+        key = crc32(model["w"].tobytes())
+        if key not in cls._shared:
+            cls._shared.clear()
+            cls._shared[key] = cls(model)
+        return cls._shared[key]
+
     def word(self, w: str) -> float:
         if len(self.known) >= self.MOST:
             self.known.clear()
@@ -126,7 +136,7 @@ def score_toxicity(df: DataFrame, model: dict, id_col: str = "doc_id", text_col:
     shared = df.sparkSession.sparkContext.broadcast(model)  # 1 MB
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Scorer(shared.value)
+        score = Scorer.of(shared.value)
         for batch in rows:
             got = [score(t or b"") for t in texts(batch.column(1))]
             p, s = np.array([g[0] for g in got], float), np.array([g[1] for g in got], float)
@@ -142,7 +152,7 @@ def drop_toxic(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     at = df.columns.index(text_col)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = Scorer(shared.value)
+        score = Scorer.of(shared.value)
         for batch in rows:
             yield batch.filter(pa.array([score(t or b"")[0] < REJECT for t in texts(batch.column(at))], pa.bool_()))
 
