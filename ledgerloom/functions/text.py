@@ -109,5 +109,5 @@ def utc_date(ts: Column) -> Column:
 
 
 def prague_date(ts: Column) -> Column:
-    """P48, batch: the calendar date in Prague of a UTC time."""
-    return F.date_format(F.from_utc_timestamp(ts.cast("timestamp"), "Europe/Prague"), "yyyy-MM-dd")
+    """P48, batch: the calendar date in Prague of a UTC time; the session's time zone does not matter."""
+    return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit("Europe/Prague"), ts.cast("timestamp_ntz")), "yyyy-MM-dd")

@@ -199,8 +199,7 @@ def csv_lines_guarded(spark, sf):
 @query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS utc_day, strftime((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Prague', '%Y-%m-%d') AS prague_day FROM events")
 def prague_date(spark, sf):
     rows = read(spark, sf, "events")
-    ts = F.col("ts").cast("timestamp")
-    return rows.select("event_id", text.utc_date(ts).alias("utc_day"), text.prague_date(ts).alias("prague_day"))
+    return rows.select("event_id", text.utc_date(F.col("ts")).alias("utc_day"), text.prague_date(F.col("ts")).alias("prague_day"))
 
 
 @query("SELECT k, coalesce(regexp_matches(value, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') AND try_cast(value AS DATE) IS NOT NULL, false) AS ok FROM fx_dates", "fx_dates")
