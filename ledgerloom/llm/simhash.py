@@ -30,6 +30,7 @@ SEED = 42
 LEAST_LEAF, MOST_LEAF, PREFIX_BITS = 2048, 1 << 19, 10
 SMALL = 48  # node pairs with at most so many leaf pairs are compared directly
 CHUNK = 1 << 17
+DENSE = 1 << 20  # up to so many keys counts of set bits are kept for each level; beyond, branches are found by bisection
 
 
 # --- fingerprints -----------------------------------------------------------
@@ -73,6 +74,10 @@ def trie_links(keys: np.ndarray, split: int | None, bits: int, budget: int, sett
     ones: dict[int, np.ndarray] = {}
 
     def middle(lo, hi, depth):
+        if n > DENSE:
+            shift, start = np.uint64(bits - 1 - depth), 0 if split is None or lo[0] < split else split
+            part = keys if split is None else keys[:split] if start == 0 else keys[split:]
+            return np.clip(np.searchsorted(part, ((keys[lo] >> shift) | np.uint64(1)) << shift) + start, lo, hi).astype(np.int32)
         if depth not in ones:
             ones[depth] = np.concatenate(([0], np.cumsum((keys >> np.uint64(bits - 1 - depth)) & np.uint64(1), dtype=np.int32)))
         c = ones[depth]
@@ -345,28 +350,28 @@ def closest_forest(links: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np
 FORESTS = 3
 
 
-def closest_forests(links: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """FORESTS disjoint minimum spanning forests: under FORESTS links a text, all links of small groups.
+def closest_forests(links: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """FORESTS disjoint minimum spanning forests (i, j, distance, forest from 1): under FORESTS links a text, all links of small groups.
 
-    The check words only estimate similarity; several forests keep a group
-    connected although some of their links fail the exact check.
+    The check words only estimate similarity; further forests reconnect a group
+    where links of the first one fail the exact check.
     """
     i, j, d = links
     code = np.unique((i.astype(np.int64) << 32) | j, return_index=True)[1]
     i, j, d = i[code], j[code], d[code]
     kept = []
-    for _ in range(FORESTS):
+    for k in range(FORESTS):
         if not len(i):
             break
         f = closest_forest((i, j, d))
-        kept.append(f)
+        kept.append((*f, np.full(len(f[0]), k + 1, np.int32)))
         rest = ~np.isin((i.astype(np.int64) << 32) | j, (f[0].astype(np.int64) << 32) | f[1])
         i, j, d = i[rest], j[rest], d[rest]
     return tuple(np.concatenate(x) for x in zip(*kept, strict=True))
 
 
 def candidate_links(nodes: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (u, v) of texts from nodes (node, keys, checks).
+    """Distinct candidate pairs (u, v) of texts, and the first forest that holds them, from nodes (node, keys, checks).
 
     Each band is a trie self-join of its own; a task keeps only a few minimum
     spanning forests of its candidates by the check word's distance.
@@ -386,17 +391,17 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
                     held.append((i[near], j[near], d[near]))
                     size += int(near.sum())
                     if size > 1 << 21:
-                        held = [closest_forests(tuple(map(np.concatenate, zip(*held, strict=True))))]
+                        held = [closest_forests(tuple(map(np.concatenate, zip(*held, strict=True))))[:3]]
                         size = len(held[0][0])
             if held:
-                i, j, _ = closest_forests(tuple(map(np.concatenate, zip(*held, strict=True))))
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), names.take(pa.array(j))], names=["u", "v"])
+                i, j, _, forest = closest_forests(tuple(map(np.concatenate, zip(*held, strict=True))))
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), names.take(pa.array(j)), pa.array(forest)], names=["u", "v", "forest"])
 
     n = max(64, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     banded = nodes.select("node", F.posexplode(F.arrays_zip("keys", "checks")).alias("band", "kc")).select("node", "band", F.col("kc.keys").alias("key"), F.col("kc.checks").alias("check"))
     routed = route(banded, "key", BAND_BITS, BAND_BUDGET, leaves=1, band="band").select("node", "key", "check", "_task", "_side")
-    found = routed.repartition(n, "_task").sortWithinPartitions("_task").mapInArrow(run, f"u {nodes.schema['node'].dataType.simpleString()}, v {nodes.schema['node'].dataType.simpleString()}")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    found = routed.repartition(n, "_task").sortWithinPartitions("_task").mapInArrow(run, f"u {nodes.schema['node'].dataType.simpleString()}, v {nodes.schema['node'].dataType.simpleString()}, forest int")
+    return found.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.min("forest").alias("forest"))
 
 
 def resemblance(a: bytes, b: bytes, words: int) -> float:
@@ -413,7 +418,8 @@ def near_duplicate_groups(df: DataFrame, words: int = 5, similarity: float = 0.8
     fewer words: the whole sequence) have a Jaccard similarity of at least
     ``similarity``; groups are the connected components. Candidates come from
     trie self-joins over 20 SimHash bands (a pair at similarity 0.8 is found
-    with probability over 0.98), and each kept candidate is checked exactly.
+    with probability over 0.98). Candidates that can still join two groups are
+    checked exactly.
     Null texts count as empty, and empty texts form a group.
     """
     spark = df.sparkSession
@@ -434,18 +440,28 @@ def near_duplicate_groups(df: DataFrame, words: int = 5, similarity: float = 0.8
     rows = checkpoint(df.select(F.col(id_col).alias("_id"), node.alias("_node"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, _node string, keys array<long>, checks array<long>"))
     nodes = rows.groupBy(F.col("_node").alias("node")).agg(F.first("keys").alias("keys"), F.first("checks").alias("checks"))
     pairs = checkpoint(candidate_links(nodes))
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("_node"), "u", "v")
     whole = df.select(node.alias("_node"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    wanted = whole.join(ends.select("_node").distinct(), "_node", "left_semi").dropDuplicates(["_node"])
-    sided = ends.join(wanted, "_node")
-    met = sided.groupBy("u", "v").agg(F.min(F.when(F.col("_node") == F.col("u"), F.col("_text"))).alias("a"), F.min(F.when(F.col("_node") == F.col("v"), F.col("_text"))).alias("b"))
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("_node")).distinct()
+    wanted = checkpoint(whole.join(ends, "_node", "left_semi").dropDuplicates(["_node"]))
 
     def verify(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             ok = [resemblance(a, b, words) >= similarity for a, b in zip(texts(batch.column(2)), texts(batch.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-    roots = connected_components(met.select("u", "v", "a", "b").mapInArrow(verify, "u string, v string"))
+    def links(some: DataFrame) -> DataFrame:
+        """The pairs that pass the exact check."""
+        sided = some.select(F.explode(F.array("u", "v")).alias("_node"), "u", "v").join(wanted, "_node")
+        met = sided.groupBy("u", "v").agg(F.min(F.when(F.col("_node") == F.col("u"), F.col("_text"))).alias("a"), F.min(F.when(F.col("_node") == F.col("v"), F.col("_text"))).alias("b"))
+        return met.select("u", "v", "a", "b").mapInArrow(verify, "u string, v string")
+
+    # the first forests connect nearly all; of the others only links between different groups are left to check
+    first = connected_components(links(pairs.filter("forest = 1")))
+    more = pairs.filter("forest > 1").select("u", "v")
+    for end in ("u", "v"):
+        more = more.join(first.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    apart = more.filter(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+    roots = connected_components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links(apart)))
     return rows.select("_id", "_node").join(roots.withColumnRenamed("node", "_node"), "_node", "left").select("_id", "_node", F.coalesce("root", "_node").alias("_root"))
 
 

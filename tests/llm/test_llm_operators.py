@@ -147,8 +147,10 @@ def test_fingerprints_and_components(spark, docs):
     assert rows.component_id.tolist() == brute_components(ids, [(ids[a], ids[b]) for a, b in near])
 
 
+@pytest.mark.parametrize("dense", [0, 1 << 20])
 @pytest.mark.parametrize("n, spread", [(1, 64), (400, 64), (600, 9), (900, 16)])
-def test_trie_join_finds_every_link(n, spread):
+def test_trie_join_finds_every_link(n, spread, dense, monkeypatch):
+    monkeypatch.setattr(simhash, "DENSE", dense)
     rng = np.random.default_rng(n)
     keys = np.unique(rng.integers(0, 1 << min(spread, 62), n, dtype=np.uint64) << np.uint64(64 - min(spread, 62)))
     want = {(i, j) for i, j in np.argwhere(np.bitwise_count(keys[:, None] ^ keys[None, :]) <= 3).tolist() if i < j}
@@ -517,7 +519,8 @@ def test_row_keys_tell_nulls_from_blanks(spark):
 def test_forests_are_disjoint_and_keep_small_groups_whole():
     links = [(a, b, (a * 7 + b) % 11) for a in range(4) for b in range(a + 1, 4)] + [(10, 11, 3), (10, 11, 3)]
     i, j, d = (np.array(x) for x in zip(*links, strict=True))
-    fi, fj, _ = simhash.closest_forests((i, j, d))
+    fi, fj, _, forest = simhash.closest_forests((i, j, d))
+    assert forest.min() == 1 and forest.max() <= simhash.FORESTS
     got = list(zip(fi.tolist(), fj.tolist(), strict=True))
     assert len(got) == len(set(got)) and set(got) >= {(10, 11)} and len(got) >= 6
     one = simhash.closest_forest((i, j, d))
