@@ -293,6 +293,7 @@ def simhash_components(df: DataFrame, words: int = 3, budget: int = 3, id_col: s
 BANDS, BAND_BITS, BAND_BUDGET = 20, 28, 2
 FEATURES = 4096
 SKETCH = BANDS * BAND_BITS
+WIDE_BUDGET = 3  # of the second search, once groups are known
 CHECK_BITS = 64  # of other bands; link candidates may differ in CHECK_MOST of them
 CHECK_MOST = 22
 
@@ -370,6 +371,14 @@ def closest_forests(links: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[n
     return tuple(np.concatenate(x) for x in zip(*kept, strict=True))
 
 
+def _band_tasks(nodes: DataFrame, budget: int, *more: str) -> DataFrame:
+    """Rows (node, key, check, _task, _side) and the columns more, a row for each task of each band, sorted by task."""
+    n = max(64, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    banded = nodes.select("node", *more, F.posexplode(F.arrays_zip("keys", "checks")).alias("band", "kc")).select("node", *more, "band", F.col("kc.keys").alias("key"), F.col("kc.checks").alias("check"))
+    routed = route(banded, "key", BAND_BITS, budget, leaves=1, band="band").select("node", *more, "key", "check", "_task", "_side")
+    return routed.repartition(n, "_task").sortWithinPartitions("_task")
+
+
 def candidate_links(nodes: DataFrame) -> DataFrame:
     """Distinct candidate pairs (u, v) of texts, and the first forest that holds them, from nodes (node, keys, checks).
 
@@ -397,13 +406,43 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
                 i, j, _, forest = closest_forests(tuple(map(np.concatenate, zip(*held, strict=True))))
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), names.take(pa.array(j)), pa.array(forest)], names=["u", "v", "forest"])
 
-    n = max(64, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    banded = nodes.select("node", F.posexplode(F.arrays_zip("keys", "checks")).alias("band", "kc")).select("node", "band", F.col("kc.keys").alias("key"), F.col("kc.checks").alias("check"))
-    routed = route(banded, "key", BAND_BITS, BAND_BUDGET, leaves=1, band="band").select("node", "key", "check", "_task", "_side")
-    found = routed.repartition(n, "_task").sortWithinPartitions("_task").mapInArrow(run, f"u {nodes.schema['node'].dataType.simpleString()}, v {nodes.schema['node'].dataType.simpleString()}, forest int")
+    kind = nodes.schema["node"].dataType.simpleString()
+    found = _band_tasks(nodes, BAND_BUDGET).mapInArrow(run, f"u {kind}, v {kind}, forest int")
     return found.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.min("forest").alias("forest"))
 
 
+def crossing_pairs(keys: np.ndarray, split: int | None, check: np.ndarray, group: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All candidate index pairs (i, j) of different groups, in blocks; node pairs within one group are not traversed."""
+    ends = np.flatnonzero(np.append(group[1:] != group[:-1], True)) + 1
+    run = np.repeat(ends, np.diff(np.concatenate(([0], ends))))
+
+    def settled(la, ha, lb, hb):
+        return (run[la] >= ha) & (run[lb] >= hb) & (group[la] == group[lb])
+
+    for i, j, _ in trie_links(keys, split, BAND_BITS, budget, settled):
+        near = (group[i] != group[j]) & (np.bitwise_count(check[i] ^ check[j]) <= CHECK_MOST)
+        if near.any():
+            yield i[near], j[near]
+
+
+def crossing_links(nodes: DataFrame) -> DataFrame:
+    """Distinct candidate pairs (u, v) of texts in different groups, none left out, from nodes (node, root, keys, checks)."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in by_task(rows):
+            group = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+            key, side = table.column("key").to_numpy().view(np.uint64), table.column("_side").to_numpy()
+            order = np.lexsort((group, key, side))
+            check = table.column("check").to_numpy()[order].view(np.uint64)
+            names = table.column("node").combine_chunks().take(pa.array(order))
+            for i, j in crossing_pairs(key[order], int((side == 0).sum()) if side.any() else None, check, group[order], WIDE_BUDGET):
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), names.take(pa.array(j))], names=["u", "v"])
+
+    kind = nodes.schema["node"].dataType.simpleString()
+    found = _band_tasks(nodes, WIDE_BUDGET, "root").mapInArrow(run, f"u {kind}, v {kind}")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def resemblance(a: bytes, b: bytes, words: int) -> float:
     """Jaccard similarity of the sets of word shingles."""
     x, y = np.unique(shingle_hashes(a, words)), np.unique(shingle_hashes(b, words))
@@ -419,7 +458,8 @@ def near_duplicate_groups(df: DataFrame, words: int = 5, similarity: float = 0.8
     ``similarity``; groups are the connected components. Candidates come from
     trie self-joins over 20 SimHash bands (a pair at similarity 0.8 is found
     with probability over 0.98). Candidates that can still join two groups are
-    checked exactly.
+    checked exactly: first a few spanning forests of them, then, by a second and
+    wider search, every one between the groups these make.
     Null texts count as empty, and empty texts form a group.
     """
     spark = df.sparkSession
@@ -441,27 +481,36 @@ def near_duplicate_groups(df: DataFrame, words: int = 5, similarity: float = 0.8
     nodes = rows.groupBy(F.col("_node").alias("node")).agg(F.first("keys").alias("keys"), F.first("checks").alias("checks"))
     pairs = checkpoint(candidate_links(nodes))
     whole = df.select(node.alias("_node"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("_node")).distinct()
-    wanted = checkpoint(whole.join(ends, "_node", "left_semi").dropDuplicates(["_node"]))
+
+    def held(some: DataFrame) -> DataFrame:
+        """The texts of the pairs."""
+        ends = some.select(F.explode(F.array("u", "v")).alias("_node")).distinct()
+        return whole.join(ends, "_node", "left_semi").dropDuplicates(["_node"])
+
+    wanted = checkpoint(held(pairs))
 
     def verify(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             ok = [resemblance(a, b, words) >= similarity for a, b in zip(texts(batch.column(2)), texts(batch.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-    def links(some: DataFrame) -> DataFrame:
+    def links(some: DataFrame, held: DataFrame) -> DataFrame:
         """The pairs that pass the exact check."""
-        sided = some.select(F.explode(F.array("u", "v")).alias("_node"), "u", "v").join(wanted, "_node")
+        sided = some.select(F.explode(F.array("u", "v")).alias("_node"), "u", "v").join(held, "_node")
         met = sided.groupBy("u", "v").agg(F.min(F.when(F.col("_node") == F.col("u"), F.col("_text"))).alias("a"), F.min(F.when(F.col("_node") == F.col("v"), F.col("_text"))).alias("b"))
         return met.select("u", "v", "a", "b").mapInArrow(verify, "u string, v string")
 
     # the first forests connect nearly all; of the others only links between different groups are left to check
-    first = connected_components(links(pairs.filter("forest = 1")))
+    first = connected_components(links(pairs.filter("forest = 1"), wanted))
     more = pairs.filter("forest > 1").select("u", "v")
     for end in ("u", "v"):
         more = more.join(first.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
     apart = more.filter(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
-    roots = connected_components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links(apart)))
+    known = connected_components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links(apart, wanted)))
+    # the forests leave out candidates: a second search finds all that still cross groups, and all are checked
+    grouped = nodes.join(known, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "keys", "checks")
+    crossing = checkpoint(crossing_links(grouped).join(pairs, ["u", "v"], "left_anti"))
+    roots = connected_components(known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links(crossing, held(crossing))))
     return rows.select("_id", "_node").join(roots.withColumnRenamed("node", "_node"), "_node", "left").select("_id", "_node", F.coalesce("root", "_node").alias("_root"))
 
 

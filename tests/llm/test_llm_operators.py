@@ -215,6 +215,19 @@ def test_near_duplicates_go_and_others_stay(spark):
     assert kept == set(clean)
 
 
+def test_links_inside_a_large_family_below_the_threshold_are_found(spark):
+    rng = np.random.default_rng(7)
+    draw = lambda n: [f"w{x}" for x in rng.integers(0, 1_000_000, n)]
+    shared, own = draw(354), [draw(75) for _ in range(400)]
+    for k in range(0, 50, 2):
+        own[k + 1][:31] = own[k][:31]
+    sets = [set(simhash.shingle_hashes(" ".join(shared + w).encode(), 5).tolist()) for w in own]
+    links = [(a, b) for a in range(400) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert len(links) == 25
+    frame = spark.createDataFrame([(k, " ".join(shared + w)) for k, w in enumerate(own)], "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.drop_near_duplicates(frame).collect()} == set(range(400)) - {a for a, _ in links}
+
+
 def test_near_duplicates_of_real_rows_match_brute_force(spark, docs):
     sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in docs.text]
     links = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] or sets[b] if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
