@@ -308,7 +308,7 @@ def _planes() -> np.ndarray:
 
 
 def sketches(hashes: list[np.ndarray]) -> np.ndarray:
-    """SKETCH SimHash bits (uint8 0/1) of each shingle multiset, by signed feature hashing and fixed random planes."""
+    """SKETCH SimHash bits (uint8 0/1) of each array of shingle hashes, repeats counted, by signed feature hashing and fixed random planes."""
     counts = np.zeros((len(hashes), FEATURES), np.float32)
     for row, h in zip(counts, hashes, strict=True):
         sign = 1.0 - 2.0 * ((h >> np.uint64(60)) & np.uint64(1)).astype(np.float64)
@@ -456,7 +456,7 @@ def near_duplicate_groups(df: DataFrame, words: int = 5, similarity: float = 0.8
     Rows are linked when their sets of ``words``-word shingles (A-Z lower-cased,
     fewer words: the whole sequence) have a Jaccard similarity of at least
     ``similarity``; groups are the connected components. Candidates come from
-    trie self-joins over 20 SimHash bands (a pair at similarity 0.8 is found
+    trie self-joins over 20 SimHash bands of the same sets (a pair at similarity 0.8 is found
     with probability over 0.98). Candidates that can still join two groups are
     checked exactly: first a few spanning forests of them, then, by a second and
     wider search, every one between the groups these make.
@@ -472,7 +472,7 @@ def near_duplicate_groups(df: DataFrame, words: int = 5, similarity: float = 0.8
                 continue
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                keys, checks = _bands(sketches([shingle_hashes(t, words) for t in texts(part.column("_text"))]))
+                keys, checks = _bands(sketches([np.unique(shingle_hashes(t, words)) for t in texts(part.column("_text"))]))
                 flat = [pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * BANDS), pa.array(x.ravel())) for x in (keys, checks)]
                 yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_node"), *flat], names=["_id", "_node", "keys", "checks"])
 

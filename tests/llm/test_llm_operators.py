@@ -228,6 +228,16 @@ def test_links_inside_a_large_family_below_the_threshold_are_found(spark):
     assert {r["doc_id"] for r in simhash.drop_near_duplicates(frame).collect()} == set(range(400)) - {a for a, _ in links}
 
 
+def test_texts_that_differ_in_how_often_a_line_repeats_are_near_duplicates(spark):
+    rng, rows = np.random.default_rng(5), []
+    for k in range(40):
+        body, line = (" ".join(f"w{x}" for x in rng.integers(0, 50_000, n)) for n in (250, 10))
+        rows += [(k, f"{body}\n{line}"), (100 + k, "\n".join([body] + [line] * 12))]
+    assert all(simhash.resemblance(rows[k][1].encode(), rows[k + 1][1].encode(), 5) > 0.9 for k in range(0, 80, 2))
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(40))
+
+
 def test_near_duplicates_of_real_rows_match_brute_force(spark, docs):
     sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in docs.text]
     links = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] or sets[b] if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
