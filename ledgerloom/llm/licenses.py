@@ -1,7 +1,8 @@
 """Operator 10: licence scans by Dice coefficients over word bigrams.
 
 A text's segments (its lines, the sentences of lines that have several, its
-paragraphs of several lines, and the whole text) are normalised to lower-case
+paragraphs of several lines, and the whole text) and the windows of each
+template's number of words, wherever they begin, are normalised to lower-case
 words and compared with licence templates by the Dice coefficient over word
 bigrams, repeats included. A template is a candidate only if the numbers of
 bigrams allow the threshold: with ``n <= m`` bigrams the coefficient is at most
@@ -10,9 +11,12 @@ bigrams allow the threshold: with ``n <= m`` bigrams the coefficient is at most
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -81,15 +85,18 @@ class Scanner:
         self.threshold = threshold
         self.templates = [(name, k, bigrams(normal_words(t))) for name, texts in sorted(templates.items()) for k, t in enumerate(texts)]
         self.sizes = [b.total() for *_, b in self.templates]
+        self.lengths = [m + (len(next(iter(b), ())) > 1) for (*_, b), m in zip(self.templates, self.sizes, strict=True)]
         ratio = threshold / (2 - threshold)  # of the smaller size to the larger one, at least
         self.fitting: dict[int, list[int]] = {}
         for n in range(1, int(max(self.sizes, default=0) / ratio) + 2):
             if fit := [k for k, m in enumerate(self.sizes) if 2 * min(n, m) >= threshold * (n + m)]:
                 self.fitting[n] = fit
+        self.least = [max(1, math.ceil(ratio * m - 1e-9)) for m in self.sizes]  # bigrams that a window shares, at least
         self.holders: dict[tuple, list[int]] = {}
         for k, (*_, b) in enumerate(self.templates):
             for pair in b:
                 self.holders.setdefault(pair, []).append(k)
+        self.lone = any(len(pair) == 1 for pair in self.holders)
 
     def segment(self, words: list[str]) -> tuple[float, int] | None:
         """(coefficient, template) of the best template at the threshold; ties take the first."""
@@ -105,15 +112,23 @@ class Scanner:
 
     def segments(self, text: str) -> Iterator[tuple[int, list[str]]]:
         """(first line, words) of each segment; those longer than any template allows are left out."""
+        for n, _, w in self.placed(text):
+            yield n, w
+
+    def placed(self, text: str) -> Iterator[tuple[int, int, list[str]]]:
+        """The segments with the place of their first word in the text."""
         most = max(self.fitting, default=0) + 1
         lines = [normal_words(x) for x in text.split("\n")]
+        begin = [0, *accumulate(map(len, lines))]
         for n, (w, raw) in enumerate(zip(lines, text.split("\n"), strict=True)):
             if 0 < len(w) <= most:
-                yield n, w
+                yield n, begin[n], w
             if len(w) > 1 and len(parts := _SENTENCE.split(raw)) > 1:
+                at = begin[n]
                 for part in parts:
                     if 0 < len(p := normal_words(part)) <= most:
-                        yield n, p
+                        yield n, at, p
+                    at += len(p)
         start = 0
         blocks = []
         for n, w in enumerate([*lines, []]):
@@ -125,17 +140,54 @@ class Scanner:
             blocks.append((0, len(lines)))
         for a, b in blocks:
             if sum(map(len, lines[a:b])) <= most:
-                yield a, [x for w in lines[a:b] for x in w]
+                yield a, begin[a], [x for w in lines[a:b] for x in w]
+
+    def windows(self, words: list[str]) -> Iterator[tuple[float, int, int, int]]:
+        """(coefficient, template, start, end) of the windows of a template's length at the threshold.
+
+        Only windows that begin with a bigram of the template are compared: one
+        that does not shares no less when it is moved on to the next such bigram.
+        """
+        held: dict[int, list[int]] = {}
+        for i, pair in enumerate(zip(words, words[1:], strict=False)):
+            for k in self.holders.get(pair, ()):
+                held.setdefault(k, []).append(i)
+        if self.lone:
+            for i, w in enumerate(words):
+                for k in self.holders.get((w,), ()):
+                    held.setdefault(k, []).append(i)
+        for k, at in held.items():
+            least, m = self.least[k], self.sizes[k]
+            for i, last in zip(at, at[least - 1 :], strict=False):
+                if last - i < m and (d := dice(bigrams(words[i : i + self.lengths[k]]), self.templates[k][2])) >= self.threshold:
+                    yield d, k, i, min(len(words), i + self.lengths[k])
 
     def __call__(self, text: str | None) -> list[tuple[int, str, float]]:
-        """(line, licence, coefficient) of every matching segment, by line."""
-        return [(n, self.templates[hit[1]][0], round(hit[0], 6)) for n, w in self.segments(text or "") if (hit := self.segment(w))]
+        """(line, licence, coefficient) of every matching segment, and of the best windows apart from these, by line.
+
+        A window counts unless it overlaps a match that is no worse.
+        """
+        text = text or ""
+        taken, found = [], []
+        for n, at, w in self.placed(text):
+            if hit := self.segment(w):
+                taken.append((at, at + len(w), *hit))
+                found.append((n, self.templates[hit[1]][0], round(hit[0], 6)))
+        lines = [normal_words(x) for x in text.split("\n")]
+        ends = list(accumulate(map(len, lines)))
+        more = []
+        for d, k, a, b in sorted(self.windows([x for w in lines for x in w]), key=lambda x: (-x[0], x[2] - x[3], x[2], x[1])):
+            if not any(a < y and x < b and e >= d for x, y, e, _ in taken):
+                n = bisect_right(ends, a)
+                taken.append((a, b, d, k))
+                more.append((n, self.templates[k][0], round(d, 6)))
+        return sorted(found + more, key=lambda x: x[0]) if more else found
 
 
 def scan_licenses(df: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, license (of the best match, null without one), dice, matches for every row; whole texts.
 
-    matches: array of (line, license, dice), by line. Best: the largest
+    matches: array of (line, license, dice), by line; see Scanner. Best: the largest
     coefficient, ties by name. Null and empty texts match nothing; repeated and
     null ids, empty tables and other columns are no matter.
     """

@@ -529,6 +529,32 @@ def test_licenses_match_brute_force(spark, docs):
     assert rows.license.notna().tolist() == [bool(brute_scan(t)) for t in docs.text]
 
 
+def brute_windows(text):
+    """Licences with a window of a template's own length at the threshold, at any word."""
+    w = licenses.normal_words(text)
+    out = set()
+    for name, xs in licenses.TEMPLATES.items():
+        for x in xs:
+            t = licenses.normal_words(x)
+            if any(licenses.dice(licenses.bigrams(w[i : i + len(t)]), licenses.bigrams(t)) >= licenses.THRESHOLD for i in range(len(w))):
+                out.add(name)
+    return out
+
+
+def test_wrapped_and_embedded_notices_match_a_window_brute_force():
+    import textwrap
+
+    scan, prose = licenses.Scanner(), "some words of other prose that stand around it " * 30
+    bsd = "Copyright (c) 2020, A Holder\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice,\n" + prose
+    assert [(n, name, d) for n, name, d in scan(bsd)] == [(3, "BSD-3-Clause", 1.0)]
+    for name, xs in licenses.TEMPLATES.items():
+        for x in xs:
+            for text in (f"{prose}\nint a;\n" + "\n".join(" * " + y for y in textwrap.wrap(x, 30)) + f"\nint b; {prose}", f"{prose} {x.rstrip('.:')} {prose}"):
+                got = scan(text)
+                assert (name, 1.0) in {m[1:] for m in got} and {m[1] for m in got} <= brute_windows(text) | {m[1] for m in brute_scan(text)}
+    assert not scan("Distributed under the terms of the agreement of last year. " * 20)
+
+
 def test_licenses_of_odd_rows(spark, odd):
     rows = licenses.scan_licenses(odd).toPandas()
     assert len(rows) == 12 and rows.license.notna().sum() == 1 and licenses.scan_licenses(empty(odd)).count() == 0
