@@ -402,5 +402,5 @@ def contacts(pages: DataFrame, html: str = "html", url: str = "url", given: Sequ
 
 
 def inventories(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """H5 of every page: url, pos, name."""
-    return _table(pages.filter(F.col(html).rlike("(?i)zobrazit profil")), html, url, (), "url string, pos int, name string", lambda h, u: list(enumerate(profile_names(h))))
+    """H5 of every page: url, pos, name. Markup and entities may split the label, so only the tags are looked for first."""
+    return _table(pages.filter(F.lower(html).contains("<button") & F.lower(html).rlike("<h[34]")), html, url, (), "url string, pos int, name string", lambda h, u: list(enumerate(profile_names(h))))

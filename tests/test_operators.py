@@ -152,6 +152,12 @@ def test_profiles_and_portal():
     assert html.portal_website(row, "https://portal.example.com/1", "999") is None
 
 
+def test_labels_split_by_markup_or_entities_open_profiles(spark):
+    pages = ["<BUTTON><H3>Jana A</H3>Zobrazit <b>profil</b></BUTTON>", "<button><h4>Eva B</h4>Zobrazit&#32;profil</button>", "<button>Jiné</button>", None]
+    rows = html.inventories(spark.createDataFrame([(p, "u") for p in pages], "html string, url string")).collect()
+    assert sorted(r["name"] for r in rows) == ["Eva B", "Jana A"]
+
+
 def test_prefilter_keeps_every_page_that_can_give_an_address(spark):
     pages = ["a@b.cz", "a&#64;b.cz", "a&commat;b.cz", "a [at] b [dot] cz", "a (AT) b", "a zavinac b", "mailto:x", "nothing"]
     rows = spark.createDataFrame([(p,) for p in pages], "html string").filter(html.may_hold_mail(F.col("html"))).collect()
