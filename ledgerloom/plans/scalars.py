@@ -91,7 +91,7 @@ SELECT doc_id, count(*) AS n, string_agg(email, ' ' ORDER BY pos) AS found FROM
   GROUP BY 1, 2) GROUP BY 1""")
 def email_extract_documents(spark, sf):
     # a native look for the sign first: most texts hold none
-    docs = read(spark, sf, "documents").filter(F.lower("text").rlike("@|at *[\\])]|zavin"))
+    docs = read(spark, sf, "documents").filter(F.lower("text").rlike("@|at\\s*[\\])]|zavin"))
     found = docs.select("doc_id", emails.extract(F.col("text")).alias("e")).filter(F.size("e") > 0)
     return found.select("doc_id", F.size("e").cast("long").alias("n"), F.array_join("e", " ").alias("found"))
 

@@ -158,6 +158,14 @@ def test_labels_split_by_markup_or_entities_open_profiles(spark):
     assert sorted(r["name"] for r in rows) == ["Eva B", "Jana A"]
 
 
+def test_addresses_with_any_blank_before_the_bracket_are_extracted(spark, tmp_path):
+    from ledgerloom.plans import scalars
+
+    texts = ["a.b[at\t]x.cz", "c.d(at\n)x.cz", "e.f [at] x.cz", "nothing"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"]: r["found"] for r in scalars.email_extract_documents(spark, str(tmp_path)).collect()} == {0: "a.b@x.cz", 1: "c.d@x.cz", 2: "e.f@x.cz"}
+
+
 def test_prefilter_keeps_every_page_that_can_give_an_address(spark):
     pages = ["a@b.cz", "a&#64;b.cz", "a&commat;b.cz", "a [at] b [dot] cz", "a (AT) b", "a zavinac b", "mailto:x", "nothing"]
     rows = spark.createDataFrame([(p,) for p in pages], "html string").filter(html.may_hold_mail(F.col("html"))).collect()
