@@ -82,7 +82,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(_read(spark, sf_dir, "documents")).select("doc_id", "license", "dice", F.size("matches").cast("long").alias("n_matches"))
+    return scan_licenses(_read(spark, sf_dir, "documents")).select("doc_id", "license", "dice", F.size("matches").cast("long").alias("n_matches"), "matches")
 
 
 QUERIES = {f.__name__: f for f in (op1_feistel_shards, op2_media_columns, op3_simhash, op4_fair_mix, op5_chat_format, op6_toxicity, op7_bpe_round_trip, op8_language_id, op9_quality_rules, op10_license_scan)}

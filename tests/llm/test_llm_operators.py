@@ -555,6 +555,12 @@ def test_wrapped_and_embedded_notices_match_a_window_brute_force():
     assert not scan("Distributed under the terms of the agreement of last year. " * 20)
 
 
+def test_license_query_gives_the_matches(spark, tmp_path):
+    spark.createDataFrame([(1, "Released under the MIT License.\nLicensed under the ISC License.")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    (row,) = queries.op10_license_scan(spark, str(tmp_path)).collect()
+    assert row["n_matches"] == 2 and [tuple(m) for m in row["matches"]] == [(0, "MIT", 1.0), (1, "ISC", 1.0)]
+
+
 def test_licenses_of_odd_rows(spark, odd):
     rows = licenses.scan_licenses(odd).toPandas()
     assert len(rows) == 12 and rows.license.notna().sum() == 1 and licenses.scan_licenses(empty(odd)).count() == 0
