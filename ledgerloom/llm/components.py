@@ -7,37 +7,53 @@ from pyspark.sql import functions as F
 
 from .common import checkpoint
 
+HOT_SHARE = 8  # a hub holds over 1 / (HOT_SHARE * partitions) of all ends
+
 
 def _signature(edges: DataFrame):
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """edges with m, the least v of their u.
+
+    The least neighbour of a hub, a node with over 1 / (HOT_SHARE * partitions)
+    of all edges, is broadcast: there are fewer than HOT_SHARE * partitions hubs,
+    and what is left for the shuffled join is even.
+    """
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(1, total // (HOT_SHARE * parts))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+    hubs = F.broadcast(least.filter(F.col("_n") > most).select("u", F.col("m").alias("_hub")))
+    others = least.filter(F.col("_n") <= most).select("u", "m")
+    met = edges.join(hubs, "u", "left")
+    return met.filter("_hub is not null").select("u", "v", F.col("_hub").alias("m")).unionByName(met.filter("_hub is null").select("u", "v").join(others, "u"))
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+    return _with_least(both, 2 * total).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).filter("u != v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
+    met = _with_least(down, total)
+    # an edge to the least neighbour stays, the others move on to it
+    return met.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """Columns node, root for every node of an edge; root is the least node of its component.
 
-    Minima are pre-aggregated and joined back, so a node with very many
-    neighbours is never gathered in one place; every round is checkpointed.
-    Loops, repeated and reversed edges change nothing; edges with a null end
-    are ignored; no edges give no rows.
+    Minima are pre-aggregated, and those of hubs are broadcast, so a node with
+    very many neighbours is never gathered in one task; every round is
+    checkpointed. Loops, repeated and reversed edges change nothing; edges with a
+    null end are ignored; no edges give no rows.
     """
-    e = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).filter("u != v").distinct()
-    e = checkpoint(e)
+    e = checkpoint(edges.select(F.col(u).alias("u"), F.col(v).alias("v")).filter("u != v").distinct())
     before = _signature(e)
     while before[0]:
-        e = checkpoint(_small_star(_large_star(e)))
+        e = checkpoint(_small_star(_large_star(e, before[0]), before[0]))
         after = _signature(e)
         if after == before:
             break

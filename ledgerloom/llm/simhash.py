@@ -1,36 +1,35 @@
 """Operator 3: SimHash near-dedup by a binary trie self-join.
 
-Distinct fingerprints form a binary trie. Pairs of its nodes are traversed
-together from the root; each level adds a differing bit when the two nodes
-take different branches, and a pair is dropped as soon as the bits exceed the
-Hamming budget. The upper trie is cut into leaves of bounded size by a
-histogram of short prefixes (one number per prefix); every surviving pair of
-leaves is a task that goes on with the traversal over its own fingerprints.
-
-Within a task only a spanning forest of the links found is kept, never all
-pairs of a group, and node pairs whose fingerprints are already connected are
-not traversed again.
+Distinct fingerprints meet in tries (:mod:`trie`): pairs of nodes are traversed
+together, differing bits add up, and a pair is pruned whenever the Hamming budget
+is exceeded. Within a task only a spanning forest of the links found is kept,
+never all pairs of a group, and node pairs whose fingerprints are already
+connected are not traversed again.
+
+:func:`simhash_components` links 64-bit fingerprints. :func:`drop_near_duplicates`
+finds the pairs of texts whose sets of word shingles are similar: candidates come
+from tries over several bands of a longer SimHash, and an exact check decides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
+from math import acos, ceil, comb, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from .common import checkpoint, fresh, prepare, row_key, texts
 from .components import connected_components
+from .models import HashCache
+from .trie import MOST, Keys, same_run, spanning_links, trie_join, trie_links
 
 SEED = 42
-LEAST_LEAF, MOST_LEAF, PREFIX_BITS = 2048, 1 << 19, 10
-SMALL = 48  # node pairs with at most so many leaf pairs are compared directly
-CHUNK = 1 << 17
-DENSE = 1 << 20  # up to so many keys counts of set bits are kept for each level; beyond, branches are found by bisection
 
 
 # --- fingerprints -----------------------------------------------------------
@@ -50,211 +49,34 @@ def shingle_hashes(text: bytes | None, n: int) -> np.ndarray:
     return np.fromiter(map(xxh64_intdigest, [view[a:b] for a, b in zip(starts, stops, strict=True)], repeat(SEED)), np.uint64, len(stops))
 
 
-def fingerprint(hashes: np.ndarray) -> int:
-    """64-bit SimHash as a signed integer: a bit is 1 if set in over half the hashes; none: 0."""
-    if not len(hashes):
-        return 0
-    total = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        total += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(total * 2 > len(hashes), bitorder="little").view(np.int64)[0])
+def set_bits(words: np.ndarray) -> np.ndarray:
+    """For rows of 64-bit words, whether each bit is set in over half of the rows (uint8 0 or 1, from the lowest bit)."""
+    raw = np.ascontiguousarray(words).view(np.uint8).reshape(len(words), -1)
+    total = np.zeros(raw.shape[1] * 8, np.int64)
+    for at in range(0, len(raw), 255):
+        total += np.add.reduce(np.unpackbits(raw[at : at + 255], axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return (total * 2 > len(words)).astype(np.uint8)
 
 
-# --- trie self-join within a task -------------------------------------------
+def fingerprint(hashes: np.ndarray) -> int:
+    """64-bit SimHash as a signed integer: a bit is 1 if set in over half the hashes; none: 0."""
+    return int(np.packbits(set_bits(hashes), bitorder="little").view(np.int64)[0]) if len(hashes) else 0
 
 
-def trie_links(keys: np.ndarray, split: int | None, bits: int, budget: int, settled: Callable | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Index pairs (i, j, differing bits) of sorted unsigned keys within the budget, in blocks.
+def fingerprint_links(fps: DataFrame, col: str = "fp", bits: int = 64, budget: int = 3, most: int | None = None) -> DataFrame:
+    """Spanning links (u, v) between distinct fingerprints at most ``budget`` bits apart; most: keys of a group in one task."""
 
-    split None: all pairs of the set; else pairs of keys[:split] with keys[split:]
-    (each part sorted). settled(lo_a, hi_a, lo_b, hi_b) tells node pairs that need
-    no more work. Depth-first over blocks of node pairs, so memory stays bounded.
-    """
-    n = len(keys)
-    ones: dict[int, np.ndarray] = {}
-
-    def middle(lo, hi, depth):
-        if n > DENSE:
-            shift, start = np.uint64(bits - 1 - depth), 0 if split is None or lo[0] < split else split
-            part = keys if split is None else keys[:split] if start == 0 else keys[split:]
-            return np.clip(np.searchsorted(part, ((keys[lo] >> shift) | np.uint64(1)) << shift) + start, lo, hi).astype(np.int32)
-        if depth not in ones:
-            ones[depth] = np.concatenate(([0], np.cumsum((keys >> np.uint64(bits - 1 - depth)) & np.uint64(1), dtype=np.int32)))
-        c = ones[depth]
-        return hi - (c[hi] - c[lo])
-
-    root = [np.array([x], np.int32) for x in ((0, n, 0, n) if split is None else (0, split, split, n))]
-    stack = [(0, *root, np.zeros(1, np.int8))]
-    while stack:
-        depth, la, ha, lb, hb, err = stack.pop()
-        if settled is not None and len(la):
-            go = ~settled(la, ha, lb, hb)
-            la, ha, lb, hb, err = la[go], ha[go], lb[go], hb[go], err[go]
-        size = (ha - la).astype(np.int64) * (hb - lb)
-        small = (size <= SMALL) | (depth == bits)
-        if small.any():
-            a, b, na, nb = la[small].astype(np.int64), lb[small].astype(np.int64), (ha - la)[small], (hb - lb)[small]
-            total = size[small]
-            cut = np.concatenate(([0], np.cumsum(total)))
-            for s, e in _blocks(cut):
-                each = total[s:e]
-                k = np.arange(cut[e] - cut[s]) - np.repeat(cut[s:e] - cut[s], each)
-                width = np.repeat(nb[s:e], each)
-                i, j = np.repeat(a[s:e], each) + k // width, np.repeat(b[s:e], each) + k % width
-                d = np.bitwise_count(keys[i] ^ keys[j])
-                hit = (d <= budget) & (i < j)
-                if hit.any():
-                    yield i[hit], j[hit], d[hit]
-            big = ~small
-            la, ha, lb, hb, err = la[big], ha[big], lb[big], hb[big], err[big]
-        if not len(la):
-            continue
-        ma, mb = middle(la, ha, depth), middle(lb, hb, depth)
-        same = la == lb
-        apart = ~same
-        parts = ((la, ma, lb, mb, err), (ma, ha, mb, hb, err), (la, ma, mb, hb, err + 1), tuple(x[apart] for x in (ma, ha, lb, mb, err + 1)))
-        nxt = [np.concatenate([p[k] for p in parts]) for k in range(5)]
-        live = (nxt[1] > nxt[0]) & (nxt[3] > nxt[2]) & (nxt[4] <= budget)
-        nxt = [x[live] for x in nxt]
-        for at in range(0, len(nxt[0]), CHUNK):
-            stack.append((depth + 1, *(x[at : at + CHUNK] for x in nxt)))
-
-
-def _blocks(cut: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
-    """Ranges of node pairs with about most leaf pairs each."""
-    s, n = 0, len(cut) - 1
-    while s < n:
-        e = max(s + 1, int(np.searchsorted(cut, cut[s] + most, side="right")) - 1)
-        yield s, e
-        s = e
-
-
-def _join_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Least-index labels after linking i with j."""
-    while True:
-        a, b = label[i], label[j]
-        if (a == b).all():
-            return label
-        low = np.minimum(a, b)
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        while (label[label] != label).any():
-            label = label[label]
-
-
-def spanning_links(keys: np.ndarray, split: int | None, bits: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs that connect the same components as all links within the budget; under len(keys) of them."""
-    n = len(keys)
-    state = {"label": np.arange(n), "run": np.arange(1, n + 1)}
-
-    def settled(la, ha, lb, hb):
-        label, run = state["label"], state["run"]
-        return (run[la] >= ha) & (run[lb] >= hb) & (label[la] == label[lb]) & ((ha - la) + (hb - lb) > 2)
-
-    for i, j, _ in trie_links(keys, split, bits, budget, settled):
-        label = _join_labels(state["label"], i, j)
-        ends = np.flatnonzero(np.append(label[1:] != label[:-1], True)) + 1
-        state = {"label": label, "run": np.repeat(ends, np.diff(np.concatenate(([0], ends))))}
-    at = np.flatnonzero(state["label"] != np.arange(n))
-    return at, state["label"][at]
-
-
-# --- distribution -----------------------------------------------------------
-
-
-def _leaves(counts: dict[int, int], total: int, leaves: int) -> list[tuple[int, int]]:
-    """(prefix, depth) of the upper trie's leaves: nodes are split while they hold too many keys."""
-    most = min(max(LEAST_LEAF, total // leaves), MOST_LEAF)
-    out, todo = [], [(0, 0)]
-    sums: dict[tuple[int, int], int] = {}
-    for p, n in counts.items():
-        for depth in range(PREFIX_BITS + 1):
-            key = (p >> (PREFIX_BITS - depth), depth)
-            sums[key] = sums.get(key, 0) + n
-    while todo:
-        p, depth = todo.pop()
-        n = sums.get((p, depth), 0)
-        if n and (n <= most or depth == PREFIX_BITS):
-            out.append((p, depth))
-        elif n:
-            todo += [(p << 1, depth + 1), (p << 1 | 1, depth + 1)]
-    return sorted(out, key=lambda x: x[0] << (PREFIX_BITS - x[1]))
-
-
-def _apart(a: tuple[int, int], b: tuple[int, int]) -> int:
-    """Differing bits over the common depth."""
-    d = min(a[1], b[1])
-    return ((a[0] >> (a[1] - d)) ^ (b[0] >> (b[1] - d))).bit_count()
-
-
-def route(nodes: DataFrame, key: str, bits: int, budget: int, leaves: int = 64, band: str | None = None) -> DataFrame:
-    """nodes with columns _task and _side, a row for each task that a key takes part in.
-
-    A task is a pair of upper-trie leaves at most ``budget`` bits apart (or a
-    leaf with itself). Only a histogram of 2**10 prefixes per band reaches the
-    driver; the routing table holds the leaf pairs and is broadcast: leaves are
-    at most 2**10 a band however many keys there are.
-    """
-    spark = nodes.sparkSession
-    b = F.col(band) if band else F.lit(0)
-    prefix = F.shiftrightunsigned(F.col(key), bits - PREFIX_BITS).bitwiseAND((1 << PREFIX_BITS) - 1).cast("int")
-    keyed = nodes.withColumn("_band", b.cast("int")).withColumn("_prefix", prefix)
-    hist: dict[int, dict[int, int]] = {}
-    for r in keyed.groupBy("_band", "_prefix").count().collect():
-        hist.setdefault(r["_band"], {})[r["_prefix"]] = r["count"]
-    of, pairs, task = [], [], 0
-    for bnd, counts in sorted(hist.items()):
-        cut = _leaves(counts, sum(counts.values()), leaves)
-        for x, (p, depth) in enumerate(cut):
-            of += [(bnd, q, x) for q in counts if q >> (PREFIX_BITS - depth) == p]
-            for y in range(x, len(cut)):
-                if _apart(cut[x], cut[y]) <= budget:
-                    pairs += [(bnd, x, task, 0)] + [(bnd, y, task, 1)] * (x != y)
-                    task += 1
-    of_df = spark.createDataFrame(of, "_band int, _prefix int, _leaf int")
-    pair_df = spark.createDataFrame(pairs, "_band int, _leaf int, _task int, _side int")
-    routing = of_df.join(pair_df, ["_band", "_leaf"]).select("_band", "_prefix", "_task", "_side")
-    return keyed.join(F.broadcast(routing), ["_band", "_prefix"]).drop("_band", "_prefix")
-
-
-def by_task(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of one task each, from batches sorted by _task."""
-    kept: list[pa.RecordBatch] = []
-    for batch in rows:
-        task = batch.column("_task").to_numpy()
-        cuts = np.flatnonzero(task[1:] != task[:-1]) + 1
-        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(task)], strict=True):
-            if b > a:
-                if kept and kept[-1].column("_task")[0].as_py() != task[a]:
-                    yield pa.Table.from_batches(kept)
-                    kept = []
-                kept.append(batch.slice(a, b - a))
-    if kept:
-        yield pa.Table.from_batches(kept)
-
-
-def task_keys(table: pa.Table, key: str) -> tuple[np.ndarray, np.ndarray, int | None]:
-    """(order, sorted unsigned keys, where the second leaf begins or None)."""
-    keys = table.column(key).to_numpy().view(np.uint64)
-    side = table.column("_side").to_numpy()
-    order = np.lexsort((keys, side))
-    return order, keys[order], int((side == 0).sum()) if side.any() else None
-
-
-def fingerprint_links(fps: DataFrame, col: str = "fp", bits: int = 64, budget: int = 3) -> DataFrame:
-    """Spanning links (u, v) between distinct fingerprints at most ``budget`` bits apart."""
+    def unpack(batch: pa.RecordBatch) -> dict:
+        fp = batch.column(0).to_numpy(zero_copy_only=False)
+        return {"node": fp, "keys": fp.view(np.uint64).reshape(-1, 1)}
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in by_task(rows):
-            _, keys, split = task_keys(table, "fp")
-            i, j = spanning_links(keys, split, bits, budget)
-            if len(i):
-                signed = keys.view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(signed[i]), pa.array(signed[j])], names=["u", "v"])
+    def work(shape: Keys, x: dict, nodes, depth: int) -> Iterator[pa.RecordBatch]:
+        i, j = spanning_links(x["key"], nodes, depth, shape.bits, (shape.budget,))
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(x["node"][i]), pa.array(x["node"][j])], names=["u", "v"])
 
-    n = max(64, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    routed = route(fps.select(F.col(col).alias("fp")), "fp", bits, budget)
-    return routed.repartition(n, "_task").sortWithinPartitions("_task").mapInArrow(run, "u long, v long")
+    nodes = fps.select(F.col(col).alias("fp"))
+    return trie_join(nodes, Keys(bits, budget), unpack, work, "u long, v long", {"node": "i8"}, nodes.count(), most=most)
 
 
 def simhash(df: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -288,243 +110,235 @@ def simhash_components(df: DataFrame, words: int = 3, budget: int = 3, id_col: s
     return docs.join(ids, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# --- near-duplicates by several fingerprints and an exact check ---------------
+# --- near-duplicates by several bands and an exact check ----------------------
 
-BANDS, BAND_BITS, BAND_BUDGET = 20, 28, 2
-FEATURES = 4096
-SKETCH = BANDS * BAND_BITS
-WIDE_BUDGET = 3  # of the second search, once groups are known
-CHECK_BITS = 64  # of other bands; link candidates may differ in CHECK_MOST of them
-CHECK_MOST = 22
+BUDGET = 2
+LEAST_BITS = 24
+COMPARED = 256  # keys that a key meets by chance in a band, about, at most
+MISSED = 0.001  # share of pairs at the least similarity that no band finds
+FIRST_BANDS = 8  # that the first search uses, which need not find all
+CHECK_BITS, SIGMAS = 64, 4.3  # deviations from the mean that a pair at the least similarity may have in other bits
 
-_PLANES: dict[int, np.ndarray] = {}
+_HASHES = HashCache()
 
 
-def _planes() -> np.ndarray:
-    if 0 not in _PLANES:
-        bits = np.unpackbits(np.random.default_rng(SEED).integers(0, 256, (FEATURES, SKETCH // 8), dtype=np.uint8), axis=1)
-        _PLANES[0] = bits.astype(np.float32) * 2 - 1
-    return _PLANES[0]
+@dataclass(frozen=True)
+class Plan:
+    """How near-duplicates at a similarity are searched among n texts.
 
+    Sets of a Jaccard similarity s meet at an angle of acos(2s / (1 + s)) if they
+    are equally large; each SimHash bit differs with that angle over pi. Keys have
+    so many bits that chance meets stay bounded, and there are so many bands
+    that a pair at the least similarity is missed with a probability of MISSED.
+    """
 
-def sketches(hashes: list[np.ndarray]) -> np.ndarray:
-    """SKETCH SimHash bits (uint8 0/1) of each array of shingle hashes, repeats counted, by signed feature hashing and fixed random planes."""
-    counts = np.zeros((len(hashes), FEATURES), np.float32)
-    for row, h in zip(counts, hashes, strict=True):
-        sign = 1.0 - 2.0 * ((h >> np.uint64(60)) & np.uint64(1)).astype(np.float64)
-        row[:] = np.bincount((h & np.uint64(FEATURES - 1)).astype(np.int64), weights=sign, minlength=FEATURES)
-    return (counts @ _planes() > 0).astype(np.uint8)
+    n: int
+    similarity: float = 0.8
 
+    @property
+    def odds(self) -> float:
+        return acos(2 * self.similarity / (1 + self.similarity)) / pi
 
-def _bands(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(band keys, check words), a row per sketch; the check word of band b takes the bits after b's own."""
-    n = len(bits)
-    weights = np.uint64(1) << np.arange(BAND_BITS - 1, -1, -1, dtype=np.uint64)
-    keys = (bits.reshape(n, BANDS, BAND_BITS) * weights).sum(axis=2, dtype=np.uint64)
-    twice = np.concatenate([bits, bits], axis=1)
-    checks = np.stack([np.packbits(twice[:, (b + 1) * BAND_BITS : (b + 1) * BAND_BITS + CHECK_BITS], axis=1).view(np.int64)[:, 0] for b in range(BANDS)], axis=1)
-    return keys.view(np.int64), checks
+    @property
+    def bits(self) -> int:
+        b = LEAST_BITS
+        while self.n * sum(comb(b, k) for k in range(BUDGET + 1)) / 2**b > COMPARED:
+            b += 1
+        return b
 
+    @property
+    def found(self) -> float:
+        """The probability that a band finds a pair at the least similarity."""
+        p, b = self.odds, self.bits
+        return sum(comb(b, k) * p**k * (1 - p) ** (b - k) for k in range(BUDGET + 1))
 
-def closest_forest(links: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A minimum spanning forest of links (i, j, distance): keeps connectivity at every distance."""
-    order = np.argsort(links[2], kind="stable")
-    i, j, d = (x[order] for x in links)
-    nodes, flat = np.unique(np.concatenate([i, j]), return_inverse=True)
-    parent = list(range(len(nodes)))
+    @property
+    def bands(self) -> int:
+        return ceil(log(MISSED) / log(1 - self.found))
 
-    def find(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    @property
+    def words(self) -> int:
+        """64-bit words of a sketch."""
+        return -(-self.bands * self.bits // 64)
 
-    keep = []
-    for k, (a, b) in enumerate(zip(flat[: len(i)].tolist(), flat[len(i) :].tolist(), strict=True)):
-        a, b = find(a), find(b)
-        if a != b:
-            parent[b] = a
-            keep.append(k)
-    return i[keep], j[keep], d[keep]
+    def most_apart(self, bits: int) -> int:
+        """Bits of so many that a pair at the least similarity may differ in."""
+        return ceil(bits * self.odds + SIGMAS * sqrt(bits * self.odds * (1 - self.odds)))
 
 
-FORESTS = 3
+def shingle_set(text: bytes | None, n: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the n-word shingles (A-Z lower-cased; fewer words: the whole sequence), from the words' hashes."""
+    w = (text or b"").lower().split()
+    if not w:
+        return np.empty(0, np.uint64)
+    h = np.fromiter(map(_HASHES.__getitem__, w), np.uint64, len(w))
+    n = min(n, len(w))
+    total = np.full(len(w) - n + 1, n, np.uint64)
+    for k in range(n):
+        total = (total ^ h[k : len(w) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        total ^= total >> np.uint64(29)
+    total = total * np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique(total ^ (total >> np.uint64(32)))
 
 
-def closest_forests(links: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """FORESTS disjoint minimum spanning forests (i, j, distance, forest from 1): under FORESTS links a text, all links of small groups.
+def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
+    """A SimHash of 64 * words bits (uint8 0 or 1) of a set of hashes, each hash expanded to as many random bits; none: zeros."""
+    if not len(hashes):
+        return np.zeros(64 * words, np.uint8)
+    turn = np.random.default_rng(SEED).integers(1, 1 << 63, words, dtype=np.uint64) | np.uint64(1)
+    x = hashes[:, None] * turn
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    return set_bits(x)
 
-    The check words only estimate similarity; further forests reconnect a group
-    where links of the first one fail the exact check.
-    """
-    i, j, d = links
-    code = np.unique((i.astype(np.int64) << 32) | j, return_index=True)[1]
-    i, j, d = i[code], j[code], d[code]
-    kept = []
-    for k in range(FORESTS):
-        if not len(i):
-            break
-        f = closest_forest((i, j, d))
-        kept.append((*f, np.full(len(f[0]), k + 1, np.int32)))
-        rest = ~np.isin((i.astype(np.int64) << 32) | j, (f[0].astype(np.int64) << 32) | f[1])
-        i, j, d = i[rest], j[rest], d[rest]
-    return tuple(np.concatenate(x) for x in zip(*kept, strict=True))
-
-
-def _band_tasks(nodes: DataFrame, budget: int, *more: str) -> DataFrame:
-    """Rows (node, key, check, _task, _side) and the columns more, a row for each task of each band, sorted by task."""
-    n = max(64, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    banded = nodes.select("node", *more, F.posexplode(F.arrays_zip("keys", "checks")).alias("band", "kc")).select("node", *more, "band", F.col("kc.keys").alias("key"), F.col("kc.checks").alias("check"))
-    routed = route(banded, "key", BAND_BITS, budget, leaves=1, band="band").select("node", *more, "key", "check", "_task", "_side")
-    return routed.repartition(n, "_task").sortWithinPartitions("_task")
-
-
-def candidate_links(nodes: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (u, v) of texts, and the first forest that holds them, from nodes (node, keys, checks).
-
-    Each band is a trie self-join of its own; a task keeps only a few minimum
-    spanning forests of its candidates by the check word's distance.
+
+def resemblance(a: bytes, b: bytes, words: int) -> float:
+    """Jaccard similarity of the sets of word shingles."""
+    x, y = shingle_set(a, words), shingle_set(b, words)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / max(1, len(x) + len(y) - both) if len(x) or len(y) else 1.0
+
+
+def _unpacker(plan: Plan, bands: int):
+    """unpack(batch) of rows (node, bits, root or none): keys and check words by band; a band's check word takes the bits after its own."""
+    size, bits = 64 * plan.words, plan.bits
+    weights = np.uint64(1) << np.arange(bits - 1, -1, -1, dtype=np.uint64)
+
+    def unpack(batch: pa.RecordBatch) -> dict:
+        n = batch.num_rows
+        raw = batch.column("bits").flatten().to_numpy().reshape(n, -1)
+        flat = np.unpackbits(np.ascontiguousarray(raw).view(np.uint8), axis=1, bitorder="little")
+        keys = (flat[:, : bands * bits].reshape(n, bands, bits) * weights).sum(axis=2, dtype=np.uint64)
+        twice = np.concatenate([flat, flat], axis=1)
+        checks = [np.packbits(twice[:, at : at + CHECK_BITS], axis=1).view(np.uint64)[:, 0] for at in (((b + 1) * bits) % size for b in range(bands))]
+        out = {"node": batch.column("node").to_numpy(), "keys": keys, "check": np.stack(checks, axis=1)}
+        if "root" in batch.schema.names:
+            out["root"] = batch.column("root").to_numpy()
+        return out
+
+    return unpack
+
+
+def close_links(nodes: DataFrame, plan: Plan, most: int | None = None) -> DataFrame:
+    """Distinct links (u, v) that look close, from (node, bits): of each trie a minimum spanning forest by the check words' distance.
+
+    They only serve to connect most of what belongs together.
     """
+    apart = plan.most_apart(CHECK_BITS)
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in by_task(rows):
-            order, keys, split = task_keys(table, "key")
-            check = table.column("check").to_numpy()[order].view(np.uint64)
-            names = table.column("node").combine_chunks().take(pa.array(order))
-            held: list = []
-            size = 0
-            for i, j, _ in trie_links(keys, split, BAND_BITS, BAND_BUDGET):
-                d = np.bitwise_count(check[i] ^ check[j])
-                near = d <= CHECK_MOST
-                if near.any():
-                    held.append((i[near], j[near], d[near]))
-                    size += int(near.sum())
-                    if size > 1 << 21:
-                        held = [closest_forests(tuple(map(np.concatenate, zip(*held, strict=True))))[:3]]
-                        size = len(held[0][0])
-            if held:
-                i, j, _, forest = closest_forests(tuple(map(np.concatenate, zip(*held, strict=True))))
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), names.take(pa.array(j)), pa.array(forest)], names=["u", "v", "forest"])
-
-    kind = nodes.schema["node"].dataType.simpleString()
-    found = _band_tasks(nodes, BAND_BUDGET).mapInArrow(run, f"u {kind}, v {kind}, forest int")
-    return found.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.min("forest").alias("forest"))
-
-
-def crossing_pairs(keys: np.ndarray, split: int | None, check: np.ndarray, group: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All candidate index pairs (i, j) of different groups, in blocks; node pairs within one group are not traversed."""
-    ends = np.flatnonzero(np.append(group[1:] != group[:-1], True)) + 1
-    run = np.repeat(ends, np.diff(np.concatenate(([0], ends))))
-
-    def settled(la, ha, lb, hb):
-        return (run[la] >= ha) & (run[lb] >= hb) & (group[la] == group[lb])
-
-    for i, j, _ in trie_links(keys, split, BAND_BITS, budget, settled):
-        near = (group[i] != group[j]) & (np.bitwise_count(check[i] ^ check[j]) <= CHECK_MOST)
-        if near.any():
-            yield i[near], j[near]
-
-
-def crossing_links(nodes: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (u, v) of texts in different groups, none left out, from nodes (node, root, keys, checks)."""
+    def work(shape: Keys, x: dict, nodes, depth: int) -> Iterator[pa.RecordBatch]:
+        def near(i, j):
+            d = np.bitwise_count(x["check"][i] ^ x["check"][j])
+            return d, d <= apart
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in by_task(rows):
-            group = table.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
-            key, side = table.column("key").to_numpy().view(np.uint64), table.column("_side").to_numpy()
-            order = np.lexsort((group, key, side))
-            check = table.column("check").to_numpy()[order].view(np.uint64)
-            names = table.column("node").combine_chunks().take(pa.array(order))
-            for i, j in crossing_pairs(key[order], int((side == 0).sum()) if side.any() else None, check, group[order], WIDE_BUDGET):
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), names.take(pa.array(j))], names=["u", "v"])
-
-    kind = nodes.schema["node"].dataType.simpleString()
-    found = _band_tasks(nodes, WIDE_BUDGET, "root").mapInArrow(run, f"u {kind}, v {kind}")
+        i, j = spanning_links(x["key"], nodes, depth, shape.bits, (0, shape.budget), near)
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(x["node"][i]), pa.array(x["node"][j])], names=["u", "v"])
+
+    bands = min(FIRST_BANDS, plan.bands)
+    found = trie_join(nodes, Keys(plan.bits, BUDGET, bands), _unpacker(plan, bands), work, "u long, v long", {"check": "u8", "node": "i8"}, plan.n, complete=False, most=most)
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def resemblance(a: bytes, b: bytes, words: int) -> float:
-    """Jaccard similarity of the sets of word shingles."""
-    x, y = np.unique(shingle_hashes(a, words)), np.unique(shingle_hashes(b, words))
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / max(1, len(x) + len(y) - both) if len(x) or len(y) else 1.0
+def crossing_links(nodes: DataFrame, plan: Plan, large_roots: list[int], most: int | None = None) -> DataFrame:
+    """All distinct candidate pairs (u, v) of nodes with different roots, from (node, bits, root); node pairs within one root are not traversed."""
+    apart = plan.most_apart(CHECK_BITS)
 
+    def work(shape: Keys, x: dict, nodes, depth: int) -> Iterator[pa.RecordBatch]:
+        root, check = x["root"], x["check"]
+        for i, j in trie_links(x["key"], nodes, depth, shape.bits, shape.budget, same_run(root)):
+            hit = (root[i] != root[j]) & (np.bitwise_count(check[i] ^ check[j]) <= apart)
+            if hit.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x["node"][i[hit]]), pa.array(x["node"][j[hit]])], names=["u", "v"])
 
-def near_duplicate_groups(df: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per row of df: its id, _node (digest of its whole text) and _root (equal within a group).
+    columns = {"root": "i8", "check": "u8", "node": "i8"}
+    found = trie_join(nodes, Keys(plan.bits, BUDGET, plan.bands), _unpacker(plan, plan.bands), work, "u long, v long", columns, plan.n, large_roots, most=most)
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
-    Rows are linked when their sets of ``words``-word shingles (A-Z lower-cased,
-    fewer words: the whole sequence) have a Jaccard similarity of at least
-    ``similarity``; groups are the connected components. Candidates come from
-    trie self-joins over 20 SimHash bands of the same sets (a pair at similarity 0.8 is found
-    with probability over 0.98). Candidates that can still join two groups are
-    checked exactly: first a few spanning forests of them, then, by a second and
-    wider search, every one between the groups these make.
-    Null texts count as empty, and empty texts form a group.
+
+def _verified(pairs: DataFrame, nodes: DataFrame, bodies: DataFrame, plan: Plan, words: int) -> DataFrame:
+    """The pairs (u, v) whose shingle sets are similar enough: first by all bits of their sketches, then exactly.
+
+    bodies: (_digest, _text) of all rows; only those of pairs that are left are
+    read into shingle sets, once each.
     """
-    spark = df.sparkSession
-    prepare(spark)
-    node = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+
+    def ends(some: DataFrame, of: DataFrame, column: str) -> DataFrame:
+        for end in ("u", "v"):
+            some = some.join(of.select(F.col("node").alias(end), F.col(column).alias(f"_{end}")), end)
+        return some
+
+    bits = 64 * plan.words
+    differing = F.aggregate(F.zip_with("_u", "_v", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
+    close = checkpoint(ends(pairs, nodes, "bits").filter(differing <= plan.most_apart(bits)).select("u", "v"))
+    wanted = close.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "_digest"), "node")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            if not batch.num_rows:
-                continue
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                keys, checks = _bands(sketches([np.unique(shingle_hashes(t, words)) for t in texts(part.column("_text"))]))
-                flat = [pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * BANDS), pa.array(x.ravel())) for x in (keys, checks)]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_node"), *flat], names=["_id", "_node", "keys", "checks"])
+            got = [shingle_set(t, words) for t in texts(batch.column(1))]
+            flat = np.concatenate([np.empty(0, np.uint64), *got]).view(np.int64)
+            lists = pa.LargeListArray.from_arrays(pa.array(np.cumsum([0, *map(len, got)]), pa.int64()), pa.array(flat)).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "shingles"])
 
-    kind = df.schema[id_col].dataType.simpleString()
-    rows = checkpoint(df.select(F.col(id_col).alias("_id"), node.alias("_node"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, _node string, keys array<long>, checks array<long>"))
-    nodes = rows.groupBy(F.col("_node").alias("node")).agg(F.first("keys").alias("keys"), F.first("checks").alias("checks"))
-    pairs = checkpoint(candidate_links(nodes))
-    whole = df.select(node.alias("_node"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    read = bodies.join(wanted.select("_digest"), "_digest", "left_semi").dropDuplicates(["_digest"]).join(wanted, "_digest").select("node", "_text")
+    sets = checkpoint(read.mapInArrow(run, "node long, shingles array<long>"))
+    both = F.size(F.array_intersect("_u", "_v"))
+    met = ends(close, sets, "shingles").withColumn("_both", both)
+    return met.filter(F.col("_both") / (F.size("_u") + F.size("_v") - F.col("_both")) >= plan.similarity).select("u", "v")
 
-    def held(some: DataFrame) -> DataFrame:
-        """The texts of the pairs."""
-        ends = some.select(F.explode(F.array("u", "v")).alias("_node")).distinct()
-        return whole.join(ends, "_node", "left_semi").dropDuplicates(["_node"])
 
-    wanted = checkpoint(held(pairs))
-
-    def verify(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            ok = [resemblance(a, b, words) >= similarity for a, b in zip(texts(batch.column(2)), texts(batch.column(3)), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
-
-    def links(some: DataFrame, held: DataFrame) -> DataFrame:
-        """The pairs that pass the exact check."""
-        sided = some.select(F.explode(F.array("u", "v")).alias("_node"), "u", "v").join(held, "_node")
-        met = sided.groupBy("u", "v").agg(F.min(F.when(F.col("_node") == F.col("u"), F.col("_text"))).alias("a"), F.min(F.when(F.col("_node") == F.col("v"), F.col("_text"))).alias("b"))
-        return met.select("u", "v", "a", "b").mapInArrow(verify, "u string, v string")
-
-    # the first forests connect nearly all; of the others only links between different groups are left to check
-    first = connected_components(links(pairs.filter("forest = 1"), wanted))
-    more = pairs.filter("forest > 1").select("u", "v")
-    for end in ("u", "v"):
-        more = more.join(first.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
-    apart = more.filter(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
-    known = connected_components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links(apart, wanted)))
-    # the forests leave out candidates: a second search finds all that still cross groups, and all are checked
-    grouped = nodes.join(known, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "keys", "checks")
-    crossing = checkpoint(crossing_links(grouped).join(pairs, ["u", "v"], "left_anti"))
-    roots = connected_components(known.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links(crossing, held(crossing))))
-    return rows.select("_id", "_node").join(roots.withColumnRenamed("node", "_node"), "_node", "left").select("_id", "_node", F.coalesce("root", "_node").alias("_root"))
-
-
-def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", most: int | None = None) -> DataFrame:
     """One row of each group of near-duplicates, with df's own columns.
 
+    Rows are linked when their sets of ``words``-word shingles (A-Z lower-cased,
+    fewer words: the whole sequence) have a Jaccard similarity of at least
+    ``similarity``; groups are the connected components. Rows with equal sets are
+    one node from the start. A first search connects most of what belongs
+    together; a second one finds every candidate between the groups that the
+    verified links of the first make, and all of them are checked exactly. A pair
+    at the least similarity is a candidate with a probability of 0.999, closer
+    ones more surely.
+
     The row with the least id stays (nulls last; then the least digest of its
-    text); of rows with equal id and text any one stays. See
-    :func:`near_duplicate_groups` for the groups. Empty tables stay empty.
+    text, then of its other columns; of rows equal in all columns any one). Null
+    texts count as empty, and empty texts form a group. Empty tables stay empty.
+    most: keys of a group in one task, for tests.
     """
-    groups = near_duplicate_groups(df, words, similarity, id_col, text_col)
-    best = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_node"))).alias("b")
-    winners = groups.groupBy("_root").agg(best).select(row_key(F.col("b._id"), F.col("b._node")).alias("_key"))
+    spark = df.sparkSession
+    prepare(spark)
+    plan = Plan(df.count(), similarity)
+    body = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    others = [F.col(f"`{c}`") for c in df.columns if c not in (id_col, text_col)]
+    rest = F.md5(F.to_json(F.struct(*others), {"ignoreNullFields": "false"})) if others else F.lit("")
+    rows = df.select(F.col(f"`{id_col}`").alias("_id"), rest.alias("_rest"), F.md5(body).alias("_digest"), body.alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, words) for t in texts(batch.column(3))]
+            names = pa.array([xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+            bits = np.concatenate([np.empty(0, np.int64), *[np.packbits(sketch(s, plan.words), bitorder="little").view(np.int64) for s in sets]])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * plan.words), pa.array(bits))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], names, lists], names=["_id", "_rest", "_digest", "_set", "bits"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    read = rows.mapInArrow(run, f"_id {kind}, _rest string, _digest string, _set binary, bits array<long>")
+    best = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_digest"), F.col("_rest"))).alias("best")
+    nodes = read.groupBy("_set").agg(best, F.first("bits").alias("bits"))
+    # numbers are stored with the nodes; they only name them
+    nodes = checkpoint(nodes.select(F.monotonically_increasing_id().alias("node"), "best", F.col("best._digest").alias("_digest"), "bits"))
+    bodies = rows.select("_digest", "_text")
+
+    first = connected_components(_verified(checkpoint(close_links(nodes.select("node", "bits"), plan, most)), nodes, bodies, plan, words))
+    grouped = checkpoint(nodes.select("node", "bits").join(first, "node", "left").select("node", "bits", F.coalesce("root", "node").alias("root")))
+
+    large = first.groupBy("root").count().filter(F.col("count") > (most or MOST) // 8).select("root").collect()  # at most 8 * rows / MOST
+    crossing = checkpoint(crossing_links(grouped, plan, [r["root"] for r in large], most))
+    second = _verified(crossing, nodes, bodies, plan, words)
+    roots = connected_components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(second))
+
+    rooted = nodes.select("node", "best").join(roots, "node", "left").select("best", F.coalesce("root", "node").alias("root"))
+    winners = rooted.groupBy("root").agg(F.min("best").alias("b")).select(row_key(F.col("b._id"), F.col("b._digest"), F.col("b._rest")).alias("_key"))
     key = fresh(df, "row_digest")
-    marked = df.withColumn(key, row_key(F.col(f"`{id_col}`"), F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))))
-    kept = marked.join(winners, marked[key] == winners["_key"], "left_semi")
-    return kept.dropDuplicates([key]).drop(key)
+    marked = df.withColumn(key, row_key(F.col(f"`{id_col}`"), F.md5(body), rest))
+    return marked.join(winners, marked[key] == winners["_key"], "left_semi").dropDuplicates([key]).drop(key)

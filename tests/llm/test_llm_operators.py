@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from ledgerloom.llm import bpe, chat, common, components, langid, licenses, media, mixing, quality, queries, sharding, simhash, toxicity
+from ledgerloom.llm import bpe, chat, common, components, langid, licenses, media, mixing, quality, queries, sharding, simhash, toxicity, trie
 from ledgerloom.llm.models import Sparse, platt
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -147,35 +147,76 @@ def test_fingerprints_and_components(spark, docs):
     assert rows.component_id.tolist() == brute_components(ids, [(ids[a], ids[b]) for a, b in near])
 
 
-@pytest.mark.parametrize("dense", [0, 1 << 20])
+def brute_links(keys, budget):
+    return {(i, j) for i, j in np.argwhere(np.bitwise_count(keys[:, None] ^ keys[None, :]) <= budget).tolist() if i < j}
+
+
+def root_pair(n, split=None):
+    return tuple(np.array([x]) for x in ((0, n, 0, n) if split is None else (0, split, split, n)))
+
+
+@pytest.mark.parametrize("cut", [16, 1 << 17])
 @pytest.mark.parametrize("n, spread", [(1, 64), (400, 64), (600, 9), (900, 16)])
-def test_trie_join_finds_every_link(n, spread, dense, monkeypatch):
-    monkeypatch.setattr(simhash, "DENSE", dense)
+def test_trie_join_finds_every_link(n, spread, cut, monkeypatch):
+    monkeypatch.setattr(trie, "CUT", cut)
     rng = np.random.default_rng(n)
-    keys = np.unique(rng.integers(0, 1 << min(spread, 62), n, dtype=np.uint64) << np.uint64(64 - min(spread, 62)))
-    want = {(i, j) for i, j in np.argwhere(np.bitwise_count(keys[:, None] ^ keys[None, :]) <= 3).tolist() if i < j}
-    got = [(i, j) for a, b, _ in simhash.trie_links(keys, None, 64, 3) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    keys = np.sort(rng.integers(0, 1 << min(spread, 62), n, dtype=np.uint64) << np.uint64(64 - min(spread, 62)))  # repeats too
+    want = brute_links(keys, 3)
+    got = [(i, j) for a, b in trie.trie_links(keys, root_pair(n), 0, 64, 3) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
     assert len(got) == len(set(got)) and set(got) == want
-    split = len(keys) // 3
-    got = [(i, j) for a, b, _ in simhash.trie_links(keys, split, 64, 3) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    split = n // 3
+    got = [(i, j) for a, b in trie.trie_links(keys, root_pair(n, split), 0, 64, 3) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
     assert set(got) == {(i, j) for i, j in want if i < split <= j} and len(got) == len(set(got))
-    i, j = simhash.spanning_links(keys, None, 64, 3)
-    assert len(i) < max(1, len(keys)) and brute_components(range(len(keys)), zip(i, j, strict=True)) == brute_components(range(len(keys)), want)
+    i, j = trie.spanning_links(keys, root_pair(n), 0, 64, (0, 3))
+    assert len(i) < max(1, n) and brute_components(range(n), zip(i, j, strict=True)) == brute_components(range(n), want)
 
 
-def test_routing_loses_no_link(spark):
-    rng = np.random.default_rng(3)
-    base = rng.integers(0, 1 << 63, 300, dtype=np.int64)
-    flips = [int(b) ^ (1 << int(x)) ^ (1 << int(y)) for b in base for x, y in [rng.integers(0, 64, 2)]]
-    keys = np.unique(np.array([*base.tolist(), *[f - (1 << 64) if f >= 1 << 63 else f for f in flips]], np.int64))
-    frame = spark.createDataFrame([(int(k),) for k in keys], "fp long")
-    routed = simhash.route(frame, "fp", 64, 3, leaves=10_000)
-    tasks = routed.groupBy("_task").agg(F.collect_set("fp").alias("k")).collect()
-    u = keys.view(np.uint64)
-    want = {(min(a, b), max(a, b)) for a, b in np.argwhere(np.bitwise_count(u[:, None] ^ u[None, :]) <= 3).tolist() if a != b}
-    at = {int(k): n for n, k in enumerate(keys)}
-    met = {(min(at[a], at[b]), max(at[a], at[b])) for t in tasks for a in t["k"] for b in t["k"] if a != b}
-    assert want <= met
+@pytest.mark.parametrize("bits, budget, bands", [(64, 3, 1), (24, 2, 5), (29, 2, 2)])
+def test_linked_keys_share_a_group(bits, budget, bands):
+    shape, rng = trie.Keys(bits, budget, bands), np.random.default_rng(bits)
+    a = rng.integers(0, 1 << 63, (500, bands), dtype=np.uint64) >> np.uint64(64 - bits)
+    b = a.copy()
+    for _ in range(budget):
+        b ^= np.uint64(1) << rng.integers(0, bits, a.shape, dtype=np.uint64)
+    met = np.zeros(a.shape, bool)
+    for (slot, ka, ga), (_, kb, gb) in zip(shape.groups(a), shape.groups(b), strict=True):
+        met[:, slot // shape.blocks] |= ga == gb
+        assert (np.bitwise_count(ka ^ kb) == np.bitwise_count(a[:, slot // shape.blocks] ^ b[:, slot // shape.blocks])).all()
+    assert met.all()
+
+
+@pytest.fixture(scope="module")
+def families():
+    """Fingerprints of small families and of one that shares its upper bits."""
+    rng, keys = np.random.default_rng(3), []
+    for n, (reach, members, flips) in enumerate([(64, 4, 4)] * 200 + [(40, 1500, 6)]):
+        base = int(rng.integers(0, 1 << 63))
+        keys.append(base)
+        for _ in range(members):
+            x = base
+            for t in rng.integers(0, reach, int(rng.integers(1, flips + 1)) if n < 200 else flips):
+                x ^= 1 << int(t)
+            keys.append(x)
+    return np.unique(np.array(keys, np.uint64))
+
+
+@pytest.mark.parametrize("most", [None, 25, 400])
+def test_large_groups_split_into_many_tasks_lose_no_link(spark, families, most):
+    signed = families.view(np.int64).tolist()
+    at = {k: n for n, k in enumerate(signed)}
+    got = simhash.fingerprint_links(spark.createDataFrame([(k,) for k in signed], "fp long"), most=most).collect()
+    pairs = [(at[r["u"]], at[r["v"]]) for r in got]
+    assert all(int(families[a] ^ families[b]).bit_count() <= 3 for a, b in pairs)
+    assert brute_components(range(len(signed)), pairs) == brute_components(range(len(signed)), brute_links(families, 3))
+
+
+def test_sub_blocks_of_known_roots_only_meet_others():
+    shape = trie.Keys(24, 2, 1)
+    ((first, tags),) = trie.deal({5: {-1: 10, 0: 40}}, shape, 20, True).values()
+    assert first == {-1: (0, 1), 0: (1, 4)}
+    sides = [{t >> 1: t & 1 for t in x} for x in tags]
+    assert all(not sides[a].keys() & sides[b].keys() for a in range(1, 5) for b in range(1, 5) if a != b)
+    assert all(len(sides[0].keys() & sides[a].keys()) == 1 for a in range(1, 5)) and len(sides[0]) == 5
 
 
 def test_connected_components_of_chains_and_stars(spark):
@@ -186,6 +227,16 @@ def test_connected_components_of_chains_and_stars(spark):
     assert components.connected_components(frame.limit(0)).count() == 0
 
 
+def test_hubs_are_broadcast_and_change_nothing(spark):
+    rng = np.random.default_rng(1)
+    links = [(5000, k) for k in range(3000)] + [(int(a), int(b)) for a, b in rng.integers(6000, 7000, (400, 2))]
+    want = dict(zip(range(7000), brute_components(range(7000), links), strict=True))
+    got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == {k: want[k] for k in got} and len(got) == len({x for e in links if e[0] != e[1] for x in e})
+    plan = components._with_least(spark.createDataFrame(links, "u long, v long"), len(links))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
 def test_simhash_of_odd_rows(spark, odd):
     rows = simhash.simhash_components(odd).toPandas()
     zero = rows[rows.fingerprint == "0" * 16]
@@ -238,10 +289,64 @@ def test_texts_that_differ_in_how_often_a_line_repeats_are_near_duplicates(spark
     assert kept == set(range(40))
 
 
-def test_near_duplicates_of_real_rows_match_brute_force(spark, docs):
-    sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in docs.text]
+def brute_groups(texts, n=5):
+    sets = [set(simhash.shingle_hashes(t.encode(), n).tolist()) for t in texts]
     links = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] or sets[b] if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
-    want = sorted({docs.doc_id[k] for k in brute_components(range(len(sets)), links)})
+    return brute_components(range(len(sets)), links)
+
+
+@pytest.mark.parametrize("words", [150, 400])
+def test_pairs_just_above_the_threshold_are_found(spark, words):
+    """Recall at a Jaccard similarity of 0.8 to 0.85, by pairs: each missed link keeps one row more."""
+    rng, rows, pairs = np.random.default_rng(words), [], 0
+    while pairs < 1000:
+        a = [f"w{x}" for x in rng.integers(0, 1_000_000, words)]
+        b = list(a)
+        b[: int(rng.uniform(0.06, 0.13) * words)] = [f"v{x}" for x in rng.integers(0, 1_000_000, int(rng.uniform(0.06, 0.13) * words))]
+        x, y = " ".join(a), " ".join(b)
+        if 0.8 <= simhash.resemblance(x.encode(), y.encode(), 5) <= 0.85:
+            rows += [(2 * pairs, x), (2 * pairs + 1, y)]
+            pairs += 1
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).count()
+    assert 2000 - kept >= 995
+
+
+def test_plans_keep_recall_and_chance_meets_at_any_size():
+    for n in (0, 10**5, 10**8, 10**11):
+        p = simhash.Plan(n)
+        assert (1 - p.found) ** p.bands <= simhash.MISSED and p.bits * p.bands <= 64 * p.words
+        assert n * (1 + p.bits + p.bits * (p.bits - 1) / 2) / 2**p.bits <= simhash.COMPARED
+    assert simhash.Plan(10**11).bands <= 15 * simhash.Plan(10**5).bands
+
+
+def test_a_large_family_of_near_copies_in_many_tasks(spark):
+    """A third of all texts are near copies of one; groups are cut far below its size."""
+    rng, rows = np.random.default_rng(17), []
+    draw = lambda n: [f"w{x}" for x in rng.integers(0, 1_000_000, n)]
+    base = draw(200)
+    for k in range(300):
+        w = list(base)
+        for x in rng.integers(0, 200, 2):
+            w[int(x)] = f"n{k}"
+        rows.append((k, " ".join(w)))
+    for k in range(300, 900):
+        rows.append((k, " ".join(draw(60))))
+    bridge = base[:100] + draw(100)
+    rows.append((900, " ".join(bridge)))
+    want = {int(r) for r in brute_groups([t for _, t in rows])}
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert {r["doc_id"] for r in simhash.drop_near_duplicates(frame, most=24).collect()} == want
+    assert len(want) < 640
+
+
+def test_which_of_equal_rows_stays_does_not_hang_on_the_layout(spark):
+    rows = [(1, "same text here", f"s{k}") for k in range(20)] + [(None, "other words", f"s{k}") for k in range(20)]
+    kept = [sorted(map(tuple, simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(n)).collect()), key=str) for n in (1, 7)]
+    assert kept[0] == kept[1] and len(kept[0]) == 2
+
+
+def test_near_duplicates_of_real_rows_match_brute_force(spark, docs):
+    want = sorted({docs.doc_id[k] for k in brute_groups(docs.text)})
     kept = simhash.drop_near_duplicates(spark.read.parquet(f"{SF}/documents.parquet"))
     assert kept.columns == list(docs.columns)
     assert sorted(r["doc_id"] for r in kept.collect()) == want
@@ -569,14 +674,3 @@ def test_licenses_of_odd_rows(spark, odd):
 def test_row_keys_tell_nulls_from_blanks(spark):
     rows = spark.createDataFrame([(None, ""), ("", None), (None, None), ("", "")], "a string, b string")
     assert rows.select(common.row_key(F.col("a"), F.col("b")).alias("k")).distinct().count() == 4
-
-
-def test_forests_are_disjoint_and_keep_small_groups_whole():
-    links = [(a, b, (a * 7 + b) % 11) for a in range(4) for b in range(a + 1, 4)] + [(10, 11, 3), (10, 11, 3)]
-    i, j, d = (np.array(x) for x in zip(*links, strict=True))
-    fi, fj, _, forest = simhash.closest_forests((i, j, d))
-    assert forest.min() == 1 and forest.max() <= simhash.FORESTS
-    got = list(zip(fi.tolist(), fj.tolist(), strict=True))
-    assert len(got) == len(set(got)) and set(got) >= {(10, 11)} and len(got) >= 6
-    one = simhash.closest_forest((i, j, d))
-    assert brute_components(range(12), zip(*(x.tolist() for x in one[:2]), strict=True)) == brute_components(range(12), zip(i.tolist(), j.tolist(), strict=True))
