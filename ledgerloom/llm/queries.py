@@ -91,7 +91,7 @@ _MIX_SQL = r"""
 WITH slim AS (
   SELECT row_number() OVER () AS n, doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS digest
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), 'null')) AS digest
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM slim GROUP BY source),
@@ -115,17 +115,18 @@ queued AS (
   SELECT s.*, t.source_size, t.target, t.place,
     coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY digest, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM slim s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
-packets AS (
-  SELECT n, place, target, least(256, size - pos) AS words,
-    CAST(copy * source_size + start + pos + least(256, size - pos) AS BIGINT) AS done
-  FROM (SELECT *, unnest(range(0, size, 256)) AS pos FROM queued, range(2) c(copy) WHERE size > 0)),
+served AS (
+  SELECT n, place, copy * source_size + start AS begins, size, target,
+    CAST(copy * source_size + start + size AS DOUBLE) / target AS finish
+  FROM queued, range(2) c(copy) WHERE size > 0 AND copy * source_size + start < target),
 stream AS (
-  SELECT n, words, coalesce(sum(words) OVER (ORDER BY CAST(done AS DOUBLE) / target, place, done ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS served
-  FROM packets),
+  SELECT n, least(size, ceil(target) - begins) AS words,
+    coalesce(sum(least(size, ceil(target) - begins)) OVER (ORDER BY finish, place, begins ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM served),
 taken AS (
-  SELECT n, sum(least(words, b.budget - served)) AS taken
+  SELECT n, sum(least(words, b.budget - before)) AS taken
   FROM stream, (SELECT CAST(floor(sum(source_size) * 3 / 2) AS BIGINT) AS budget FROM sources) b
-  WHERE served < b.budget GROUP BY n)
+  WHERE before < b.budget GROUP BY n)
 SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
 FROM queued LEFT JOIN taken USING (n)
 """

@@ -398,13 +398,65 @@ def test_mix_of_odd_rows(spark, odd):
     assert whole.columns == odd.columns and whole.count() > 0 and mixing.mix_documents(empty(odd)).count() == 0
 
 
-def test_mix_nears_targets_and_repeats(spark):
+def test_mix_meets_targets_and_repeats(spark):
     frame = spark.read.parquet(f"{SF}/documents.parquet")
     a = mixing.fair_schedule(frame).toPandas()
     g = a.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"))
-    assert (abs(g.taken - g.target) <= 2 * mixing.PACKET).all()
+    assert (abs(g.taken - g.target) <= len(g)).all() and a.taken.sum() == a["size"].sum() * 3 // 2
     b = mixing.fair_schedule(frame.repartition(7)).toPandas()
     assert a.sort_values("doc_id").taken.tolist() == b.sort_values("doc_id").taken.tolist()
+    # of every source one document at most is taken in part
+    part = a[(a.taken > 0) & (a.taken % a["size"].clip(lower=1) > 0)]
+    assert part.groupby("source").size().max() <= 1
+
+
+def brute_mix(rows):
+    """Words taken of (id, text, source) rows, a queue per source and as many words of each as its target."""
+    size = lambda r: len((r[1] or "").encode().split())
+    digest = lambda r: hashlib.md5(f"mix:{'null' if r[0] is None else r[0]}:{'null' if r[1] is None else hashlib.md5(r[1].encode()).hexdigest()}".encode()).hexdigest()
+    sources = sorted({r[2] for r in rows if r[2] is not None}) + [None] * any(r[2] is None for r in rows)
+    weight = dict(zip(sources, [3, 1, 2] * len(sources), strict=False))
+    total = {s: sum(size(r) for r in rows if r[2] == s) for s in sources}
+    target, open_, left = {}, set(sources), sum(total.values()) * 1.5
+    while open_:
+        share = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * share > 2 * total[s]}
+        target |= {s: float(2 * total[s]) for s in full} if full else {s: weight[s] * share for s in open_}
+        left -= sum(2 * total[s] for s in full)
+        open_ -= full or open_
+    out = Counter()
+    for s in sources:
+        at = 0
+        for r in sorted((r for r in rows if r[2] == s), key=lambda r: (digest(r), size(r))) * 2:
+            out[r] += min(size(r), max(0, int(np.ceil(target[s])) - at))
+            at += size(r)
+    return out, target
+
+
+def test_mix_with_a_third_of_the_ids_null_and_a_large_bundle(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE", 16)
+    rng = np.random.default_rng(2)
+    draw = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 99, n))
+    rows = [(None if k % 3 == 0 else k % 50, draw(int(rng.integers(0, 40))), ["a", "b", None][k % 3 if k % 5 else 0]) for k in range(300)]
+    rows += [(None, "the very same text", "b")] * 120 + [(None, None, "a")] * 40
+    names = ("_times", "_row", "_mix_row", "_mix_times", "_k", "_piece", "rows", "start")
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5).select("*", *[F.lit(1).alias(c) for c in names])
+    got = mixing.fair_schedule(frame).toPandas()
+    want, target = brute_mix(rows)
+    assert len(got) == len(rows) and got.taken.sum() == got["size"].sum() * 3 // 2
+    named = lambda x: None if pd.isna(x) else x
+    size = {(i, s, len((t or "").split())): 0 for i, t, s in rows}
+    off = Counter(size)
+    for i, t, s in set(rows):
+        off[i, s, len((t or "").split())] -= want[i, t, s]
+    for r in got.itertuples():
+        off[None if pd.isna(r.doc_id) else int(r.doc_id), named(r.source), r.size] += r.taken
+    assert sum(map(abs, off.values())) <= 2 * len(target)
+    assert {named(s): t for s, t in zip(got.source, got.target, strict=True)} == pytest.approx(target)
+    whole = mixing.mix_documents(frame)
+    assert whole.columns == frame.columns
+    counts = whole.groupBy("text").count().toPandas().set_index("text")["count"]
+    assert counts["the very same text"] <= 240 and abs(counts["the very same text"] * 4 - want[(None, "the very same text", "b")]) <= 4
 
 
 def parts_frame(spark):
