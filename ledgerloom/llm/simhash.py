@@ -113,11 +113,12 @@ def simhash_components(df: DataFrame, words: int = 3, budget: int = 3, id_col: s
 # --- near-duplicates by several bands and an exact check ----------------------
 
 BUDGET = 2
-LEAST_BITS = 24
+LEAST_BITS, CROWDED_BITS = 24, 9
 COMPARED = 256  # keys that a key meets by chance in a band, about, at most
 MISSED = 0.001  # share of pairs at the least similarity that no band finds
 FIRST_BANDS = 8  # that the first search uses, which need not find all
-CHECK_BITS, SIGMAS = 64, 4.3  # deviations from the mean that a pair at the least similarity may have in other bits
+CHECK_BITS, SIGMAS = 64, 4  # deviations from the mean that a pair at the least similarity may have in other bits
+MANY, WIDE_WORDS = 4, 64  # candidates of a text in a trie from which on it is looked at with so many more 64-bit words
 
 _HASHES = HashCache()
 
@@ -134,6 +135,7 @@ class Plan:
 
     n: int
     similarity: float = 0.8
+    least_bits: int = LEAST_BITS
 
     @property
     def odds(self) -> float:
@@ -141,7 +143,7 @@ class Plan:
 
     @property
     def bits(self) -> int:
-        b = LEAST_BITS
+        b = self.least_bits
         while self.n * sum(comb(b, k) for k in range(BUDGET + 1)) / 2**b > COMPARED:
             b += 1
         return b
@@ -200,21 +202,26 @@ def resemblance(a: bytes, b: bytes, words: int) -> float:
     return both / max(1, len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
 
-def _unpacker(plan: Plan, bands: int):
-    """unpack(batch) of rows (node, bits, root or none): keys and check words by band; a band's check word takes the bits after its own."""
-    size, bits = 64 * plan.words, plan.bits
-    weights = np.uint64(1) << np.arange(bits - 1, -1, -1, dtype=np.uint64)
+def _band_keys(words: np.ndarray, plan: Plan, bands: range) -> np.ndarray:
+    """The keys (rows by bands) of sketches given as 64-bit words."""
+    weights = np.uint64(1) << np.arange(plan.bits - 1, -1, -1, dtype=np.uint64)
+    flat = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")[:, bands.start * plan.bits : bands.stop * plan.bits]
+    return (flat.reshape(len(words), len(bands), plan.bits) * weights).sum(axis=2, dtype=np.uint64)
+
+
+def _unpacker(plan: Plan, bands: range):
+    """unpack(batch) of rows (node, bits and, if there are, root and crowded): keys and check words by band; a band's check word takes the bits after its own."""
 
     def unpack(batch: pa.RecordBatch) -> dict:
-        n = batch.num_rows
-        raw = batch.column("bits").flatten().to_numpy().reshape(n, -1)
-        flat = np.unpackbits(np.ascontiguousarray(raw).view(np.uint8), axis=1, bitorder="little")
-        keys = (flat[:, : bands * bits].reshape(n, bands, bits) * weights).sum(axis=2, dtype=np.uint64)
-        twice = np.concatenate([flat, flat], axis=1)
-        checks = [np.packbits(twice[:, at : at + CHECK_BITS], axis=1).view(np.uint64)[:, 0] for at in (((b + 1) * bits) % size for b in range(bands))]
-        out = {"node": batch.column("node").to_numpy(), "keys": keys, "check": np.stack(checks, axis=1)}
+        words = np.ascontiguousarray(batch.column("bits").flatten().to_numpy().reshape(batch.num_rows, -1)).view(np.uint64)
+        flat = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
+        size, twice = flat.shape[1], np.concatenate([flat, flat], axis=1)
+        checks = [np.packbits(twice[:, at : at + CHECK_BITS], axis=1).view(np.uint64)[:, 0] for at in (((b + 1) * plan.bits) % size for b in bands)]
+        out = {"node": batch.column("node").to_numpy(), "keys": _band_keys(words, plan, bands), "check": np.stack(checks, axis=1)}
         if "root" in batch.schema.names:
             out["root"] = batch.column("root").to_numpy()
+        if "crowded" in batch.schema.names:
+            out["crowded"] = batch.column("crowded").to_numpy(zero_copy_only=False)
         return out
 
     return unpack
@@ -236,55 +243,100 @@ def close_links(nodes: DataFrame, plan: Plan, most: int | None = None) -> DataFr
         if len(i):
             yield pa.RecordBatch.from_arrays([pa.array(x["node"][i]), pa.array(x["node"][j])], names=["u", "v"])
 
-    bands = min(FIRST_BANDS, plan.bands)
-    found = trie_join(nodes, Keys(plan.bits, BUDGET, bands), _unpacker(plan, bands), work, "u long, v long", {"check": "u8", "node": "i8"}, plan.n, complete=False, most=most)
+    bands = range(min(FIRST_BANDS, plan.bands))
+    found = trie_join(nodes, Keys(plan.bits, BUDGET, len(bands)), _unpacker(plan, bands), work, "u long, v long", {"check": "u8", "node": "i8"}, plan.n, complete=False, most=most)
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def crossing_links(nodes: DataFrame, plan: Plan, large_roots: list[int], most: int | None = None) -> DataFrame:
-    """All distinct candidate pairs (u, v) of nodes with different roots, from (node, bits, root); node pairs within one root are not traversed."""
+def crossing_links(nodes: DataFrame, plan: Plan, bands: range, large_roots: list[int], most: int | None = None) -> DataFrame:
+    """Candidate pairs (u, v) of nodes with different roots, from (node, bits, root, crowded), and (u, u) for nodes found to be crowded.
+
+    Node pairs within one root are not traversed. A node is crowded if it has
+    over MANY candidates in a task, as in a large family of texts whose similarity
+    is just too small; pairs of two crowded nodes are left to :func:`crowded_links`,
+    all others of these bands are listed here.
+    """
     apart = plan.most_apart(CHECK_BITS)
 
     def work(shape: Keys, x: dict, nodes, depth: int) -> Iterator[pa.RecordBatch]:
-        root, check = x["root"], x["check"]
+        root, check, node, known = x["root"], x["check"], x["node"], x["crowded"]
+        seen, held = np.zeros(len(root), np.int64), []
+        few = lambda i, j: ~((known[i] | (seen[i] > MANY)) & (known[j] | (seen[j] > MANY)))
         for i, j in trie_links(x["key"], nodes, depth, shape.bits, shape.budget, same_run(root)):
             hit = (root[i] != root[j]) & (np.bitwise_count(check[i] ^ check[j]) <= apart)
-            if hit.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x["node"][i[hit]]), pa.array(x["node"][j[hit]])], names=["u", "v"])
+            i, j = i[hit], j[hit]
+            seen += np.bincount(np.concatenate([i, j]), minlength=len(seen))
+            left = few(i, j)
+            held.append((i[left], j[left]))
+        i, j = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*held, strict=True) if held else ((), ())))
+        left, crowded = few(i, j), np.flatnonzero((seen > MANY) & ~known)
+        u, v = node[np.concatenate([i[left], crowded])], node[np.concatenate([j[left], crowded])]
+        if len(u):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+    columns = {"root": "i8", "check": "u8", "node": "i8", "crowded": "?"}
+    found = trie_join(nodes, Keys(plan.bits, BUDGET, len(bands)), _unpacker(plan, bands), work, "u long, v long", columns, plan.n, large_roots, most=most)
+    return checkpoint(found.distinct())
+
+
+def crowded_links(nodes: DataFrame, plan: Plan, large_roots: list[int], most: int | None = None) -> DataFrame:
+    """All candidate pairs (u, v) of crowded nodes with different roots, once each, from (node, root, bits of WIDE_WORDS words).
+
+    The whole sketch travels with every key, so pairs that are not close enough
+    are never listed; a pair is listed by the first trie that holds it.
+    """
+    apart, kind = plan.most_apart(64 * WIDE_WORDS), f"V{8 * WIDE_WORDS}"
+    narrow = _unpacker(plan, range(plan.bands))
 
-    columns = {"root": "i8", "check": "u8", "node": "i8"}
-    found = trie_join(nodes, Keys(plan.bits, BUDGET, plan.bands), _unpacker(plan, plan.bands), work, "u long, v long", columns, plan.n, large_roots, most=most)
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    def unpack(batch: pa.RecordBatch) -> dict:
+        return narrow(batch) | {"wide": np.ascontiguousarray(batch.column("bits").flatten().to_numpy()).view(kind)}
 
+    def work(shape: Keys, x: dict, nodes, depth: int) -> Iterator[pa.RecordBatch]:
+        root, check, node, slot = x["root"], x["check"], x["node"], x["slot"]
+        wide = x["wide"].view(np.uint64).reshape(-1, WIDE_WORDS)
+        for i, j in trie_links(x["key"], nodes, depth, shape.bits, shape.budget, same_run(root)):
+            hit = (root[i] != root[j]) & (np.bitwise_count(check[i] ^ check[j]) <= plan.most_apart(CHECK_BITS))
+            i, j = i[hit], j[hit]
+            for at in range(0, len(i), 1 << 14):
+                a, b = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+                near = np.bitwise_count(wide[a] ^ wide[b]).sum(axis=1, dtype=np.int64) <= apart
+                a, b = a[near], b[near]
+                if len(a):
+                    first = shape.first_slot(_band_keys(wide[a], plan, range(plan.bands)), _band_keys(wide[b], plan, range(plan.bands))) == slot[a]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])[first]), pa.array(np.maximum(node[a], node[b])[first])], names=["u", "v"])
 
-def _verified(pairs: DataFrame, nodes: DataFrame, bodies: DataFrame, plan: Plan, words: int) -> DataFrame:
-    """The pairs (u, v) whose shingle sets are similar enough: first by all bits of their sketches, then exactly.
+    columns = {"root": "i8", "check": "u8", "node": "i8", "slot": "i4", "wide": kind}
+    return trie_join(nodes, Keys(plan.bits, BUDGET, plan.bands), unpack, work, "u long, v long", columns, nodes.count(), large_roots, most=most)
 
-    bodies: (_digest, _text) of all rows; only those of pairs that are left are
-    read into shingle sets, once each.
-    """
+
+def _bodies_of(some: DataFrame, nodes: DataFrame, bodies: DataFrame, out: str, of) -> DataFrame:
+    """node and of(shingle set) (array<long>, named out) for the nodes of ``some``, each read once from its own row's text."""
+    words, name = of
+    wanted = some.select("node").distinct().join(nodes.select("node", "_key"), "node")
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            got = [name(shingle_set(t, words)) for t in texts(batch.column(1))]
+            flat = np.concatenate([np.empty(0, np.int64), *got])
+            lists = pa.LargeListArray.from_arrays(pa.array(np.cumsum([0, *map(len, got)]), pa.int64()), pa.array(flat)).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", out])
+
+    read = bodies.join(wanted, "_key").dropDuplicates(["node"]).select("node", "_text")
+    return checkpoint(read.mapInArrow(run, f"node long, {out} array<long>"))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, bodies: DataFrame, plan: Plan, words: int) -> DataFrame:
+    """The pairs (u, v) whose shingle sets are similar enough: first by all bits of their sketches, then exactly."""
 
     def ends(some: DataFrame, of: DataFrame, column: str) -> DataFrame:
         for end in ("u", "v"):
             some = some.join(of.select(F.col("node").alias(end), F.col(column).alias(f"_{end}")), end)
         return some
 
-    bits = 64 * plan.words
     differing = F.aggregate(F.zip_with("_u", "_v", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
-    close = checkpoint(ends(pairs, nodes, "bits").filter(differing <= plan.most_apart(bits)).select("u", "v"))
-    wanted = close.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "_digest"), "node")
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            got = [shingle_set(t, words) for t in texts(batch.column(1))]
-            flat = np.concatenate([np.empty(0, np.uint64), *got]).view(np.int64)
-            lists = pa.LargeListArray.from_arrays(pa.array(np.cumsum([0, *map(len, got)]), pa.int64()), pa.array(flat)).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "shingles"])
-
-    read = bodies.join(wanted.select("_digest"), "_digest", "left_semi").dropDuplicates(["_digest"]).join(wanted, "_digest").select("node", "_text")
-    sets = checkpoint(read.mapInArrow(run, "node long, shingles array<long>"))
-    both = F.size(F.array_intersect("_u", "_v"))
-    met = ends(close, sets, "shingles").withColumn("_both", both)
+    close = checkpoint(ends(pairs, nodes, "bits").filter(differing <= plan.most_apart(64 * plan.words)).select("u", "v"))
+    sets = _bodies_of(close.select(F.explode(F.array("u", "v")).alias("node")), nodes, bodies, "shingles", (words, lambda s: s.view(np.int64)))
+    met = ends(close, sets, "shingles").withColumn("_both", F.size(F.array_intersect("_u", "_v")))
     return met.filter(F.col("_both") / (F.size("_u") + F.size("_v") - F.col("_both")) >= plan.similarity).select("u", "v")
 
 
@@ -296,7 +348,8 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
     ``similarity``; groups are the connected components. Rows with equal sets are
     one node from the start. A first search connects most of what belongs
     together; a second one finds every candidate between the groups that the
-    verified links of the first make, and all of them are checked exactly. A pair
+    verified links of the first make, and all of them are checked exactly; texts
+    with many candidates are compared by longer sketches before. A pair
     at the least similarity is a candidate with a probability of 0.999, closer
     ones more surely.
 
@@ -326,19 +379,36 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
     best = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_digest"), F.col("_rest"))).alias("best")
     nodes = read.groupBy("_set").agg(best, F.first("bits").alias("bits"))
     # numbers are stored with the nodes; they only name them
-    nodes = checkpoint(nodes.select(F.monotonically_increasing_id().alias("node"), "best", F.col("best._digest").alias("_digest"), "bits"))
-    bodies = rows.select("_digest", "_text")
+    key_of = lambda r: row_key(r["_id"], r["_digest"], r["_rest"])
+    nodes = checkpoint(nodes.select(F.monotonically_increasing_id().alias("node"), "best", key_of(F.col("best")).alias("_key"), "bits"))
+    bodies = rows.select(row_key(F.col("_id"), F.col("_digest"), F.col("_rest")).alias("_key"), "_text")
 
     first = connected_components(_verified(checkpoint(close_links(nodes.select("node", "bits"), plan, most)), nodes, bodies, plan, words))
     grouped = checkpoint(nodes.select("node", "bits").join(first, "node", "left").select("node", "bits", F.coalesce("root", "node").alias("root")))
 
     large = first.groupBy("root").count().filter(F.col("count") > (most or MOST) // 8).select("root").collect()  # at most 8 * rows / MOST
-    crossing = checkpoint(crossing_links(grouped, plan, [r["root"] for r in large], most))
-    second = _verified(crossing, nodes, bodies, plan, words)
+    large = [r["root"] for r in large]
+    # nodes that the first bands find crowded are known in the others
+    start = min(FIRST_BANDS, plan.bands)
+    crossing = crossing_links(grouped.withColumn("crowded", F.lit(False)), plan, range(start), large, most)
+    crowded = crossing.filter("u = v").select(F.col("u").alias("node"))
+    if start < plan.bands:
+        marked = grouped.join(crowded.withColumn("crowded", F.lit(True)), "node", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
+        crossing = crossing.unionByName(crossing_links(marked, plan, range(start, plan.bands), large, most)).distinct()
+        crowded = crossing.filter("u = v").select(F.col("u").alias("node"))
+    crowded = checkpoint(crowded)
+    wide = _bodies_of(crowded, nodes, bodies, "bits", (words, lambda s: np.packbits(sketch(s, WIDE_WORDS), bitorder="little").view(np.int64)))
+    among = crowded_links(grouped.select("node", "root").join(wide, "node"), Plan(crowded.count(), similarity, CROWDED_BITS), large, most)
+    # pairs of two crowded nodes that some trie listed are among the others
+    others = crossing.filter("u < v")
+    for end in ("u", "v"):
+        others = others.join(crowded.select(F.col("node").alias(end), F.lit(1).alias(f"_{end}")), end, "left")
+    others = others.filter("_u is null or _v is null").select("u", "v")
+    second = _verified(checkpoint(others.unionByName(among)), nodes, bodies, plan, words)
     roots = connected_components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(second))
 
     rooted = nodes.select("node", "best").join(roots, "node", "left").select("best", F.coalesce("root", "node").alias("root"))
-    winners = rooted.groupBy("root").agg(F.min("best").alias("b")).select(row_key(F.col("b._id"), F.col("b._digest"), F.col("b._rest")).alias("_key"))
+    winners = rooted.groupBy("root").agg(F.min("best").alias("b")).select(key_of(F.col("b")).alias("_key"))
     key = fresh(df, "row_digest")
     marked = df.withColumn(key, row_key(F.col(f"`{id_col}`"), F.md5(body), rest))
     return marked.join(winners, marked[key] == winners["_key"], "left_semi").dropDuplicates([key]).drop(key)

@@ -27,8 +27,8 @@ SMALL = 48  # node pairs with at most so many leaf pairs are compared directly
 CUT = 1 << 17  # leaf pairs of a node pair, and node pairs of a step, at most
 MOST = 1 << 21  # keys of a group that one task takes
 CHUNK = 1 << 18  # keys that a task traverses at a time; a larger group is taken alone
-BUNDLE = 1 << 19  # keys packed at a time
-PER_TASK = 1 << 22  # keys of a partition, about
+BUNDLE = 12 << 20  # bytes packed at a time, about
+PER_TASK = 128 << 20  # bytes of a partition, about
 
 NodePairs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
@@ -178,6 +178,15 @@ class Keys:
                 slot = band * self.blocks + block
                 yield slot, k, (k >> np.uint64(self.bits - self.width)).astype(np.int64) + (slot << self.width)
 
+    def first_slot(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For linked rows of keys the first slot (band and block) whose group both are in."""
+        apart = a ^ b
+        near = np.bitwise_count(apart) <= self.budget
+        band = near.argmax(axis=1)
+        own = apart[np.arange(len(a)), band]
+        same = [(own >> np.uint64(self.bits - (k + 1) * self.width)) & np.uint64((1 << self.width) - 1) == 0 for k in range(self.blocks)]
+        return (band * self.blocks + np.stack(same, axis=1).argmax(axis=1)).astype(np.int32)
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -251,7 +260,7 @@ def trie_join(nodes: DataFrame, shape: Keys, unpack: Callable, work: Callable, o
     """Runs ``work`` over the tries of all groups.
 
     unpack(batch) gives ``node``, ``keys`` (rows by bands) and the arrays named in
-    ``columns`` (name to dtype; by band or by row). work(shape, arrays, nodes,
+    ``columns`` (name to dtype; by band or by row; ``slot`` is the key's own). work(shape, arrays, nodes,
     depth) yields record batches of schema ``out``; arrays hold ``key`` and the
     columns of some tries, nodes are their node pairs. n: about how many nodes.
     """
@@ -261,9 +270,10 @@ def trie_join(nodes: DataFrame, shape: Keys, unpack: Callable, work: Callable, o
     dealt = deal(large, shape, most, complete)
     shared = spark.sparkContext.broadcast((np.array(sorted(dealt), np.int64), dealt))  # large groups only
     copies = shape.bands * shape.blocks
-    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")), n * copies // PER_TASK)
-    buckets, names = 4 * parts, ["key", *columns]
-    kinds = {"key": "u8", **columns}
+    names, kinds = ["key", *columns], {"key": "u8", **columns}
+    wide = 4 + sum(np.dtype(k).itemsize for k in kinds.values())
+    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")), n * copies * wide // PER_TASK)
+    buckets = 4 * parts
 
     def route(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, table = shared.value
@@ -274,7 +284,7 @@ def trie_join(nodes: DataFrame, shape: Keys, unpack: Callable, work: Callable, o
             got = unpack(batch)
             of = class_of(got.get("root"), np.array(known, np.int64), len(got["node"]))
             for slot, key, g in shape.groups(got["keys"]):
-                row = {"key": key, **{c: got[c][:, slot // shape.blocks] if got[c].ndim == 2 else got[c] for c in columns}}
+                row = {"key": key, **{c: np.full(len(g), slot, np.int32) if c == "slot" else got[c][:, slot // shape.blocks] if got[c].ndim == 2 else got[c] for c in columns}}
                 at = np.minimum(np.searchsorted(hot, g), max(len(hot) - 1, 0))
                 is_hot = hot[at] == g if len(hot) else np.zeros(len(g), bool)
                 cold = ~is_hot
@@ -290,7 +300,7 @@ def trie_join(nodes: DataFrame, shape: Keys, unpack: Callable, work: Callable, o
                         mine = pick[part == s]
                         for tag in tags[s]:
                             held.append({c: v[mine] for c, v in row.items()} | {"tag": np.full(len(mine), tag, np.uint32), "bucket": mixed(np.full(len(mine), tag >> 1)) % np.uint64(buckets)})
-                if sum(len(h["tag"]) for h in held) > BUNDLE:
+                if sum(len(h["tag"]) for h in held) * wide > BUNDLE:
                     yield _packed(held, names)
                     held = []
         if held:
