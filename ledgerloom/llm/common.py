@@ -42,13 +42,16 @@ def prepare(spark: SparkSession) -> None:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint in the cluster's shared folder.
 
-    ``spark.checkpoint.dir`` names that folder; only where it is unset (tests)
-    a temporary folder is used.
+    ``spark.checkpoint.dir`` names that folder; where it is unset a local master
+    (tests) uses a temporary folder, and any other master is an error.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ckpt-"))
     return df.checkpoint()
 
 

@@ -21,6 +21,7 @@ from .common import prepare
 
 DIMS = 512
 MOST_LEARNED = 4_000  # texts learned from for each language, about; the rest of its texts are not needed
+MOST_LANGUAGES = 10_000  # prototypes that the driver holds; more distinct languages are an error
 MOST_TRIPLES = 30_000  # triple vectors remembered
 UNKNOWN = "und"
 
@@ -103,7 +104,8 @@ def learn_prototypes(df: DataFrame, most: int = MOST_LEARNED, id_col: str = "doc
 
     Of a language with more than ``most`` texts those are learned whose id's
     hash is below the matching bound, so about ``most``. Rows with a null
-    language, id or text are left out. The prototypes are one vector a language.
+    language, id or text are left out. The prototypes are one vector a language;
+    over MOST_LANGUAGES distinct languages raise a ValueError.
     """
     prepare(df.sparkSession)
     usable = df.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and _id is not null").filter(~held_out(F.col("_id")))
@@ -122,7 +124,9 @@ def learn_prototypes(df: DataFrame, most: int = MOST_LEARNED, id_col: str = "doc
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([s.tolist() for s in sums.values()], pa.list_(pa.int64()))], names=["lang", "v"])
 
     parts = chosen.select("lang", "text").mapInArrow(run, "lang string, v array<long>")
-    got = parts.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias("v")).collect()
+    got = parts.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias("v")).limit(MOST_LANGUAGES + 1).collect()
+    if len(got) > MOST_LANGUAGES:
+        raise ValueError(f"over {MOST_LANGUAGES} distinct values of {lang_col}")
     out = {}
     for r in sorted(got, key=lambda r: r["lang"]):
         v = np.array([x["x"] for x in r["v"]], float)

@@ -51,6 +51,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "Licensed under the Mozilla Public License, version 2.0."),
     "BSD-3-Clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "Licensed under the 3-Clause BSD License."),
+    "BSD-2-Clause": ("Licensed under the 2-Clause BSD License.", "This project is licensed under the BSD 2-Clause \"Simplified\" License."),
+    "EPL-2.0": ("Licensed under the Eclipse Public License, version 2.0.", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)"),
+    "Zlib": ("Licensed under the zlib License.", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
     "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "Licensed under the ISC License."),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
     "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "Licensed under CC0 1.0 Universal."),

@@ -93,16 +93,16 @@ def fingerprint(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return t[order], c[order]
 
 
-_SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames long, feature string"
-_KEPT = ", media binary, peak_times array<int>, peak_codes array<int>"
+_SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames long, feature string, peak_times array<int>, peak_codes array<int>"
+_KEPT = ", media binary"
 
 
 def media_columns(df: DataFrame, keep_media: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per input row: sizes and digests of payload and media, and the fingerprint.
 
     All digests but ``n_bytes`` come from the stored media read back. ``feature``
-    is ``<pairs>:<hash of times and codes>``. keep_media adds the WAV bytes and
-    the time-coded arrays. A null text counts as empty (one padded unit); equal
+    is ``<pairs>:<hash of times and codes>``; peak_times and peak_codes are the
+    time-coded arrays. keep_media adds the WAV bytes. A null text counts as empty (one padded unit); equal
     texts give equal values; null and repeated ids, empty tables and other
     columns are no matter.
     """
@@ -110,17 +110,17 @@ def media_columns(df: DataFrame, keep_media: bool = False, id_col: str = "doc_id
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            out: list[list] = [[] for _ in range(8 + 3 * keep_media)]
+            out: list[list] = [[] for _ in range(10 + keep_media)]
             for text in texts(batch.column(1)):
                 media = store(to_payload(text))
                 payload = load(media)
                 t, c = fingerprint(np.frombuffer(payload, dtype=np.uint8))
                 digest = hashlib.blake2b(struct.pack("<q", len(t)) + t.astype("<i4").tobytes() + c.astype("<i4").tobytes(), digest_size=16).hexdigest()
-                got = [len(text or b""), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), len(payload) // HOP - 1, f"{len(t)}:{digest}"]
-                for column, value in zip(out, [*got, *((media, t, c) if keep_media else ())], strict=True):
+                got = [len(text or b""), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), len(payload) // HOP - 1, f"{len(t)}:{digest}", t, c]
+                for column, value in zip(out, [*got, *[media] * keep_media], strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), *((pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())) if keep_media else ())]
-            names = "doc_id n_bytes payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 n_frames feature".split() + ["media", "peak_times", "peak_codes"] * keep_media
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), *[pa.binary()] * keep_media]
+            names = "doc_id n_bytes payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 n_frames feature peak_times peak_codes".split() + ["media"] * keep_media
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))], names=names)
 
     return df.select(df[id_col].cast("long"), df[text_col]).mapInArrow(run, _SCHEMA + _KEPT * keep_media)

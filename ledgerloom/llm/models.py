@@ -29,13 +29,17 @@ class HashCache(dict):
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(y, text) of at most ``most`` labelled rows, those whose ids have the least digests.
 
-    ``most`` bounds what is sent to all executors and fitted in one task. Rows
-    with a null id, label or text are left out; equal texts count once.
+    ``most`` bounds what is sent to all executors and fitted in one task: of an
+    id with several texts the one of the least digest is taken. Where equal ids or
+    texts carry different labels their mean decides, a half counts as 1. Rows with
+    a null id, label or text are left out; equal texts count once.
     """
-    least = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("y")).dropna().dropDuplicates(["_id"])
+    decided = F.floor(F.avg("y") + F.lit(0.5)).cast("int").alias("y")
+    least = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("y")).dropna().groupBy("_id").agg(decided)
     least = least.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(most)
-    rows = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(least), "_id").filter("text is not null")
-    return rows.dropDuplicates(["text"]).select("y", "text")
+    rows = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).filter("text is not null").join(F.broadcast(least), "_id")
+    rows = rows.groupBy("_id").agg(F.min(F.struct(F.md5("text"), "text")).alias("t"), F.first("y").alias("y"))
+    return rows.groupBy(F.col("t.text").alias("text")).agg(decided).select("y", "text")
 
 
 def fit(sample: DataFrame, extract: Callable, train: Callable):
@@ -113,12 +117,16 @@ class Sparse:
         out.at, out.value = self.at[hit], self.value[hit]
         return out
 
-    def scaled(self, by: np.ndarray) -> Sparse:
+    def scaled(self, by: np.ndarray) -> tuple[Sparse, np.ndarray]:
+        """(the columns whose factor is not 0, times that factor and numbered anew; their old numbers)"""
         out, hit = Sparse([], []), by[self.at] != 0
+        columns = np.flatnonzero(by)
+        number = np.zeros(len(by), np.int32)
+        number[columns] = np.arange(len(columns))
         out.ends = np.concatenate(([0], np.cumsum(hit)))[self.ends]
-        out.at = self.at[hit]
-        out.value = (self.value[hit] * by[out.at]).astype(np.float32)
-        return out
+        out.at = number[self.at[hit]]
+        out.value = (self.value[hit] * by[self.at[hit]]).astype(np.float32)
+        return out, columns
 
 
 def sigmoid(x):

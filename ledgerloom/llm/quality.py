@@ -57,16 +57,16 @@ def base_rules(text: str, h: np.ndarray) -> tuple[int, int, int, int, int, bool]
     return n, chars, symbols, len(lines) - len(set(lines)), repeated, n < LEAST_WORDS or 100 * repeated > MOST_REPEATED * n
 
 
-def ngrams(data: bytes, h: np.ndarray) -> list[np.ndarray]:
-    """Feature numbers of words, word pairs and byte triples, in three lists."""
-    b = np.frombuffer(data, np.uint8).astype(np.uint64)
-    triples = (b[:-2] << np.uint64(16)) | (b[1:-1] << np.uint64(8)) | b[2:] if len(b) > 2 else np.empty(0, np.uint64)
+def ngrams(text: str, h: np.ndarray) -> list[np.ndarray]:
+    """Feature numbers of words, word pairs and triples of characters (code points), in three lists."""
+    c = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    triples = (c[:-2] << np.uint64(42)) | (c[1:-1] << np.uint64(21)) | c[2:] if len(c) > 2 else np.empty(0, np.uint64)
     return [_fold(h), _fold(h[:-1] * _P2 + h[1:] * _P3) if len(h) > 1 else np.empty(0, np.int32), _fold(triples * _P3 + _P2)]
 
 
 def features(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     at, share = [], []
-    for x in ngrams(data, word_hashes(data)):
+    for x in ngrams(data.decode("utf-8", "replace"), word_hashes(data)):
         k, n = np.unique(x, return_counts=True)
         at.append(k)
         share.append((n / max(1, len(x))).astype(np.float32))
@@ -90,10 +90,10 @@ def train(y: np.ndarray, x: Sparse) -> dict:
     return {"w": p[:SIZE].astype(np.float32), "b": float(p[SIZE]), "platt": platt(score, y[aside])}
 
 
-def probability(data: bytes, h: np.ndarray, model: dict) -> float:
+def probability(text: str, h: np.ndarray, model: dict) -> float:
     """The calibrated probability of good quality."""
     w = model["w"]
-    score = model["b"] + sum(float(w[x].mean(dtype=np.float64)) for x in ngrams(data, h) if len(x))
+    score = model["b"] + sum(float(w[x].mean(dtype=np.float64)) for x in ngrams(text, h) if len(x))
     a, b = model["platt"]
     return float(sigmoid(a * score + b))
 
@@ -112,7 +112,7 @@ def judge(text: str | None, model: dict) -> tuple:
     base = base_rules(text, h)
     if base[-1]:
         return *base, None, False
-    p = probability(data, h, model)
+    p = probability(text, h, model)
     return *base, p, p >= KEEP
 
 

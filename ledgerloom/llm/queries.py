@@ -32,7 +32,7 @@ def op1_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_columns(_read(spark, sf_dir, "documents"))
+    return media_columns(_read(spark, sf_dir, "documents"), keep_media=True)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
