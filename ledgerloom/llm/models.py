@@ -14,18 +14,6 @@ from xxhash import xxh64_intdigest
 from .common import texts
 
 
-class HashCache(dict):
-    """XXH64 of byte strings; forgets all when it grows too large, which changes no result."""
-
-    MOST = 100_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
-        h = self[word] = xxh64_intdigest(word, 7)
-        return h
-
-
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(y, text) of at most ``most`` labelled rows, those whose ids have the least digests.
 

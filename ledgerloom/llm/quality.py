@@ -9,13 +9,15 @@ and calibrated on a part of them that the fit does not see.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from xxhash import xxh64_intdigest
 
 from .common import prepare
-from .models import HashCache, Sparse, adam, fit, labelled_sample, platt, sigmoid
+from .models import Sparse, adam, fit, labelled_sample, platt, sigmoid
 
 SIZE = 1 << 18
 MOST_LABELLED = 6_000  # labelled rows used for fit and calibration
@@ -25,7 +27,6 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
-_HASHES = HashCache()
 _P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -35,7 +36,7 @@ def _fold(h: np.ndarray) -> np.ndarray:
 
 def word_hashes(data: bytes) -> np.ndarray:
     w = data.split()
-    return np.fromiter(map(_HASHES.__getitem__, w), np.uint64, len(w))
+    return np.fromiter(map(xxh64_intdigest, w, repeat(7)), np.uint64, len(w))
 
 
 def base_rules(text: str, h: np.ndarray) -> tuple[int, int, int, int, int, bool]:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import repeat
 from math import acos, ceil, comb, log, pi, sqrt
 
@@ -26,7 +27,6 @@ from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from .common import checkpoint, fresh, prepare, row_key, texts
 from .components import connected_components
-from .models import HashCache
 from .trie import MOST, Keys, same_run, spanning_links, trie_join, trie_links
 
 SEED = 42
@@ -118,9 +118,9 @@ COMPARED = 256  # keys that a key meets by chance in a band, about, at most
 MISSED = 0.001  # share of pairs at the least similarity that no band finds
 FIRST_BANDS = 8  # that the first search uses, which need not find all
 CHECK_BITS, SIGMAS = 64, 4  # deviations from the mean that a pair at the least similarity may have in other bits
+FEW = 200_000  # rows of some 100 bytes that may be broadcast
 MANY, WIDE_WORDS = 4, 64  # candidates of a text in a trie from which on it is looked at with so many more 64-bit words
 
-_HASHES = HashCache()
 
 
 @dataclass(frozen=True)
@@ -173,7 +173,7 @@ def shingle_set(text: bytes | None, n: int) -> np.ndarray:
     w = (text or b"").lower().split()
     if not w:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, w), np.uint64, len(w))
+    h = np.fromiter(map(xxh64_intdigest, w, repeat(SEED)), np.uint64, len(w))
     n = min(n, len(w))
     total = np.full(len(w) - n + 1, n, np.uint64)
     for k in range(n):
@@ -183,12 +183,16 @@ def shingle_set(text: bytes | None, n: int) -> np.ndarray:
     return np.unique(total ^ (total >> np.uint64(32)))
 
 
+@lru_cache(8)
+def _turns(words: int) -> np.ndarray:
+    return np.random.default_rng(SEED).integers(1, 1 << 63, words, dtype=np.uint64) | np.uint64(1)
+
+
 def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
     """A SimHash of 64 * words bits (uint8 0 or 1) of a set of hashes, each hash expanded to as many random bits; none: zeros."""
     if not len(hashes):
         return np.zeros(64 * words, np.uint8)
-    turn = np.random.default_rng(SEED).integers(1, 1 << 63, words, dtype=np.uint64) | np.uint64(1)
-    x = hashes[:, None] * turn
+    x = hashes[:, None] * _turns(words)
     x ^= x >> np.uint64(32)
     x *= np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
@@ -310,9 +314,15 @@ def crowded_links(nodes: DataFrame, plan: Plan, large_roots: list[int], most: in
 
 
 def _bodies_of(some: DataFrame, nodes: DataFrame, bodies: DataFrame, out: str, of) -> DataFrame:
-    """node and of(shingle set) (array<long>, named out) for the nodes of ``some``, each read once from its own row's text."""
+    """node and of(shingle set) (array<long>, named out) for the nodes of ``some``, each read once from its own row's text.
+
+    Up to FEW nodes are broadcast, so that texts are not moved for them; more
+    meet the texts by a shuffled join.
+    """
     words, name = of
-    wanted = some.select("node").distinct().join(nodes.select("node", "_key"), "node")
+    wanted = checkpoint(some.select("node").distinct().join(nodes.select("node", "_key"), "node"))
+    if wanted.count() <= FEW:
+        wanted = F.broadcast(wanted)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -386,7 +396,7 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
     first = connected_components(_verified(checkpoint(close_links(nodes.select("node", "bits"), plan, most)), nodes, bodies, plan, words))
     grouped = checkpoint(nodes.select("node", "bits").join(first, "node", "left").select("node", "bits", F.coalesce("root", "node").alias("root")))
 
-    large = first.groupBy("root").count().filter(F.col("count") > (most or MOST) // 8).select("root").collect()  # at most 8 * rows / MOST
+    large = first.groupBy("root").count().filter(F.col("count") > (most or MOST // 64) // 8).select("root").collect()  # few: each holds many nodes
     large = [r["root"] for r in large]
     # nodes that the first bands find crowded are known in the others
     start = min(FIRST_BANDS, plan.bands)

@@ -7,7 +7,7 @@ as soon as its bits exceed the budget.
 Tasks come from the pigeonhole: a key is cut into budget + 1 blocks, and two keys
 within the budget agree in one block at least. A key goes to one group for each
 block, named by the block's number and value; a group is a trie of the remaining
-bits. A group with over ``MOST`` keys is dealt into sub-blocks, every pair of which
+bits. A group of more than ``MOST`` bytes is dealt into sub-blocks, every pair of which
 is a task, so no group is bound to one task and none is cut.
 
 Keys travel as packed arrays, a row for each bucket of tasks and bundle of keys.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 SMALL = 48  # node pairs with at most so many leaf pairs are compared directly
 CUT = 1 << 17  # leaf pairs of a node pair, and node pairs of a step, at most
-MOST = 1 << 21  # keys of a group that one task takes
+MOST = 64 << 20  # bytes of a group's keys that one task takes
 CHUNK = 1 << 18  # keys that a task traverses at a time; a larger group is taken alone
 BUNDLE = 12 << 20  # bytes packed at a time, about
 PER_TASK = 128 << 20  # bytes of a partition, about
@@ -264,14 +264,14 @@ def trie_join(nodes: DataFrame, shape: Keys, unpack: Callable, work: Callable, o
     depth) yields record batches of schema ``out``; arrays hold ``key`` and the
     columns of some tries, nodes are their node pairs. n: about how many nodes.
     """
-    spark, most = nodes.sparkSession, most or MOST
+    names, kinds = ["key", *columns], {"key": "u8", **columns}
+    wide = 4 + sum(np.dtype(k).itemsize for k in kinds.values())
+    spark, most = nodes.sparkSession, most or MOST // wide
     known = sorted(roots or [])
     large = large_groups(nodes, shape, unpack, known, most)
     dealt = deal(large, shape, most, complete)
     shared = spark.sparkContext.broadcast((np.array(sorted(dealt), np.int64), dealt))  # large groups only
     copies = shape.bands * shape.blocks
-    names, kinds = ["key", *columns], {"key": "u8", **columns}
-    wide = 4 + sum(np.dtype(k).itemsize for k in kinds.values())
     parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")), n * copies * wide // PER_TASK)
     buckets = 4 * parts
 

@@ -733,7 +733,8 @@ def test_sparse_products_match_dense(monkeypatch):
     w, r = np.array([1.0, 2, 3, 4]), np.array([1.0, 2, 3, 4])
     assert (x.dot(w) == dense @ w).all() and (x.back(r, 4) == dense.T @ r).all()
     assert (x.rows(np.array([True, False, True, False])).dot(w) == (dense @ w)[[0, 2]]).all()
-    assert (x.scaled(np.array([0, 1.0, 0, 2])).dot(w) == dense * [0, 1, 0, 2] @ w).all()
+    z, columns = x.scaled(np.array([0, 1.0, 0, 2]))
+    assert columns.tolist() == [1, 3] and (z.dot(w[columns]) == dense * [0, 1, 0, 2] @ w).all()
 
 
 def test_platt_is_monotone_and_calibrated():
