@@ -97,10 +97,18 @@ def distinct_count(c: Column) -> Column:
     return F.size(F.array_distinct(F.transform(found, F.lower))).cast("long")
 
 
-def pattern_code(first: Column, last: Column, local: Column) -> Column:
-    """P25: which of seven forms made of the name the local part is (0 to 6), else null."""
+def _forms(first: Column, last: Column) -> Column:
     f, n = (F.regexp_replace(fold(x), "[^a-z]", "") for x in (first, last))
     i, dot = F.substring(f, 1, 1), F.lit(".")
-    forms = F.array(n, F.concat(f, dot, n), F.concat(i, n), F.concat(i, dot, n), F.concat(n, dot, f), F.concat(f, n), F.concat(n, i))
-    at = F.array_position(forms, local)
+    return F.array(n, F.concat(f, dot, n), F.concat(i, n), F.concat(i, dot, n), F.concat(n, dot, f), F.concat(f, n), F.concat(n, i))
+
+
+def pattern_code(first: Column, last: Column, local: Column) -> Column:
+    """P25: which of seven forms made of the name the local part is (0 to 6), else null."""
+    at = F.array_position(_forms(first, last), local)
     return F.when(at > 0, at - 1)
+
+
+def pattern_local(first: Column, last: Column, code: Column) -> Column:
+    """The local part that a code of :func:`pattern_code` stands for; it only reads back an address that was observed."""
+    return F.get(_forms(first, last), code.cast("int"))

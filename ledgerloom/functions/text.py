@@ -111,3 +111,8 @@ def utc_date(ts: Column) -> Column:
 def prague_date(ts: Column) -> Column:
     """P48, batch: the calendar date in Prague of a UTC time; the session's time zone does not matter."""
     return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit("Europe/Prague"), ts.cast("timestamp_ntz")), "yyyy-MM-dd")
+
+
+def positive_int(c: Column) -> Column:
+    """The value of an option that must be a positive whole number, else null."""
+    return F.when(c.rlike(r"^\s*[+]?[0-9]+\s*$") & (F.trim(c).try_cast("int") > 0), F.trim(c).try_cast("int"))

@@ -57,6 +57,12 @@ def _dots(path: Column) -> Column:
     return F.when(path.rlike("(^|/)[.]{1,2}(/|$)"), let(F.split(F.substr(path, F.lit(2)), "/", -1), walk)).otherwise(path)
 
 
+def _encoded(path: Column) -> Column:
+    """The path with blanks and characters beyond ASCII percent-encoded as UTF-8; escapes that are there stay."""
+    each = F.transform(F.split(path, ""), lambda c: F.when(c.rlike(r"[^\x21-\x7e]|[\"<>`{}]"), F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))).otherwise(c))
+    return F.when(path.rlike(r"[^\x21-\x7e]|[\"<>`{}]"), F.array_join(each, "")).otherwise(path)
+
+
 def _resolved(href: Column, base: Column, use) -> Column:
     """use(parts of href made absolute, parts of base); null unless both are http(s) with a host."""
 
@@ -93,7 +99,7 @@ def canonical(href: Column, base: Column) -> Column:
     """The page of the same site that a link leads to (https, no www, query or fragment), else null."""
 
     def build(p: Column, b: Column) -> Column:
-        path = F.regexp_replace(F.regexp_replace(_dots(p["path"]), "/{2,}", "/"), "/$", "")
+        path = F.regexp_replace(F.regexp_replace(_encoded(_dots(p["path"])), "/{2,}", "/"), "/$", "")
         return F.when(_bare(p["host"]) == _bare(b["host"]), F.concat(F.lit("https://"), _bare(p["host"]), _port(p), path))
 
     skip = href.rlike(r"(?i)^\s*((mailto|tel|javascript|data):|#|$)")
@@ -117,7 +123,7 @@ def without_trackers(href: Column, base: Column) -> Column:
     def build(p: Column, b: Column) -> Column:
         pairs = F.filter(F.split(F.substr(p["query"], F.lit(2)), "&"), lambda x: ~F.split_part(x, F.lit("="), F.lit(1)).rlike("^utm_|fbclid|gclid") & (x != ""))
         query = let(F.array_join(pairs, "&"), lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""))
-        return F.when(p["credentials"] == "", F.concat(p["scheme"], F.lit("://"), p["host"], _port(p), _dots(p["path"]), query))
+        return F.when(p["credentials"] == "", F.concat(p["scheme"], F.lit("://"), p["host"], _port(p), _encoded(_dots(p["path"])), query))
 
     return _resolved(href, base, build)
 

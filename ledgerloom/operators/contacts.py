@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import policy as P
 from ..functions import emails, names, text, urls
+from .delivery import small
 
 KEY = ["school", "mailbox"]
 
@@ -30,11 +31,16 @@ def best_by_confidence(obs: DataFrame, keys: list[str] | None = None) -> DataFra
 
 
 def first_with_unions(obs: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Batch winner: the first row of each mailbox of one person, with all its sources and roles in first-seen order."""
+    """Batch winner: the first row of each mailbox of one person, with all its sources and roles in first-seen order.
+
+    Sightings are reduced to the first one of each (source, role) before they
+    are put together, so a mailbox is gathered as its distinct values only.
+    """
     keys = keys or ["mailbox"]
-    ordered = lambda c: F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("pos", c))), lambda x: x[c]))
     rest = [c for c in obs.columns if c not in keys]
-    rows = obs.groupBy(*keys).agg(F.min("person").alias("_a"), F.max("person").alias("_b"), F.min_by(F.struct(*rest), "pos").alias("_w"), ordered("source").alias("sources"), F.array_compact(ordered("role")).alias("roles"))
+    kinds = obs.groupBy(*keys, "source", "role").agg(F.min("person").alias("_a"), F.max("person").alias("_b"), F.min_by(F.struct(*rest), "pos").alias("_w"), F.min("pos").alias("_p"))
+    ordered = lambda c: F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("_p", c))), lambda x: x[c]))
+    rows = kinds.groupBy(*keys).agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"), F.min_by("_w", "_p").alias("_w"), ordered("source").alias("sources"), F.array_compact(ordered("role")).alias("roles"))
     return rows.filter("_a = _b").select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest], "sources", "roles")
 
 
@@ -52,8 +58,10 @@ def keep_last(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def seen_span(obs: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """First and last time seen, number of sightings and sorted sources of each key."""
-    return obs.groupBy(*(keys or KEY)).agg(F.min("observed_at").alias("first_seen"), F.max("observed_at").alias("last_seen"), F.count(F.lit(1)).alias("sightings"), F.array_sort(F.collect_set("source")).alias("sources"))
+    """First and last time seen, number of sightings and sorted sources of each key; sightings are counted by source first."""
+    keys = keys or KEY
+    by_source = obs.groupBy(*keys, "source").agg(F.min("observed_at").alias("_f"), F.max("observed_at").alias("_l"), F.count(F.lit(1)).alias("_n"))
+    return by_source.groupBy(*keys).agg(F.min("_f").alias("first_seen"), F.max("_l").alias("last_seen"), F.sum("_n").alias("sightings"), F.array_sort(F.collect_list("source")).alias("sources"))
 
 
 def merge_ledger(obs: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -83,9 +91,14 @@ def merge_ledger(obs: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
+def newer(ledger: DataFrame, date: Column) -> DataFrame:
+    """The ledger rows that were observed after the capture."""
+    return ledger.filter(F.col("last_observed_at") > date)
+
+
 def assert_not_newer(ledger: DataFrame, date: str) -> None:
     """A ledger from after the capture is an error."""
-    if not ledger.filter(F.col("last_observed_at") > F.lit(date)).isEmpty():
+    if not newer(ledger, F.lit(date)).isEmpty():
         raise ValueError("the ledger is newer than the capture")
 
 
@@ -149,7 +162,7 @@ def unbegun(since: Column, date: Column) -> Column:
 
 def accept_reviewed(obs: DataFrame, schools: DataFrame, date: str) -> tuple[DataFrame, DataFrame]:
     """PI4 with J6: (accepted observations, rejected ones with their reason)."""
-    met = obs.alias("o").join(F.broadcast(schools).alias("s"), F.col("o.school_key") == F.col("s.key"), "left") if obs is not None else None
+    met = obs.alias("o").join((F.broadcast(schools) if small(schools) else schools).alias("s"), F.col("o.school_key") == F.col("s.key"), "left")
     judged = met.select("o.*", observation_errors(date=F.lit(date)).alias("_errors"))
     return judged.filter(F.size("_errors") == 0).drop("_errors"), judged.filter(F.size("_errors") > 0).withColumn("reason", F.array_join("_errors", "; ")).drop("_errors")
 

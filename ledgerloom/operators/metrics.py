@@ -1,11 +1,12 @@
-"""Counts, statuses and coverage."""
+"""Counts, statuses and coverage."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import policy as P
+from ..functions import text
 
 
 def school_status(c) -> Column:
@@ -37,6 +38,40 @@ def histogram_map(rows: DataFrame, column: str) -> DataFrame:
     return histogram(rows, column).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(column, "n")))).alias("counts"))
 
 
+def run_rows(runs: DataFrame, pages: DataFrame) -> DataFrame:
+    """Every run with its totals, finish and status.
+
+    runs: run, started_at, finished_at, failure (a message, null if it ended); a
+    run with a failure is FAILED whatever its pages say, one without an end
+    RUNNING, others PARTIAL or COMPLETED; a run without pages has zeros.
+    """
+    totals = run_totals(pages, ["run"]).withColumnRenamed("status", "_status")
+    met = runs.join(totals, "run", "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("pages", "verified", "unpaired", "ambiguous", "conflicts", "contacts_found", "errors")]
+    status = F.when(F.col("failure").isNotNull(), "FAILED").when(F.col("finished_at").isNull(), "RUNNING").otherwise(F.coalesce("_status", F.lit("COMPLETED")))
+    return met.select("run", "started_at", "finished_at", "failure", *counts, status.alias("status"))
+
+
+def batch_summary(rows: DataFrame, contacts: DataFrame, review: DataFrame) -> DataFrame:
+    """The 13 metrics of a batch, one row.
+
+    rows: a row a school (status, website, contacts, pages, browser_pages,
+    profile_cards, opened_cards); contacts: school, email, person; review: items.
+    """
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
+    schools = rows.agg(
+        F.count(F.lit(1)).alias("registry_schools"), F.count_if(F.col("status") != "NOT_PROCESSED").alias("processed_schools"), F.count_if(F.coalesce(F.col("website"), F.lit("")) != "").alias("schools_with_web"),
+        F.count_if(F.col("contacts") > 0).alias("schools_with_contacts"), *[total(c).alias(n) for c, n in (("pages", "static_pages"), ("browser_pages", "browser_pages"), ("profile_cards", "profile_cards"), ("opened_cards", "opened_profile_cards"))],
+    )
+    unique = contacts.agg(F.count(F.lit(1)).alias("contact_rows"), F.count_distinct("email").alias("unique_emails"), F.count_distinct("school", "person").alias("unique_people_in_schools"))
+    items = review.agg(F.count(F.lit(1)).alias("review_items"))
+    statuses = histogram_map(rows, "status").withColumnRenamed("counts", "statuses")
+    out = schools.withColumn("_k", F.lit(1))
+    for other in (unique, items, statuses):  # a row each
+        out = out.join(other.withColumn("_k", F.lit(1)), "_k")
+    return out.drop("_k")
+
+
 def run_totals(pages: DataFrame, keys: list[str]) -> DataFrame:
     """Sums by key; contacts found are verified, unpaired and ambiguous ones, without conflicts."""
     found = F.sum(F.col("verified") + F.col("unpaired") + F.col("ambiguous"))
@@ -56,23 +91,32 @@ def is_html(content_type: Column, body: Column) -> Column:
     return F.coalesce(content_type.rlike("(?i)text/html|application/xhtml[+]xml"), F.lit(False)) | F.coalesce(body.rlike(r"(?is)^\s*(<!doctype\s+html|<html|<head|<body)"), F.lit(False))
 
 
-def page_flags(html: Column) -> dict[str, Column]:
-    """soft 404, script shell, pagination and interactive controls of a page, by patterns alone."""
-    title = F.lower(F.concat_ws(" ", F.regexp_extract(html, "(?is)<title[^>]*>(.*?)</title>", 1), F.regexp_extract(html, "(?is)<h1[^>]*>(.*?)</h1>", 1)))
-    plain = F.regexp_replace(F.regexp_replace(html, "(?is)<(script|style)[^>]*>.*?</(script|style)>", " "), "(?s)<[^>]+>", " ")
-    return {
-        "soft404": title.rlike(P.NOT_FOUND),
-        "js_shell": (F.length(F.trim(F.regexp_replace(plain, r"\s+", " "))) < 500) & F.lower(html).contains("<script"),
-        "pagination": html.rlike(f"(?is)<a\\s[^>]*>[^<]*({P.NEXT_WORDS})[^<]*</a>") | html.rlike("(?i)<a\\s[^>]*rel=.next"),
-        "interactive": html.rlike("(?is)<button[^>]*>[^<]*(zobrazit profil|view profile)") | html.rlike("(?i)aria-expanded=.false"),
-    }
-
-
 def browser_reason(c) -> Column:
     """why a page goes to the browser, null if it does not."""
     return F.when(c("interactive"), "INTERACTIVE_PROFILES").when(c("js_shell"), "JAVASCRIPT_PAGE").when(c("staff") & (c("names") > c("contacts") + 2), "STAFF_COVERAGE_GAP")
 
 
+def is_staff(url: Column, title: Column) -> Column:
+    """Whether the address or title of a page speaks of staff."""
+    return F.coalesce(text.fold(F.concat_ws(" ", url, title)).rlike(P.STAFF_PAGES), F.lit(False))
+
+
+def browser_targets(pages: DataFrame, n: int = 3) -> DataFrame:
+    """Site, url, reason, weight, rank of the n pages of each site that the browser opens first.
+
+    pages: site, url, title, interactive, js_shell, names, contacts, profile_cards.
+    Profile cards weigh 100 each, an address that speaks of staff 20; the earlier
+    URL goes first on ties. A page is a target once.
+    """
+    c = F.col
+    path = F.regexp_extract("url", "^[^/]*//[^/?#]*([^?#]*)", 1)
+    weight = F.coalesce(c("profile_cards"), F.lit(0)) * 100 + F.when(path.rlike(f"(?i){P.BROWSER_PATHS}"), 20).otherwise(0)
+    rows = pages.withColumn("staff", is_staff(c("url"), c("title"))).withColumn("reason", browser_reason(c)).filter("reason is not null")
+    once = rows.groupBy("site", "url").agg(F.min("reason").alias("reason"), F.max(weight).cast("long").alias("weight"))
+    rank = F.row_number().over(Window.partitionBy("site").orderBy(F.desc("weight"), "url"))
+    return once.withColumn("rank", rank.cast("long")).filter(F.col("rank") <= n)
+
+
 def profile_coverage(captures: DataFrame) -> DataFrame:
     """A row per capture (capture, expected, names, observations, exhausted).
 

@@ -15,7 +15,7 @@ from .fixtures import FIXTURES
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("scalars", "links", "people", "registry", "contacts", "metrics", "streams")
+_MODULES = ("scalars", "links", "people", "registry", "contacts", "metrics", "files", "streams")
 
 
 def query(sql: str | None = None, needs: str = "", ctes: str = "") -> Callable:

@@ -102,7 +102,7 @@ def _schools(spark, sf):
 
 
 @query(
-    """SELECT row_number() OVER (ORDER BY school_name COLLATE "C", person, mailbox COLLATE "C") AS rank, person, mailbox AS email, school_name, nation AS address, 'https://zs' || school || '.example.org' AS website, strftime(first_seen, '%Y-%m-%d') AS collected_at
+    """SELECT row_number() OVER (ORDER BY school_name COLLATE cs, person, mailbox COLLATE "C") AS rank, person, mailbox AS email, school_name, nation AS address, 'https://zs' || school || '.example.org' AS website, strftime(first_seen, '%Y-%m-%d') AS collected_at
     FROM winners JOIN customers USING (school) WHERE school % 10 <> 0""",
     "fx_obs",
     f"{_ONE},\n{_CS}",
@@ -130,22 +130,48 @@ def dictionary_rank(rows):
 
 
 
-@query(
-    """SELECT k, CASE k WHEN 1 THEN '' WHEN 2 THEN 'GENERIC_MAILBOX' WHEN 3 THEN 'UNKNOWN_SCHOOL' WHEN 4 THEN 'OUTSIDE_SCOPE; NON_OFFICIAL_CONTACT_SOURCE; NAME_NOT_IN_EVIDENCE; EMAIL_NOT_PUBLISHED; CONFLICTING_PUBLISHED_EMAILS; SOURCE_REVIEW_REQUIRED; EXPIRED_ASSOCIATION; FUTURE_ASSOCIATION'
-    WHEN 5 THEN 'INVALID_CONTACT_SOURCE; MISSING_NAME; INVALID_EMAIL_SYNTAX; EXPIRED_ASSOCIATION' WHEN 6 THEN 'INCOMPLETE_SCHOOL; OUTSIDE_SCOPE; INVALID_SCHOOL_SOURCE; NON_PERSON_NAME' WHEN 7 THEN '' WHEN 8 THEN 'INVALID_NAME' ELSE '' END AS errors FROM fx_capture""",
-    "fx_capture",
-)
+_CODES = r"""met AS (SELECT o.*, s.key, s.name, s.type, s.scope, s.address, s.website, s.address_source_url, lower(regexp_replace(replace(trim(o.email), ' (at) ', '@'), '\s*@\s*', '@')) AS mail, trim(o.first_name) <> '' AND trim(o.last_name) <> '' AS named,
+  list_filter(string_split_regex(lower(trim(o.first_name || ' ' || o.last_name)), '\s+'), lambda x: x <> '') AS tokens, string_split_regex(lower(o.published_name), '[^a-záčďéěíňóřšťúůýž0-9]+') AS shown,
+  regexp_replace(lower(regexp_extract(o.source_url, '^https?://([^/]*)', 1)), '^www[.]', '') AS source_host, regexp_replace(lower(regexp_extract(s.website, '^https?://([^/]*)', 1)), '^www[.]', '') AS site_host
+  FROM fx_reviewed o LEFT JOIN fx_reviewed_school s ON o.school_key = s.key),
+judged AS (SELECT *, CASE WHEN key IS NULL THEN 'UNKNOWN_SCHOOL' ELSE concat_ws('; ',
+  CASE WHEN name = '' OR address = '' OR type NOT IN ('ZŠ', 'SŠ', 'ZŠ+SŠ') THEN 'INCOMPLETE_SCHOOL' END,
+  CASE WHEN scope <> 'Praha' OR NOT regexp_matches(address, '(?i)praha|prague') OR regexp_matches(address, '(?i)praha\s*-\s*(východ|západ)') THEN 'OUTSIDE_SCOPE' END,
+  CASE WHEN NOT contains(site_host, '.') OR NOT regexp_matches(address_source_url, '^https?://') THEN 'INVALID_SCHOOL_SOURCE' END,
+  CASE WHEN source_host = '' THEN 'INVALID_CONTACT_SOURCE' END,
+  CASE WHEN source_host <> '' AND contains(site_host, '.') AND source_host <> site_host THEN 'NON_OFFICIAL_CONTACT_SOURCE' END,
+  CASE WHEN NOT named THEN 'MISSING_NAME' END,
+  CASE WHEN named AND regexp_matches(first_name || last_name, '[0-9]') THEN 'INVALID_NAME' END,
+  CASE WHEN named AND list_has_any(tokens, ['google', 'classroom', 'microsoft', 'facebook', 'instagram', 'kontakt', 'kontakty', 'škola', 'school']) THEN 'NON_PERSON_NAME' END,
+  CASE WHEN named AND NOT list_has_all(shown, tokens) THEN 'NAME_NOT_IN_EVIDENCE' END,
+  CASE WHEN NOT regexp_matches(mail, '^[^@\s]+@[^@\s]+[.][a-z]{2,}$') THEN 'INVALID_EMAIL_SYNTAX' END,
+  CASE WHEN mail <> replace(published_email, ' (at) ', '@') THEN 'EMAIL_NOT_PUBLISHED' END,
+  CASE WHEN split_part(mail, '@', 1) IN ('info', 'office', 'skola', 'school', 'sekretariat', 'kancelar', 'podatelna') THEN 'GENERIC_MAILBOX' END,
+  CASE WHEN alternate NOT IN ('', mail) THEN 'CONFLICTING_PUBLISHED_EMAILS' END,
+  CASE WHEN NOT reviewed THEN 'SOURCE_REVIEW_REQUIRED' END,
+  CASE WHEN valid_until IS NOT NULL AND (TRY_CAST(valid_until AS DATE) IS NULL OR valid_until < '2026-01-01') THEN 'EXPIRED_ASSOCIATION' END,
+  CASE WHEN valid_from IS NOT NULL AND (TRY_CAST(valid_from AS DATE) IS NULL OR valid_from > '2026-01-01') THEN 'FUTURE_ASSOCIATION' END) END AS errors FROM met)"""
+
+
+@query("SELECT k, errors FROM judged", "fx_reviewed fx_reviewed_school", _CODES)
 def pilot_validate(spark, sf):
-    obs = read(spark, sf, "fx_capture").withColumn("alternate_emails", F.filter(F.array("alternate"), lambda e: e != ""))
-    met = obs.alias("o").join(read(spark, sf, "fx_capture_school").alias("s"), F.col("o.school_key") == F.col("s.key"), "left")
+    """All codes over observations with every kind of fault."""
+    obs = read(spark, sf, "fx_reviewed").withColumn("alternate_emails", F.filter(F.array("alternate"), lambda e: e != ""))
+    met = obs.alias("o").join(read(spark, sf, "fx_reviewed_school").alias("s"), F.col("o.school_key") == F.col("s.key"), "left")
     return met.select("o.k", F.array_join(C.observation_errors(date=F.lit("2026-01-01")), "; ").alias("errors"))
 
 
-@query("SELECT 3::BIGINT AS schools, 1::BIGINT AS schools_with_contacts, 1::BIGINT AS contacts, 1::BIGINT AS pairs, 1::BIGINT AS duplicates, 8::BIGINT AS review FROM (SELECT 1) WHERE (SELECT count(*) FROM fx_capture) = 10", "fx_capture")
+@query(
+    """SELECT (SELECT count(*) FROM fx_reviewed_school) AS schools, count(DISTINCT school) FILTER (persons = 1) AS schools_with_contacts, count_if(persons = 1) AS contacts, count(DISTINCT (school, person)) FILTER (persons = 1) AS pairs,
+    CAST(coalesce(sum(n - 1) FILTER (persons = 1), 0) AS BIGINT) AS duplicates, CAST((SELECT count(*) FROM judged WHERE errors <> '') + coalesce(sum(n) FILTER (persons > 1), 0) AS BIGINT) AS review
+    FROM (SELECT school_key AS school, mail, count(DISTINCT lower(first_name || '|' || last_name)) AS persons, min(lower(first_name || '|' || last_name)) AS person, count(*) AS n FROM judged WHERE errors = '' GROUP BY 1, 2)""",
+    "fx_reviewed fx_reviewed_school",
+    _CODES,
+)
 def pilot_summary(spark, sf):
     """Mailboxes of several persons go to review, the rest is counted."""
-    obs = read(spark, sf, "fx_capture").withColumn("alternate_emails", F.filter(F.array("alternate"), lambda e: e != ""))
-    schools = read(spark, sf, "fx_capture_school")
+    obs = read(spark, sf, "fx_reviewed").withColumn("alternate_emails", F.filter(F.array("alternate"), lambda e: e != ""))
+    schools = read(spark, sf, "fx_reviewed_school")
     good, bad = C.accept_reviewed(obs, schools, "2026-01-01")
     rows = good.select(F.col("school_key").alias("school"), F.lower("email").alias("mailbox"), F.lower(F.concat_ws("|", "first_name", "last_name")).alias("person"))
     keys = rows.groupBy("school", "mailbox").agg(F.count_distinct("person").alias("persons"), F.min("person").alias("person"), F.count(F.lit(1)).alias("n"))
@@ -291,3 +317,20 @@ def set_difference(spark, sf):
     li = read(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"), "l_suppkey", "l_returnflag", "l_linestatus")
     left, right = (x.select("day", "l_suppkey").distinct() for x in (li.filter("l_linestatus = 'O'"), li.filter("l_returnflag = 'R'")))
     return left.join(right, ["day", "l_suppkey"], "left_anti").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT row_number() OVER (ORDER BY name COLLATE cs, last_name COLLATE cs, first_name COLLATE cs, k) AS rank, k, name FROM (SELECT k, first_name, last_name, (['Čtvrtá', 'Cihlářská', 'Chodovická', 'Hlavní', 'Šestá', 'Sadová', 'Žitná'])[CAST(k % 7 + 1 AS INT)] AS name FROM fx_person)", "fx_person")
+def export_czech_order(spark, sf):
+    """Schools, then people in Czech order (ch after h, č after c)."""
+    from ..operators.delivery import czech, ranked
+
+    names = F.array(*map(F.lit, ("Čtvrtá", "Cihlářská", "Chodovická", "Hlavní", "Šestá", "Sadová", "Žitná")))
+    rows = read(spark, sf, "fx_person").withColumn("name", F.get(names, (F.col("k") % 7).cast("int")))
+    return ranked(rows, [czech(F.col("name")), czech(F.col("last_name")), czech(F.col("first_name")), F.col("k")]).select("rank", "k", "name")
+
+
+@query("SELECT school, mailbox FROM (SELECT school, mailbox, max(observed_at) AS last_observed_at FROM fx_obs GROUP BY 1, 2) WHERE last_observed_at > DATE '1998-10-01'", "fx_obs")
+def ledger_newer(spark, sf):
+    """What a ledger holds from after a capture of 1998-10-01; the job stops if there is any."""
+    ledger = read(spark, sf, "fx_obs").groupBy("school", "mailbox").agg(F.max("observed_at").alias("last_observed_at"))
+    return C.newer(ledger, F.lit("1998-10-01").cast("date")).select("school", "mailbox")

@@ -36,7 +36,7 @@ FIXTURES = {
         "customer",
         (
             "c_custkey AS k",
-            "CASE c_custkey % 8 WHEN 0 THEN concat(' Info@WWW.zs', cast(c_nationkey AS STRING), '.CZ ') WHEN 1 THEN concat('c', cast(c_custkey AS STRING), '@gmail.com') WHEN 2 THEN 'invalid' WHEN 3 THEN 'x@localhost'"
+            "CASE c_custkey % 8 WHEN 0 THEN concat(' Info@WWW.zs', cast(c_nationkey AS STRING), '.CZ ') WHEN 1 THEN concat('c', cast(c_custkey AS STRING), CASE c_custkey % 5 WHEN 0 THEN '@gmail.com' WHEN 1 THEN '@seznam.cz' WHEN 2 THEN '@yahoo.com' WHEN 3 THEN '@zs.seznam.cz' ELSE '@tiscali.cz' END) WHEN 2 THEN 'invalid' WHEN 3 THEN 'x@localhost'"
             " WHEN 4 THEN concat('a..b@zs', cast(c_nationkey AS STRING), '.cz') WHEN 5 THEN concat('Jan.Novak+', cast(c_custkey AS STRING), '@Zs.Example.ORG') WHEN 6 THEN concat('podatelna@skola-', cast(c_nationkey AS STRING), '.cz') ELSE concat('j.n@zs', cast(c_nationkey AS STRING), '.cz') END AS raw",
             "c_nationkey AS nation",
         ),
@@ -170,6 +170,64 @@ FIXTURES = {
         " ('p2', 2, 'Jan Novák|Eva Malá', 0, 'Jan Novák', 'Jana Nová', 'NAME_MISMATCH', 'j@example.org', false), ('p2', 2, 'Jan Novák|Eva Malá', 1, 'Eva Malá', 'Eva Malá', 'OPENED', 'e@example.org', false),"
         " ('p3', 1, 'Petr Šimek', 0, 'Petr Šimek', 'Petr Šimek', 'OPENED', 'p@example.org', true), ('p4', 1, 'Petr Šimek', 0, 'Petr Šimek', 'Petr Šimek', 'OPENED', 'p@example.org', false)",
     ),
+    # pages made of parts whose meaning is known: what the page shows follows from k
+    "fx_page": Fixture(
+        "customer",
+        (
+            "c_custkey AS k",
+            "concat('https://zs', cast(c_custkey % 20 AS STRING), '.example.org/', CASE WHEN c_custkey % 4 = 0 THEN 'sbor' ELSE 'p' END, '/', cast(c_custkey AS STRING)) AS url",
+            "concat('<html><head><title>', CASE WHEN c_custkey % 7 = 0 THEN 'Stránka  nenalezena' ELSE 'Škola' END, '</title></head><body><h1>', CASE WHEN c_custkey % 11 = 0 THEN 'Chyba 404' ELSE 'Naše <i>škola</i>' END, '</h1>',"
+            " CASE c_custkey % 3 WHEN 0 THEN '<a href=\"/p/2\"><b>další</b></a>' WHEN 1 THEN '<a rel=\"next\" href=\"/p/3\">3</a>' ELSE '<a href=\"/kontakt/\">Kontakt</a><a href=\"/kontakt\">kontakty</a>' END,"
+            " CASE c_custkey % 5 WHEN 0 THEN '<div role=\"button\">Detail pracovníka</div>' WHEN 1 THEN '<details><summary>Vedení školy</summary>x</details>' WHEN 2 THEN '<a aria-expanded=\"false\" href=\"/menu\">Menu</a>'"
+            " WHEN 3 THEN '<button>Zobrazit <b>profil</b></button><button>view&#32;profile</button>' ELSE '<details open><summary>učitelé</summary></details>' END,"
+            " CASE WHEN c_custkey % 2 = 0 THEN concat('<p hidden>', repeat('skryto ', 120), '</p><script>x()</script>') ELSE concat('<p>', repeat('slovo ', 120), '</p>') END,"
+            " '<p>učí Jan Novák a Eva Malá: jan', cast(c_custkey AS STRING), '@zs.example.org</p></body></html>') AS html",
+        ),
+    ),
+    # lists of people with addresses; every fourth entry names two people
+    "fx_people_page": Fixture(
+        "customer",
+        (
+            "c_custkey AS k",
+            "concat('https://zs', cast(c_custkey AS STRING), '.example.org/lide') AS url",
+            "CASE c_custkey % 5 WHEN 0 THEN 'Jan' WHEN 1 THEN 'Věra' WHEN 2 THEN 'Jiří' WHEN 3 THEN 'Eva' ELSE 'Zdeněk' END AS first_name",
+            "CASE c_custkey % 3 WHEN 0 THEN 'Novák' WHEN 1 THEN 'Černá' ELSE 'Šimek' END AS last_name",
+            "concat('<html><body><ul><li>Mgr. ', CASE c_custkey % 5 WHEN 0 THEN 'Jan' WHEN 1 THEN 'Věra' WHEN 2 THEN 'Jiří' WHEN 3 THEN 'Eva' ELSE 'Zdeněk' END, ' ', CASE c_custkey % 3 WHEN 0 THEN 'Novák' WHEN 1 THEN 'Černá' ELSE 'Šimek' END,"
+            " CASE WHEN c_custkey % 4 = 0 THEN ' a Hana Malá' ELSE ', učitelka' END, ' <a href=\"mailto:m', cast(c_custkey AS STRING), '%40zs.example.org?subject=x\">m', cast(c_custkey AS STRING), '@zs.example.org</a></li></ul>',"
+            " '<div><p>Kancelář: info [at] zs.example [dot] org</p></div><div><button><h3>Jan  Novák</h3>Zobrazit <b>profil</b></button><button><h4>Eva ', cast(c_custkey % 3 AS STRING), '</h4>zobrazit&#32;PROFIL</button><button><h3>Jiné</h3>Více</button></div></body></html>') AS html",
+        ),
+    ),
+    # reviewed observations and their schools, with every kind of fault
+    "fx_reviewed": Fixture(
+        "customer",
+        (
+            "c_custkey AS k",
+            "concat('s', cast(c_custkey % 6 AS STRING)) AS school_key",
+            "CASE c_custkey % 17 WHEN 0 THEN ' ' WHEN 1 THEN 'R2' WHEN 2 THEN 'Kontakt' WHEN 3 THEN 'Jan' ELSE 'Eva' END AS first_name",
+            "CASE c_custkey % 5 WHEN 0 THEN 'Novák' ELSE 'Malá' END AS last_name",
+            "CASE WHEN c_custkey % 13 = 0 THEN 'Petr Jiný' ELSE concat('Mgr. ', CASE c_custkey % 17 WHEN 0 THEN ' ' WHEN 1 THEN 'R2' WHEN 2 THEN 'Kontakt' WHEN 3 THEN 'Jan' ELSE 'Eva' END, ' ', CASE c_custkey % 5 WHEN 0 THEN 'Novák' ELSE 'Malá' END) END AS published_name",
+            "CASE c_custkey % 19 WHEN 0 THEN 'bad' WHEN 1 THEN 'info@s.example.org' ELSE concat('p', cast(c_custkey % 40 AS STRING), '@s.example.org') END AS email",
+            "CASE WHEN c_custkey % 23 = 0 THEN 'other@s.example.org' ELSE replace(CASE c_custkey % 19 WHEN 0 THEN 'bad' WHEN 1 THEN 'info@s.example.org' ELSE concat('p', cast(c_custkey % 40 AS STRING), '@s.example.org') END, '@', ' (at) ') END AS published_email",
+            "CASE c_custkey % 29 WHEN 0 THEN 'ftp://x' WHEN 1 THEN 'https://cizi.example.com/k' ELSE concat('https://www.s.example.org/k', cast(c_custkey % 3 AS STRING)) END AS source_url",
+            "c_custkey % 31 <> 0 AS reviewed",
+            "CASE WHEN c_custkey % 37 = 0 THEN 'x@s.example.org' ELSE '' END AS alternate",
+            "CASE c_custkey % 41 WHEN 0 THEN '2027-01-01' WHEN 1 THEN '2025-13-01' END AS valid_from",
+            "CASE c_custkey % 43 WHEN 0 THEN '2020-01-01' WHEN 1 THEN '2024-02-30' WHEN 2 THEN '2026-01-01' END AS valid_until",
+        ),
+    ),
+    "fx_reviewed_school": Fixture(
+        None,
+        ("key", "name", "type", "scope", "address", "website", "address_source_url"),
+        "('s0', 'ZŠ Nula', 'ZŠ', 'Praha', 'Dlouhá 1, Praha', 'https://s.example.org', 'https://registry.example.org/0'), ('s1', 'SŠ Jedna', 'X', 'Praha', 'Dlouhá 2, Praha', 'https://s.example.org', 'https://registry.example.org/1'),"
+        " ('s2', 'SŠ Dva', 'SŠ', 'Praha', 'Krátká 2, Praha - východ', 'https://s.example.org', 'https://registry.example.org/2'), ('s3', 'ZŠ Tři', 'ZŠ+SŠ', 'Praha', 'Nová 3, Prague', 'http://localhost', 'https://registry.example.org/3'), ('s4', 'ZŠ Čtyři', 'ZŠ', 'Praha', 'Nová 4, Praha', 'https://s.example.org', 'https://registry.example.org/4')",
+    ),
+    "fx_octets": Fixture(
+        "customer",
+        (
+            "c_custkey AS k",
+            "concat(cast(CASE c_custkey % 11 WHEN 0 THEN 10 WHEN 1 THEN 172 WHEN 2 THEN 192 WHEN 3 THEN 169 WHEN 4 THEN 100 WHEN 5 THEN 198 WHEN 6 THEN 127 WHEN 7 THEN 0 ELSE c_custkey % 300 END AS STRING), '.', cast(CASE c_custkey % 3 WHEN 0 THEN (c_custkey * 7) % 256 WHEN 1 THEN 168 ELSE 254 END AS STRING), '.', cast(c_custkey % 256 AS STRING), '.', cast((c_custkey * 3) % 256 AS STRING)) AS value",
+        ),
+    ),
     "fx_html": Fixture(
         None,
         ("url", "school_name", "html"),

@@ -45,9 +45,19 @@ def url_safety(spark, sf):
     return read(spark, sf, "fx_url").select("k", urls.unsafe_reason(F.col("value")).alias("reason"), urls.public_http(F.col("value")).alias("public"))
 
 
-@query("SELECT value, value IN ('8.8.8.8', '172.32.0.1', '100.128.0.1', '2001:4860::1') AS public FROM fx_ip", "fx_ip")
+_OCTET = "list_transform(string_split(value, '.'), lambda x: CAST(x AS INT))"
+
+
+@query(
+    rf"""SELECT value, bool_and(CASE WHEN o IS NULL THEN regexp_matches(lower(value), '^[23][0-9a-f]{{3}}:') AND NOT regexp_matches(lower(value), '^(2001:db8:|2002:)') ELSE list_max(o) < 256 AND NOT (o[1] IN (0, 10, 127) OR o[1] > 223 OR (o[1] = 169 AND o[2] = 254)
+    OR (o[1] = 172 AND o[2] >= 16 AND o[2] < 32) OR (o[1] = 192 AND o[2] IN (0, 168)) OR (o[1] = 100 AND o[2] >= 64 AND o[2] < 128) OR (o[1] = 198 AND o[2] IN (18, 19))) END) AS public
+    FROM (SELECT value, CASE WHEN regexp_matches(value, '^[0-9]+([.][0-9]+){{3}}$') THEN {_OCTET} END AS o FROM (SELECT value FROM fx_octets UNION ALL SELECT value FROM fx_ip)) GROUP BY value""",
+    "fx_octets fx_ip",
+)
 def public_ip(spark, sf):
-    return read(spark, sf, "fx_ip").select("value", urls.public_ip(F.col("value")).alias("public"))
+    """Addresses of many ranges against the ranges as numbers."""
+    values = read(spark, sf, "fx_octets").select("value").unionByName(read(spark, sf, "fx_ip")).distinct()
+    return values.select("value", urls.public_ip(F.col("value")).alias("public"))
 
 
 _BY_NATION = "SELECT nation, list(raw ORDER BY k) AS mails FROM fx_email GROUP BY nation"
@@ -55,7 +65,7 @@ _D = "regexp_replace(regexp_extract(lower(trim(m, ' ')), '^.+@([^@]*)$', 1), '^w
 
 
 @query(
-    f"""SELECT nation, string_agg(site, ' ' ORDER BY p) AS sites FROM (SELECT nation, 'https://' || {_D} AS site, min(k) AS p FROM (SELECT nation, raw AS m, k FROM fx_email) WHERE contains({_D}, '.') AND {_D} NOT IN ('gmail.com') GROUP BY 1, 2) GROUP BY nation""",
+    f"""SELECT nation, string_agg(site, ' ' ORDER BY p) AS sites FROM (SELECT nation, 'https://' || {_D} AS site, min(k) AS p FROM (SELECT nation, raw AS m, k FROM fx_email) WHERE contains({_D}, '.') AND {_D} NOT IN {P.FREEMAIL['classic']} GROUP BY 1, 2) GROUP BY nation""",
     "fx_email",
 )
 def website_candidates_classic(spark, sf):
@@ -64,9 +74,9 @@ def website_candidates_classic(spark, sf):
 
 
 @query(
-    """SELECT nation, string_agg(site, ' ' ORDER BY r) AS sites FROM (SELECT nation, site, row_number() OVER (PARTITION BY nation ORDER BY p) AS r FROM (
+    f"""SELECT nation, string_agg(site, ' ' ORDER BY r) AS sites FROM (SELECT nation, site, row_number() OVER (PARTITION BY nation ORDER BY p) AS r FROM (
     SELECT nation, site, min(p) AS p FROM (SELECT nation, unnest(['https://' || h, CASE WHEN h NOT LIKE 'www.%' THEN 'https://www.' || h END]) AS site, k * 2 + unnest([0, 1]) AS p FROM (SELECT nation, k, lower(split_part(raw, '@', 2)) AS h FROM fx_email)
-    WHERE regexp_matches(h, '^[a-z0-9.-]+[.][a-z]{2,}$') AND h <> 'gmail.com') WHERE site IS NOT NULL GROUP BY 1, 2)) WHERE r <= 4 GROUP BY nation""",
+    WHERE regexp_matches(h, '^[a-z0-9.-]+[.][a-z]{{2,}}$') AND h NOT IN {P.FREEMAIL['batch']}) WHERE site IS NOT NULL GROUP BY 1, 2)) WHERE r <= 4 GROUP BY nation""",
     "fx_email",
 )
 def website_candidates_batch(spark, sf):
@@ -74,9 +84,11 @@ def website_candidates_batch(spark, sf):
     return rows.select("nation", F.array_join(urls.candidates(F.lit(None).cast("string"), F.col("mails"), "batch"), " ").alias("sites")).filter("sites != ''")
 
 
+# blanks and characters beyond ASCII as percent escapes
+_ENC = r"array_to_string(list_transform(string_split({0}, ''), lambda c: CASE WHEN regexp_matches(c, '[^\x21-\x7e]') THEN url_encode(c) ELSE c END), '')"
 _ANCHORS = r"""anchors AS (SELECT page_url, pos, regexp_extract(a, '(?is)href="([^"]*)"', 1) AS href, trim(regexp_replace(regexp_replace(a, '<[^>]+>', '', 'g'), '\s+', ' ', 'g'), ' ') AS label FROM (
   SELECT url AS page_url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*>.*?</a>')) AS a, generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*>.*?</a>'), 1) - 1 AS pos FROM pages)),
-known AS (SELECT page_url, pos, label, 'https://' || regexp_replace(lower(regexp_extract(page_url, '^[a-z]+://([^/?#:]*)', 1)), '^www[.]', '') || regexp_replace(regexp_replace(split_part(split_part(href, '#', 1), '?', 1), '/+', '/', 'g'), '/$', '') AS url FROM anchors WHERE href LIKE '/%')"""
+known AS (SELECT page_url, pos, label, 'https://' || regexp_replace(lower(regexp_extract(page_url, '^[a-z]+://([^/?#:]*)', 1)), '^www[.]', '') || regexp_replace(regexp_replace(""" + _ENC.format("split_part(split_part(href, '#', 1), '?', 1)") + r""", '/+', '/', 'g'), '/$', '') AS url FROM anchors WHERE href LIKE '/%')"""
 
 
 def _classic_links(spark, sf):
@@ -106,7 +118,7 @@ _BATCH = r"""scored AS (SELECT page_url, pos, url, label, CAST(CASE WHEN regexp_
   + CASE WHEN regexp_matches(s, 'pedagog|staff|zamestnan|ucitel|teachers|sbor') THEN 20 ELSE 0 END + CASE WHEN regexp_matches(s, 'vedeni|leadership|reditel|pracovnic') THEN 14 ELSE 0 END
   + CASE WHEN regexp_matches(s, 'o.skole|about') THEN 5 ELSE 0 END + CASE WHEN regexp_matches(s, 'druzina|jidelna|poradensk') THEN 5 ELSE 0 END
   - CASE WHEN regexp_matches(s, 'aktualit|novink|archiv|foto|galerie|soutez|kalendar|202[0-5]') THEN 14 ELSE 0 END END AS BIGINT) AS score FROM (
-  SELECT page_url, pos, label, regexp_extract(page_url, '^([a-z]+://)', 1) || lower(regexp_extract(page_url, '^[a-z]+://([^/?#]*)', 1)) || split_part(href, '#', 1) AS url, split_part(href, '#', 1) AS path, strip_accents(lower(split_part(href, '#', 1) || ' ' || label)) AS s FROM anchors WHERE href LIKE '/%'))"""
+  SELECT page_url, pos, label, regexp_extract(page_url, '^([a-z]+://)', 1) || lower(regexp_extract(page_url, '^[a-z]+://([^/?#]*)', 1)) || """ + _ENC.format("split_part(href, '#', 1)") + r""" AS url, split_part(href, '#', 1) AS path, strip_accents(lower(split_part(href, '#', 1) || ' ' || label)) AS s FROM anchors WHERE href LIKE '/%'))"""
 
 
 @query("SELECT page_url, CAST(pos AS INTEGER) AS pos, score FROM scored", ctes=f"{_ANCHORS},\n{_BATCH}")
@@ -114,7 +126,7 @@ def link_relevance_batch(spark, sf):
     return _batch_links(spark, sf).select("page_url", "pos", "score")
 
 
-@query("SELECT page_url, url, max(score) AS score, arg_max(label, (score, -pos)) AS label FROM scored GROUP BY 1, 2", ctes=f"{_ANCHORS},\n{_BATCH}")
+@query("SELECT page_url, arg_max(url, (score, -pos)) AS url, max(score) AS score, arg_max(label, (score, -pos)) AS label FROM scored GROUP BY page_url, regexp_replace(url, '/$', '')", ctes=f"{_ANCHORS},\n{_BATCH}")
 def link_best(spark, sf):
     return L.best_links(_batch_links(spark, sf)).select("page_url", "url", "score", "label")
 

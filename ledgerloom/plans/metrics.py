@@ -34,19 +34,28 @@ def status_histogram(spark, sf):
     return M.histogram_map(_rows(spark, sf), "status").select(F.explode("counts").alias("status", "n"))
 
 
+_BATCH = """batch_rows AS (SELECT school_rows.*, school % 9 AS pages, CASE WHEN school % 3 = 1 THEN school % 2 ELSE 0 END AS browser_pages, CASE WHEN school % 3 = 1 THEN school % 7 ELSE 0 END AS profile_cards, CASE WHEN school % 3 = 1 THEN school % 7 - CAST(school % 7 > 0 AND school % 2 = 1 AS INT) ELSE 0 END AS opened_cards FROM school_rows),
+batch_contacts AS (SELECT o_custkey AS school, 'm' || (o_orderkey % 997) || '@example.org' AS email, o_orderpriority AS person FROM orders WHERE o_orderstatus = 'F'),
+batch_review AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')"""
+
+
 @query(
-    """SELECT count(*) AS schools, count_if(status <> 'NOT_PROCESSED') AS processed, count_if(website IS NOT NULL) AS with_web, count_if(contacts > 0) AS with_contacts, CAST(sum(contacts) AS BIGINT) AS contact_rows,
-    (SELECT count(DISTINCT o_totalprice) FROM orders) AS unique_mails, (SELECT count(DISTINCT (o_custkey, o_orderpriority)) FROM orders) AS unique_people FROM school_rows""",
+    """SELECT count(*) AS registry_schools, count_if(status <> 'NOT_PROCESSED') AS processed_schools, count_if(coalesce(website, '') <> '') AS schools_with_web, count_if(contacts > 0) AS schools_with_contacts, (SELECT count(*) FROM batch_contacts) AS contact_rows,
+    (SELECT count(DISTINCT email) FROM batch_contacts) AS unique_emails, (SELECT count(DISTINCT (school, person)) FROM batch_contacts) AS unique_people_in_schools, (SELECT count(*) FROM batch_review) AS review_items,
+    CAST(sum(pages) AS BIGINT) AS static_pages, CAST(sum(browser_pages) AS BIGINT) AS browser_pages, CAST(sum(profile_cards) AS BIGINT) AS profile_cards, CAST(sum(opened_cards) AS BIGINT) AS opened_profile_cards,
+    (SELECT string_agg(status || '=' || n, ' ' ORDER BY status) FROM (SELECT status, count(*) AS n FROM batch_rows GROUP BY 1)) AS statuses FROM batch_rows""",
     "fx_school",
-    _STATUS,
+    f"{_STATUS},\n{_BATCH}",
 )
 def batch_summary(spark, sf):
-    """Exact distinct counts, one row."""
-    totals = _rows(spark, sf).agg(
-        F.count(F.lit(1)).alias("schools"), F.count_if(F.col("status") != "NOT_PROCESSED").alias("processed"), F.count_if(F.col("website").isNotNull()).alias("with_web"), F.count_if(F.col("contacts") > 0).alias("with_contacts"), F.sum("contacts").alias("contact_rows"),
-    )
-    unique = read(spark, sf, "orders").agg(F.count_distinct("o_totalprice").alias("unique_mails"), F.count_distinct("o_custkey", "o_orderpriority").alias("unique_people"))
-    return totals.withColumn("_k", F.lit(1)).join(unique.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    """All 13 metrics, one row."""
+    k = F.col("school")
+    browsed = lambda c: F.when(k % 3 == 1, c).otherwise(0)
+    rows = _rows(spark, sf).withColumns({"pages": k % 9, "browser_pages": browsed(k % 2), "profile_cards": browsed(k % 7), "opened_cards": browsed(k % 7 - F.when((k % 7 > 0) & (k % 2 == 1), 1).otherwise(0))})
+    orders = read(spark, sf, "orders")
+    contacts = orders.filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("school"), F.concat(F.lit("m"), (F.col("o_orderkey") % 997).cast("string"), F.lit("@example.org")).alias("email"), F.col("o_orderpriority").alias("person"))
+    out = M.batch_summary(rows, contacts, orders.filter("o_orderstatus <> 'F'"))
+    return out.withColumn("statuses", F.array_join(F.transform(F.map_entries("statuses"), lambda e: F.concat_ws("=", e["key"], e["value"])), " "))
 
 
 _PAGES = "pages_seen AS (SELECT l_suppkey % 50 AS school, l_suppkey % 5 AS run, l_linenumber AS verified, l_partkey % 3 AS unpaired, l_partkey % 2 AS ambiguous, CAST(l_partkey % 17 = 0 AS INT) AS conflicts, CASE WHEN l_suppkey % 5 = 2 AND l_partkey % 19 = 0 THEN 'HTTP_ERROR' END AS error FROM lineitem)"
@@ -105,3 +114,20 @@ def profile_coverage(spark, sf):
 @query("SELECT capture, person FROM (SELECT DISTINCT capture, unnest(string_split(names, '|')) AS person FROM fx_profile WHERE capture IN ('p1', 'p4')) p WHERE NOT EXISTS (SELECT 1 FROM fx_profile f WHERE f.capture = p.capture AND f.published_name = p.person AND f.mail IS NOT NULL)", "fx_profile")
 def people_without_email(spark, sf):
     return _coverage(spark, sf).select("capture", F.explode("without_email").alias("person"))
+
+
+_RUNS = "runs AS (SELECT s_suppkey % 12 AS run, min(s_suppkey) AS started_at, CASE WHEN s_suppkey % 12 <> 7 THEN max(s_suppkey) END AS finished_at, CASE WHEN s_suppkey % 12 IN (3, 11) THEN 'TIMEOUT' END AS failure FROM supplier GROUP BY s_suppkey % 12)"
+
+
+@query(
+    f"""SELECT r.run AS run, started_at, finished_at, failure, coalesce(pages, 0) AS pages, coalesce(contacts_found, 0) AS contacts_found, coalesce(errors, 0) AS errors,
+    CASE WHEN failure IS NOT NULL THEN 'FAILED' WHEN finished_at IS NULL THEN 'RUNNING' WHEN coalesce(errors, 0) > 0 THEN 'PARTIAL' ELSE 'COMPLETED' END AS status FROM runs r LEFT JOIN (SELECT run, {_ROLL} FROM pages_seen GROUP BY run) p ON r.run = p.run""",
+    "",
+    f"{_PAGES},\n{_RUNS}",
+)
+def run_lifecycle(spark, sf):
+    """Runs with their totals: FAILED, RUNNING, PARTIAL or COMPLETED."""
+    run = (F.col("s_suppkey") % 12).alias("run")
+    rows = read(spark, sf, "supplier").groupBy(run).agg(F.min("s_suppkey").alias("started_at"), F.max("s_suppkey").alias("finished_at"))
+    rows = rows.withColumns({"finished_at": F.when(F.col("run") != 7, F.col("finished_at")), "failure": F.when(F.col("run").isin(3, 11), "TIMEOUT")})
+    return M.run_rows(rows, _pages(spark, sf)).select("run", "started_at", "finished_at", "failure", "pages", "contacts_found", "errors", "status")

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import policy as P
+from ..functions import emails
 from ..functions import names as N
 from ..operators import contacts as C
+from ..operators import links as L
 from ..operators import metrics as M
 from ..sources import html as H
 from .catalogue import query
 from .fixtures import read
 from .scalars import _BARE
 
-_GIVEN = "['adam','alena','anna','barbora','dana','daniel','david','eliska','eva','filip','frantisek','hana','ivana','jakub','jan','jana','jaroslav','jiri','josef','karel','katerina','lenka','lucie','marie','martin','michal','milan','monika','ondrej','pavel','petr','petra','tereza','tomas','veronika','vera','zdenek','zuzana']"
+_GIVEN = "[" + ",".join(f"'{H.fold(n)}'" for n in P.GIVEN_NAMES) + "]"
 
 
 @query(
@@ -28,9 +31,11 @@ def name_split_published(spark, sf):
     return rows.select("k", "n.first_name", "n.last_name")
 
 
-@query()
+@query("SELECT DISTINCT k, first_name, last_name FROM (SELECT k, first_name, last_name FROM fx_person UNION ALL SELECT k, 'Eva', 'Dvořáková' FROM fx_person)", "fx_person")
 def names_in_text(spark, sf):
-    return read(spark, sf, "fx_names").select("k", F.explode(N.names_in(F.concat_ws("\n", F.lit("Kontakty Jan Novák a Eva Černá"), "raw"))).alias("n")).select("k", "n.first_name", "n.last_name")
+    """Names of sentences and of whole lines, given name first or last; one of each."""
+    line = F.concat(F.lit("Kontakty; dnes učí "), "first_name", F.lit(" "), "last_name", F.lit(" a Eva Dvořáková\n"), "last_name", F.lit(" "), "first_name", F.lit("\nŠkola Praha"))
+    return read(spark, sf, "fx_person").select("k", F.explode(N.names_in(line)).alias("n")).select("k", "n.first_name", "n.last_name")
 
 
 @query("SELECT k, first_name = 'Jan' AND contains(lower(last_name), 'nov') AS pilot, contains(strip_accents(lower('Jan Novak')), strip_accents(lower(first_name))) AND contains('jan novak', strip_accents(lower(last_name))) AS batch FROM fx_person", "fx_person")
@@ -45,26 +50,67 @@ def name_within_school(spark, sf):
     return read(spark, sf, "fx_person").select("k", N.within(F.concat_ws(" ", "first_name", "last_name"), F.lit("ZŠ Jan Novák a další")).alias("inside"))
 
 
-_PLAIN = r"length(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'), ' '))"
+_CARDS = "CASE k % 5 WHEN 0 THEN 1 WHEN 3 THEN 2 ELSE 0 END"
 
 
 @query(
-    rf"""SELECT page_id, regexp_matches(lower(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) || ' ' || regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)), '404|page not found') AS soft404,
-    {_PLAIN} < 500 AND contains(lower(html), '<script') AS js_shell, regexp_matches(html, '(?is)<a\s[^>]*>[^<]*(next|»|›)[^<]*</a>') AS pagination, contains(lower(html), 'aria-expanded') AS interactive,
-    regexp_matches(lower(left(html, 20)), '^<!doctype\s+html') AS is_html FROM pages"""
+    f"""SELECT k, k % 7 = 0 OR k % 11 = 0 AS soft404, k % 2 = 0 AS js_shell, k % 3 < 2 AS pagination, {_CARDS} AS profile_cards, CAST(k % 5 = 1 AS INT) AS accordions, k % 5 IN (0, 1, 3) AS interactive,
+    CASE WHEN k % 7 = 0 THEN 'Stránka nenalezena' ELSE 'Škola' END AS title, CASE WHEN k % 11 = 0 THEN 'Chyba 404' ELSE 'Naše škola' END AS h1, 'jan' || k || '@zs.example.org' AS mails, 'Eva Malá, Jan Novák' AS people,
+    CASE k % 3 WHEN 2 THEN 2 ELSE 1 END + CAST(k % 5 = 2 AS INT) AS links FROM fx_page""",
+    "fx_page",
 )
 def page_flags(spark, sf):
-    h = F.col("html")
-    return read(spark, sf, "pages").select("page_id", *[c.alias(n) for n, c in M.page_flags(h).items()], M.is_html(F.lit(None).cast("string"), h).alias("is_html"))
+    """What pages show, against what they are made of."""
+    rows = H.outlines(read(spark, sf, "fx_page"))
+    people = F.array_sort(F.transform("names", lambda n: F.concat_ws(" ", n["first_name"], n["last_name"])))
+    return rows.select(
+        F.regexp_extract("url", "([0-9]+)$", 1).cast("int").alias("k"), "soft404", "js_shell", "pagination", "profile_cards", "accordions", "interactive", "title", "h1", F.array_join("mails", " ").alias("mails"), F.array_join(people, ", ").alias("people"), F.size("links").alias("links")
+    )
+
+
+_BODY = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<body[^>]*>(.*)', 1), '(?s)<!--.*?-->', '', 'g'), '(?is)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?s)<[^>]+>', chr(10), 'g'), '&[a-z]+;', 'x', 'g')"
+
+
+@query(
+    rf"""SELECT page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1), '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS h1,
+    CAST(len(regexp_extract_all(html, '<a href=')) AS INT) AS links, length(regexp_replace(regexp_replace({_BODY}, '[ \t]+', ' ', 'g'), '\n\s*\n', chr(10), 'g').trim(' ' || chr(10))) < 500 AND contains(html, '<script') AS js_shell, regexp_matches(lower(left(html, 20)), '^<!doctype\s+html') AS is_html FROM pages"""
+)
+def page_outline(spark, sf):
+    """H6, F5 over raw pages: the tree against patterns that fit their markup."""
+    pages = read(spark, sf, "pages")
+    rows = H.outlines(pages.select(F.col("page_id").cast("string").alias("url"), "html")).select(F.col("url").cast("long").alias("page_id"), "title", "h1", F.size("links").alias("links"), "js_shell")
+    return rows.join(pages.select("page_id", M.is_html(F.lit(None).cast("string"), F.col("html")).alias("is_html")), "page_id")
 
 
 @query(
-    rf"""SELECT page_id, CASE WHEN contains(lower(html), 'aria-expanded') THEN 'INTERACTIVE_PROFILES' WHEN {_PLAIN} < 500 AND contains(lower(html), '<script') THEN 'JAVASCRIPT_PAGE' WHEN page_id % 4 = 0 AND page_id % 9 > page_id % 5 + 2 THEN 'STAFF_COVERAGE_GAP' END AS reason FROM pages"""
+    f"""SELECT site, url, reason, weight, rank FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY weight DESC, url) AS rank FROM (SELECT 'zs' || (k % 20) || '.example.org' AS site, url,
+    CASE WHEN k % 5 IN (0, 1, 3) THEN 'INTERACTIVE_PROFILES' WHEN k % 2 = 0 THEN 'JAVASCRIPT_PAGE' WHEN k % 4 = 0 AND 2 + k % 9 > 3 THEN 'STAFF_COVERAGE_GAP' END AS reason, CAST({_CARDS} * 100 + CASE WHEN k % 4 = 0 THEN 20 ELSE 0 END AS BIGINT) AS weight FROM fx_page) WHERE reason IS NOT NULL) WHERE rank <= 3""",
+    "fx_page",
 )
 def browser_targets(spark, sf):
-    flags = M.page_flags(F.col("html"))
-    rows = read(spark, sf, "pages").select("page_id", flags["interactive"].alias("interactive"), flags["js_shell"].alias("js_shell"), (F.col("page_id") % 4 == 0).alias("staff"), (F.col("page_id") % 9).alias("names"), (F.col("page_id") % 5).alias("contacts"))
-    return rows.select("page_id", M.browser_reason(F.col).alias("reason"))
+    """The three pages of a site that the browser opens first."""
+    rows = H.outlines(read(spark, sf, "fx_page"))
+    k = F.regexp_extract("url", "([0-9]+)$", 1).cast("int")
+    pages = rows.select(F.regexp_extract("url", "//([^/]*)", 1).alias("site"), "url", "title", "interactive", "js_shell", "profile_cards", (F.size("names") + k % 9).alias("names"), F.lit(1).alias("contacts"))
+    return M.browser_targets(pages)
+
+
+@query(
+    """SELECT url AS page_url, 'https://zs' || (k % 20) || '.example.org' || l.path AS url, l.label, CAST(l.score AS BIGINT) AS score FROM (SELECT k, url, unnest(CASE k % 3 WHEN 0 THEN [{'path': '/p/2', 'label': 'další', 'score': 0}] WHEN 1 THEN [{'path': '/p/3', 'label': '3', 'score': 0}]
+    ELSE [{'path': '/kontakt/', 'label': 'Kontakt', 'score': 14}] END || CASE WHEN k % 5 = 2 THEN [{'path': '/menu', 'label': 'Menu', 'score': 0}] ELSE [] END) AS l FROM fx_page)""",
+    "fx_page",
+)
+def page_links(spark, sf):
+    """H3, W1 over trees: labels may hold markup, /kontakt/ and /kontakt are one page."""
+    return L.best_links(L.outline_links(H.outlines(read(spark, sf, "fx_page")))).select("page_url", "url", "label", "score")
+
+
+@query("SELECT k, CAST(1 + CAST(k % 2 = 0 AS INT) AS BIGINT) AS n FROM fx_page", "fx_page")
+def distinct_mails(spark, sf):
+    """Distinct addresses of a context, letter case aside."""
+    k = F.col("k").cast("string")
+    context = F.concat(F.lit("a"), k, F.lit("@zs.example.org, A"), k, F.lit("@ZS.example.org "), F.when(F.col("k") % 2 == 0, "b@zs.example.org").otherwise(""))
+    return read(spark, sf, "fx_page").select("k", emails.distinct_count(context).alias("n"))
 
 
 @query(
@@ -93,25 +139,62 @@ def block_quarantine(spark, sf):
 
 
 def _pages(spark, sf):
-    """Synthetic pages with people, and the driver's pages, which hold none."""
-    return read(spark, sf, "fx_html").unionByName(read(spark, sf, "pages").select("url", F.lit(None).cast("string").alias("school_name"), "html"))
+    """Pages of people made by rule, and the driver's pages, which hold neither addresses nor profiles."""
+    made = read(spark, sf, "fx_people_page").select("url", "html")
+    return made.unionByName(read(spark, sf, "pages").select("url", "html"))
+
+
+_LIST = """lists AS (SELECT k, url, first_name AS f, last_name AS l, 'm' || k || '@zs.example.org' AS mail, 'Mgr. ' || first_name || ' ' || last_name || CASE WHEN k % 4 = 0 THEN ' a Hana Malá' ELSE ', učitelka' END AS entry FROM fx_people_page)"""
 
 
-@query()
+@query(
+    """SELECT url, mail AS email, entry || ' ' || mail AS context, 'MAILTO' AS kind FROM lists UNION ALL
+    SELECT url, 'info@zs.example.org', entry || ' ' || mail || 'Kancelář: info [at] zs.example [dot] orgJan NovákZobrazit profilEva ' || (k % 3) || 'zobrazit PROFILJinéVíce', 'OBFUSCATED' FROM lists""",
+    "fx_people_page",
+    _LIST,
+)
 def udtf_email_occurrences(spark, sf):
+    """H1, W6."""
     return H.occurrences(_pages(spark, sf))
 
 
-@query()
+@query(
+    """SELECT url, mail AS email, 'MAILTO' AS kind, CASE WHEN k % 4 = 0 THEN 'AMBIGUOUS' ELSE 'VERIFIED' END AS outcome, CASE WHEN k % 4 <> 0 THEN f END AS first_name, CASE WHEN k % 4 <> 0 THEN l END AS last_name,
+    CASE WHEN k % 4 <> 0 THEN 'učitel/učitelka' END AS role, CASE WHEN k % 4 <> 0 THEN 0.98::DOUBLE END AS confidence FROM lists UNION ALL SELECT url, 'info@zs.example.org', 'OBFUSCATED', 'UNPAIRED', NULL, NULL, NULL, NULL FROM lists""",
+    "fx_people_page",
+    _LIST,
+)
 def pair_people(spark, sf):
-    return H.pairs(_pages(spark, sf))
+    """H2, P28, F9."""
+    return H.pairs(_pages(spark, sf).withColumn("school_name", F.lit(None).cast("string")))
 
 
-@query()
+@query(
+    """SELECT url, CASE WHEN k % 4 = 0 THEN 'REVIEW' ELSE 'CONTACT' END AS kind, mail AS email, CASE WHEN k % 4 <> 0 THEN f END AS first_name, CASE WHEN k % 4 <> 0 THEN l END AS last_name, CASE WHEN k % 4 <> 0 THEN 'učitelka' END AS role,
+    CASE WHEN k % 4 = 0 THEN 'AMBIGUOUS_BLOCK' END AS reason, 'STATIC_MAILTO' AS method, sha256(entry || ' ' || chr(10) || mail) AS evidence_hash FROM lists
+    UNION ALL SELECT url, 'REVIEW', 'info@zs.example.org', NULL, NULL, NULL, 'EMAIL_WITHOUT_PERSON', 'STATIC_TEXT', NULL FROM lists""",
+    "fx_people_page",
+    _LIST,
+)
 def udtf_extract_page(spark, sf):
+    """H6, H7, H9."""
     return H.contacts(_pages(spark, sf))
 
 
-@query()
+@query("SELECT url, 0 AS pos, 'Jan Novák' AS name FROM fx_people_page UNION ALL SELECT url, 1, 'Eva ' || (k % 3) FROM fx_people_page", "fx_people_page")
 def udtf_profile_inventory(spark, sf):
+    """H5."""
     return H.inventories(_pages(spark, sf))
+
+
+@query("SELECT 'https://portal.example.org/School/' || (600 + k) AS url, '' || (600 + k) AS red_izo, 'https://www.zs' || k || '.example.org/' AS website FROM fx_page WHERE k % 5 > 1 AND k % 7 > 0", "fx_page")
+def portal_lookup(spark, sf):
+    """The website that a portal's record of a school names; records that are not valid or of another school give none."""
+    k = F.col("k").cast("string")
+    html = F.concat(
+        F.lit("<body><p>RED IZO "), F.when(F.col("k") % 7 == 0, F.lit("1")).otherwise(F.concat(F.lit("600"), k)), F.lit(" "), (F.col("k") + 600).cast("string"), F.when(F.col("k") % 5 == 1, " Tento záznam školy není platný").otherwise(""),
+        F.lit("</p><table><tr><td>Web:"), F.when(F.col("k") % 5 == 0, "").otherwise(F.concat(F.lit('<a href="/School/1">zde</a><a href="https://www.zs'), k, F.lit('.example.org/">www</a>'))), F.lit("</td></tr></table></body>"),
+    )
+    ident = F.when(F.col("k") % 7 == 0, F.lit("none")).otherwise((F.col("k") + 600).cast("string"))
+    rows = read(spark, sf, "fx_page").select(F.concat(F.lit("https://portal.example.org/School/"), (F.col("k") + 600).cast("string")).alias("url"), ident.alias("red_izo"), html.alias("html"))
+    return H.portal_websites(rows)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
 
 from ..sources.session import shared_folder
 from ..streaming import ledger as T
@@ -26,10 +27,10 @@ def _is_folder(spark, path):
 def stream_first_last_seen(spark, sf):
     root = f"{shared_folder(spark)}/seen-{uuid.uuid4().hex}"
     agg = T.first_last_seen(_source(spark, sf, "events"), "user_id", "ts")
-    # every batch writes the whole state under its number; the last one stands
-    q = agg.writeStream.outputMode("complete").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{root}/v={n:08d}")).option("checkpointLocation", f"{root}-checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return T.LedgerSink(root, read(spark, sf, "events").limit(0)).read(spark).select("user_id", "first_seen", "last_seen", "sightings")
+    empty = T.first_last_seen(read(spark, sf, "events").limit(0), "user_id", "ts")
+    sink = T.SeenSink(root, empty, "user_id")
+    T.run_once(agg, sink, f"{root}-checkpoint", "update")
+    return sink.read(spark).select("user_id", "first_seen", "last_seen", "sightings")
 
 
 @query(
@@ -45,3 +46,11 @@ def stream_ledger(spark, sf):
     return sink.read(spark).select("school", "mailbox", "person", "collected_at", "status")
 
 
+@query("SELECT user_id, event_type, count(*) AS first_of_day FROM (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events) GROUP BY 1, 2")
+def stream_unique(spark, sf):
+    """Of repeated keys one row each, state bounded by the watermark: events of a user, kind and day."""
+    root = f"{shared_folder(spark)}/unique-{uuid.uuid4().hex}"
+    rows = _source(spark, sf, "events").selectExpr("user_id", "event_type", "cast(ts AS DATE) AS day", "cast(ts AS TIMESTAMP) AS ts")
+    once = T.unique_in_window(rows, ["user_id", "event_type", "day"], "ts", "400 days").select("user_id", "event_type", "day")
+    once.writeStream.format("parquet").outputMode("append").option("path", root).option("checkpointLocation", f"{root}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(root).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("first_of_day"))

@@ -73,6 +73,11 @@ BATCH_ROLES = "ředitel(?:ka)?|zástup(?:ce|kyně)|třídní učitel(?:ka)?|uči
 # Words of blocks that belong to service firms, of pages that are not found, of controls that hide people.
 SERVICE_WORDS = "Primirest|sídlo společnosti|webdesign|tvorba webových"
 NOT_FOUND = "404|stránk[au].*(nenalez|nepodařilo)|page not found"
+PROFILE_WORDS = "zobrazit profil|view profile|detail pracovníka"
+STAFF_CONTROLS = "učitel|pedagog|vedení|zaměstn|asistent|vychovatel|1[.] stupeň|2[.] stupeň|kontakt|sbor|staff"
+STAFF_PAGES = "pedagog|staff|zamestnan|ucitel|teachers|sbor|vedeni"
+BROWSER_PATHS = "sbor|zamestnan|ucitele|vedeni|staff|teachers"
+INVALID_RECORD = "Tento záznam školy není platný"
 NEXT_WORDS = "další|následující|next|»|›"
 STICKY_REASONS = "CONFLICT|CHANGED|SHARED|SUPPRESS"
 
@@ -106,8 +111,20 @@ NAME_STOPWORDS = {
     "batch": ("zakladni", "skola", "stredni", "gymnazium", "praha", "materska", "prispevkova", "organizace", "odborna", "vyssi", "skol", "soukroma"),
 }
 
-# A few given names; pass a fuller dictionary to the splitter for real data.
-GIVEN_NAMES = ("Adam", "Alena", "Anna", "Barbora", "Dana", "Daniel", "David", "Eliška", "Eva", "Filip", "František", "Hana", "Ivana", "Jakub", "Jan", "Jana", "Jaroslav", "Jiří", "Josef", "Karel", "Kateřina", "Lenka", "Lucie", "Marie", "Martin", "Michal", "Milan", "Monika", "Ondřej", "Pavel", "Petr", "Petra", "Tereza", "Tomáš", "Veronika", "Věra", "Zdeněk", "Zuzana")
+# Common given names. A fuller dictionary is a parameter of every function that splits names
+# (and --given-names of the commands, a text file of one name a line): names it lacks are not taken for persons.
+GIVEN_NAMES = tuple(
+    (
+        "Adam Adéla Agáta Alena Aleš Alexandr Alexandra Alice Alois Alžběta Andrea Aneta Anežka Anna Antonín Barbora Blanka Bohdan Bohumil Bohumila Bohumír Bohuslav Božena Břetislav "
+        "Čestmír Dagmar Dalibor Dana Daniel Daniela David Denis Denisa Diana Dita Dominik Dominika Dušan Eduard Elena Eliška Ema Emil Emílie Erik Erika Ester Eva Evžen Ferdinand "
+        "Filip František Františka Gabriel Gabriela Hana Hedvika Helena Hynek Ilona Irena Iva Ivan Ivana Iveta Ivo Jakub Jan Jana Jarmila Jaromír Jaroslav Jaroslava Jindřich Jindřiška "
+        "Jiří Jiřina Jitka Johana Jolana Josef Josefa Julie Kamil Kamila Karel Karla Karolína Kateřina Klára Kristina Kristýna Květa Květoslava Ladislav Lada Lea Lenka Leoš Libor Libuše "
+        "Linda Lubomír Lubomíra Lucie Luděk Ludmila Lukáš Lýdie Magdaléna Marcel Marcela Marek Marie Markéta Marta Martin Martina Matěj Matyáš Michael Michaela Michal Milada Milan "
+        "Milena Miloš Miloslav Miloslava Miluše Miroslav Miroslava Monika Naďa Naděžda Natálie Nela Nikola Nina Oldřich Olga Oliver Ondřej Oskar Otakar Oto Patrik Pavel Pavla Pavlína "
+        "Petr Petra Radek Radim Radka Radmila Radomír Radovan René Renata Richard Robert Roman Romana Rostislav Rudolf Růžena Sabina Samuel Sára Silvie Simona Soňa Stanislav "
+        "Stanislava Šárka Šimon Štěpán Štěpánka Tereza Tomáš Václav Vendula Věra Veronika Viktor Viktorie Vilém Vít Vladimír Vladimíra Vlasta Vojtěch Zbyněk Zdeněk Zdeňka Zuzana Žaneta"
+    ).split()
+)
 
 
 def _fold_table() -> tuple[str, str]:

@@ -1,4 +1,4 @@
-"""HTML trees and what is read from them (H1, H2, H5–H7, H9, H11): Arrow-batched table functions.
+"""HTML trees and what is read from them (H1, H2, H5–H7, H9, H11, F22): Arrow-batched table functions.
 
 Pages that cannot hold anything are dropped by native filters before Python.
 The tree is error-tolerant: void elements, implied ends of p, li, tr, td, th,
@@ -18,6 +18,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import policy as P
 from .session import ship
@@ -277,9 +278,10 @@ def profile_names(html: str) -> list[str]:
 
 
 def portal_website(html: str, url: str, ident: str) -> str | None:
-    """The first link off the portal in a row that says 'Web:'."""
+    """The first link off the portal in a row that says 'Web:', of a valid record of the identifier."""
     body = body_of(parse(html))
-    if ident not in body.text():
+    shown = body.text()
+    if not ident or ident not in shown or P.INVALID_RECORD in shown:
         return None
     bare = lambda u: re.sub("^www[.]", "", (urlsplit(u).hostname or ""))
     for row in body.elements("tr"):
@@ -298,71 +300,131 @@ def readable(node: Node) -> str:
 
 
 _HIDE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_UNSEEN = frozenset("script style noscript template iframe".split())
+_HEADS = ("h2", "h3", "h4", "h5")
+_ENDS = frozenset("html body footer nav #root".split())  # blocks that say nothing of one person
 
 
-def page_contacts(html: str, url: str, given: frozenset[str]) -> list[tuple]:
-    """H6, H7: rows (kind, email, first, last, role, reason, method, evidence_hash) of a page; kind CONTACT or REVIEW."""
+def visible(html: str | None) -> Node:
+    """The tree without what a reader does not see."""
     root = parse(html)
     for n in list(root.elements()):
         a = n.attrs
-        if n.tag in ("script", "style", "noscript", "template", "iframe") or "hidden" in a or a.get("aria-hidden") == "true" or _HIDE.search(a.get("style", "")):
+        if n.tag in _UNSEEN or "hidden" in a or a.get("aria-hidden") == "true" or _HIDE.search(a.get("style", "")):
             n.drop()
+    return root
+
+
+def mail_link(node: Node) -> str | None:
+    """The address part of a mail link, null of any other node."""
+    href = node.attrs.get("href", "") if node.tag == "a" else ""
+    return unquote(href[7:].split("?")[0]) if href[:7].lower() == "mailto:" else None
+
+
+class Block:
+    """An element around an address: its text, the addresses in it and the people it names."""
+
+    def __init__(self, node: Node, text: str, given: frozenset[str]):
+        self.text = text
+        linked = [unquote(a.attrs["href"]) for a in node.elements("a") if mail_link(a) is not None]
+        self.mails = {*mails_in(text), *(m for href in linked for m in mails_in(href))}
+        self.titles = [h for h in node.elements() if h.tag in _HEADS or h.attrs.get("itemprop") == "name"]
+        cells = [*node.elements("td", "th")] if node.tag == "tr" else []
+        whole = [p for p in (split_name(squeeze(x.text()), given) for x in [*self.titles, *cells]) if p]
+        self.people = {fold(f"{p[0]}|{p[1]}"): p for p in whole} | names_in(text, given)
+        self.entry = bool(self.people or self.titles) or node.tag in ("tr", "li", "article")
+
+
+def evidence_of(node: Node, mail: str, given: frozenset[str]) -> tuple[str, list]:
+    """H7: (text, people) of the nearest block that tells whose the address is; ('', []) if there is none.
+
+    Blocks are tried outwards. One with foreign addresses ends the search as
+    evidence that names nobody, one that is an entry of a list or names people as
+    evidence of these, a long or page-wide one without evidence.
+    """
+    at, steps = node, 0
+    while at is not None and at.tag not in _ENDS and steps < P.CONTEXT_LEVELS:
+        text = readable(at)
+        if len(text) > P.BLOCK_CHARS:
+            break
+        block = Block(at, text, given)
+        if block.mails - {mail}:
+            return text, []
+        if block.entry:
+            return text, list(block.people.values())
+        at, steps = at.parent, steps + 1
+    return "", []
+
+
+def objection(node: Node, mail: str, evidence: str, people: list) -> str | None:
+    """why an address with evidence is not taken for a person's, null if it is."""
+    shown, linked = mails_in(node.text()), mails_in(mail_link(node) or "")
+    if shown and linked and shown[0] != linked[0]:
+        return "LINK_TEXT_CONFLICT"
+    if len(people) != 1 or set(mails_in(evidence)) - {mail}:
+        return "AMBIGUOUS_BLOCK"
+    if re.search(P.SERVICE_WORDS, evidence, re.I):
+        return "EXTERNAL_SERVICE_CONTACT"
+    return "GENERAL_MAILBOX" if mail.split("@")[0] in P.GENERIC["batch"] else None
+
+
+def _addresses(root: Node) -> Iterator[tuple[Node, str, str]]:
+    """(element, address, method) of mail links, then of texts."""
+    for a in root.elements("a"):
+        yield from ((a, m, "STATIC_MAILTO") for m in mails_in(mail_link(a) or ""))
+    for n in body_of(root).elements():
+        yield from ((n, m, "STATIC_TEXT") for t in n.children if t.tag is None for m in mails_in(t.data))
+
+
+def page_contacts(html: str, url: str, given: frozenset[str]) -> list[tuple]:
+    """H6, H7: rows (kind, email, first, last, role, reason, method, evidence_hash) of a page; kind CONTACT or REVIEW.
+
+    An address without evidence is listed each time, one with evidence once for
+    each evidence.
+    """
     rows, seen = [], set()
-    heads = ("h2", "h3", "h4", "h5")
-
-    def linked(node: Node) -> list[str]:
-        return [m for a in node.elements("a") if a.attrs.get("href", "")[:7].lower() == "mailto:" for m in mails_in(unquote(a.attrs["href"]))]
-
-    def accept(node: Node, mail: str, method: str) -> None:
-        n, evidence, people = node, "", {}
-        for _ in range(P.CONTEXT_LEVELS):
-            if n is None or n.tag in ("html", "body", "footer", "nav", "#root"):
-                break
-            t = readable(n)
-            if len(t) > P.BLOCK_CHARS:
-                break
-            if any(m != mail for m in [*mails_in(t), *linked(n)]):
-                evidence, people = t, {}
-                break
-            titles = [h for h in n.elements() if h.tag in heads or h.attrs.get("itemprop") == "name"]
-            cells = [*n.elements("td", "th")] if n.tag == "tr" else []
-            named = [p for p in (split_name(squeeze(x.text()), given) for x in [*titles, *cells]) if p]
-            people = {fold(f"{p[0]}|{p[1]}"): p for p in named} | names_in(t, given)
-            if people or n.tag in ("tr", "li", "article") or titles:
-                evidence = t
-                break
-            n = n.parent
-        digest = hashlib.sha256(evidence.encode()).hexdigest()
+    for node, mail, method in _addresses(visible(html)):
+        evidence, people = evidence_of(node, mail, given)
         if not evidence:
             rows.append(("REVIEW", mail, None, None, None, "EMAIL_WITHOUT_PERSON", method, None))
-            return
+            continue
+        digest = hashlib.sha256(evidence.encode()).hexdigest()
         if (mail, digest) in seen:
-            return
+            continue
         seen.add((mail, digest))
-        href = mails_in(unquote(re.sub("^mailto:", "", node.attrs.get("href", ""), flags=re.I).split("?")[0])) if node.tag == "a" else []
-        shown = mails_in(node.text())
-        reason = (
-            "LINK_TEXT_CONFLICT" if shown and href and shown[0] != href[0]
-            else "AMBIGUOUS_BLOCK" if len(people) != 1 or any(m != mail for m in mails_in(evidence))
-            else "EXTERNAL_SERVICE_CONTACT" if re.search(P.SERVICE_WORDS, evidence, re.I)
-            else "GENERAL_MAILBOX" if mail.split("@")[0] in P.GENERIC["batch"]
-            else None
-        )
-        first, last, _ = next(iter(people.values())) if not reason else (None, None, None)
-        role = "; ".join(dict.fromkeys(_ROLES.findall(evidence))) if not reason else None
-        rows.append(("REVIEW" if reason else "CONTACT", mail, first, last, role, reason, method, digest))
-
-    for a in root.elements("a"):
-        if a.attrs.get("href", "")[:7].lower() == "mailto:":
-            for m in mails_in(unquote(a.attrs["href"][7:].split("?")[0])):
-                accept(a, m, "STATIC_MAILTO")
-    for n in body_of(root).elements():
-        for t in [x for x in n.children if x.tag is None]:
-            for m in mails_in(t.data):
-                accept(n, m, "STATIC_TEXT")
+        if reason := objection(node, mail, evidence, people):
+            rows.append(("REVIEW", mail, None, None, None, reason, method, digest))
+        else:
+            rows.append(("CONTACT", mail, *people[0][:2], "; ".join(dict.fromkeys(_ROLES.findall(evidence))), None, method, digest))
     return rows
 
 
+_PROFILE, _CONTROL, _NEXT, _MISSING = (re.compile(x, re.I) for x in (P.PROFILE_WORDS, P.STAFF_CONTROLS, P.NEXT_WORDS, P.NOT_FOUND))
+
+
+def page_outline(html: str, given: frozenset[str]) -> dict:
+    """What a page shows besides contacts: title, h1, text, links, names, addresses, controls and flags."""
+    root = visible(html)
+    first = lambda tag: squeeze(next((n.text() for n in root.elements(tag)), ""))
+    title, h1, text = squeeze(" ".join(n.text() for n in root.elements("title"))), first("h1"), readable(body_of(root))
+    links = [{"href": a.attrs["href"], "label": squeeze(a.text()), "rel": a.attrs.get("rel", "")} for a in root.elements("a") if "href" in a.attrs]
+    buttons = [n for n in root.elements() if n.tag == "button" or n.attrs.get("role") == "button"]
+    closed = [n for n in root.elements() if (n.tag == "details" and "open" not in n.attrs) or n.attrs.get("aria-expanded") == "false"]
+    cards, accordions = sum(bool(_PROFILE.search(b.text())) for b in buttons), sum(bool(_CONTROL.search(n.text())) for n in closed)
+    usable = [x for x in links if not re.match("(?i)(?!https?:)[a-z][a-z0-9+.-]*:", x["href"].strip())]
+    return {
+        "title": title, "h1": h1, "text": text, "links": links, "mails": mails_in(text),
+        "names": [{"first_name": f, "last_name": n, "published_name": p} for f, n, p in names_in(text, given).values()],
+        "profile_cards": cards, "accordions": accordions, "interactive": cards > 0 or accordions > 0,
+        "js_shell": len(text) < 500 and "<script" in html,
+        "pagination": any(_NEXT.search(x["label"]) for x in usable) or any(x["rel"] == "next" for x in links),
+        "soft404": bool(_MISSING.search(f"{title} {h1}")),
+    }
+
+
+OUTLINE = "title string, h1 string, text string, links array<struct<href:string,label:string,rel:string>>, mails array<string>, names array<struct<first_name:string,last_name:string,published_name:string>>, profile_cards int, accordions int, interactive boolean, js_shell boolean, pagination boolean, soft404 boolean"
+
+
 # --- the table functions ------------------------------------------------------------
 
 
@@ -373,7 +435,7 @@ def may_hold_mail(html: Column) -> Column:
 
 def _table(df: DataFrame, html: str, url: str, extra: Sequence[str], schema: str, rows: Callable) -> DataFrame:
     ship(df.sparkSession)
-    names = [x.strip().split(" ")[0] for x in schema.split(",")]
+    names = StructType.fromDDL(schema).names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -404,3 +466,16 @@ def contacts(pages: DataFrame, html: str = "html", url: str = "url", given: Sequ
 def inventories(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """H5 of every page: url, pos, name. Markup and entities may split the label, so only the tags are looked for first."""
     return _table(pages.filter(F.lower(html).contains("<button") & F.lower(html).rlike("<h[34]")), html, url, (), "url string, pos int, name string", lambda h, u: list(enumerate(profile_names(h))))
+
+
+def outlines(pages: DataFrame, html: str = "html", url: str = "url", given: Sequence[str] = P.GIVEN_NAMES) -> DataFrame:
+    """H6 and F22 of every page: url and the columns of OUTLINE. A null page is an empty one."""
+    known = frozenset(map(fold, given))
+    keys = StructType.fromDDL(OUTLINE).names
+    return _table(pages, html, url, (), f"url string, {OUTLINE}", lambda h, u: [tuple(o[k] for k in keys) for o in (page_outline(h, known),)])
+
+
+def portal_websites(records: DataFrame, html: str = "html", url: str = "url", ident: str = "red_izo") -> DataFrame:
+    """H11, S17 of captured portal records: url, red_izo, website; records without one give no row."""
+    rows = records.filter(F.col(html).contains("Web:") & F.col(html).contains(F.col(ident)))
+    return _table(rows, html, url, (ident,), "url string, red_izo string, website string", lambda h, u, i: [(i, w) for w in (portal_website(h, u, i),) if w])

@@ -36,10 +36,25 @@ def capture_index(rows: DataFrame) -> DataFrame:
 
 def rendered_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Rendered pages named by the digest of their URL."""
-    rows = spark.read.text(folder, wholetext=True).withColumn("file", F.col("_metadata.file_name"))
+    rows = spark.read.option("pathGlobFilter", "*.{html,html.gz}").text(folder, wholetext=True).withColumn("file", F.col("_metadata.file_name"))
     return rows.select(F.regexp_extract("file", "^([0-9a-f]{64})", 1).alias("url_digest"), F.col("value").alias("html")).filter("url_digest != ''")
 
 
+PROFILES = "expected int, names array<string>, exhausted boolean, observations array<struct<idx:int,status:string,cardName:string,publishedName:string,publishedEmails:array<string>,text:string,observedAt:string>>"
+
+
+def profile_captures(spark: SparkSession, folder: str) -> DataFrame:
+    """Gzipped profile captures named by the digest of their URL: url_digest and the capture's columns."""
+    rows = spark.read.schema(PROFILES).option("multiLine", True).option("pathGlobFilter", "*.profiles.json.gz").json(folder).withColumn("file", F.col("_metadata.file_name"))
+    return rows.withColumn("url_digest", F.regexp_extract("file", "^([0-9a-f]{64})", 1)).filter("url_digest != ''").drop("file")
+
+
+def snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """A registry snapshot file as (file, sha256, payload): the digest is that of the file's bytes."""
+    rows = spark.read.format("binaryFile").load(path)
+    return rows.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("sha256"), F.decode("content", "UTF-8").alias("payload"))
+
+
 def reviewed_capture(spark: SparkSession, path: str) -> DataFrame:
     """The reviewed capture as one row; another version or method is an error."""
     row = spark.read.schema(REVIEWED).option("multiLine", True).option("mode", "FAILFAST").json(path)

@@ -45,8 +45,11 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerloom-")
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset a local master (tests) takes a temporary one, any other is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return folder or tempfile.mkdtemp(prefix="ledgerloom-")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

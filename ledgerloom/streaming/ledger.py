@@ -23,29 +23,69 @@ def unique_in_window(stream: DataFrame, keys: list[str], time: str, delay: str)
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-class LedgerSink:
-    """Each micro-batch merges into the next version of a ledger table.
+BUCKETS, KEPT = 64, 2  # parts of a table, and versions of a part that stay
 
-    Versions are written whole under their batch's number, so a batch that is
-    run again after a failure replaces its own half-written version only.
-    """
 
-    def __init__(self, root: str, empty: DataFrame):
-        self.root, self.empty = root, empty
+class KeyedSink:
+    """Each micro-batch merges into a table that is kept in parts by a hash of its keys.
+
+    A batch reads and writes the parts that its keys fall in, under its own number:
+    ``<root>/v=<number>/_b=<part>``. A part's latest version stands; one that is run
+    again after a failure reads what was there before it and replaces its own
+    half-written version only. Older versions go once KEPT newer ones stand.
+    """
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """The latest version, or the latest before a batch."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        versions = sorted(int(s.getPath().getName()[2:]) for s in fs.listStatus(path) if s.getPath().getName().startswith("v=")) if fs.exists(path) else []
-        versions = [v for v in versions if before is None or v < before]
-        return spark.read.parquet(f"{self.root}/v={versions[-1]:08d}") if versions else self.empty
+    def __init__(self, root: str, empty: DataFrame, keys: list[str], merge, buckets: int = BUCKETS):
+        self.root, self.empty, self.keys, self.merge, self.buckets = root, empty, keys, merge, buckets
+
+    def _versions(self, spark: SparkSession) -> dict[int, list[int]]:
+        """The versions of every part, oldest first; half-written ones, without a mark of success, are none."""
+        at = spark._jvm.org.apache.hadoop.fs.Path
+        fs = at(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        found: dict[int, list[int]] = {}
+        for v in fs.listStatus(at(self.root)) if fs.exists(at(self.root)) else []:
+            name = v.getPath().getName()
+            if name.startswith("v=") and fs.exists(at(f"{self.root}/{name}/_SUCCESS")):
+                for b in fs.listStatus(v.getPath()):
+                    if b.getPath().getName().startswith("_b="):
+                        found.setdefault(int(b.getPath().getName()[3:]), []).append(int(name[2:]))
+        return {b: sorted(v) for b, v in found.items()}
+
+    def _path(self, version: int, part: int) -> str:
+        return f"{self.root}/v={version:08d}/_b={part}"
+
+    def read(self, spark: SparkSession, before: int | None = None, parts: set[int] | None = None) -> DataFrame:
+        """The latest version of all parts (or of some, or the latest before a batch)."""
+        latest = {b: [v for v in vs if before is None or v < before] for b, vs in self._versions(spark).items() if parts is None or b in parts}
+        paths = [self._path(vs[-1], b) for b, vs in sorted(latest.items()) if vs]
+        return spark.read.schema(self.empty.schema).parquet(*paths) if paths else self.empty
 
     def __call__(self, batch: DataFrame, number: int) -> None:
-        old = self.read(batch.sparkSession, before=number)
-        merge_ledger(batch, old).write.mode("overwrite").parquet(f"{self.root}/v={number:08d}")
+        spark = batch.sparkSession
+        part = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        touched = {r[0] for r in batch.select(part).distinct().collect()}  # at most a number for each part
+        merged = self.merge(batch, self.read(spark, number, touched)).select(*self.empty.columns)
+        merged.withColumn("_b", part).repartition("_b").write.mode("overwrite").partitionBy("_b").parquet(f"{self.root}/v={number:08d}")
+        self.prune(spark, number)
+
+    def prune(self, spark: SparkSession, number: int) -> None:
+        at = spark._jvm.org.apache.hadoop.fs.Path
+        fs = at(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        for part, versions in self._versions(spark).items():
+            for v in [v for v in versions if v <= number][: -KEPT]:
+                fs.delete(at(self._path(v, part)), True)
+
+
+def LedgerSink(root: str, empty: DataFrame) -> KeyedSink:  # noqa: N802
+    """The ledger by school and mailbox."""
+    return KeyedSink(root, empty, ["school", "mailbox"], merge_ledger)
+
+
+def SeenSink(root: str, empty: DataFrame, key: str) -> KeyedSink:  # noqa: N802
+    """Rows of a stream in update mode; a key's new row replaces the old one."""
+    return KeyedSink(root, empty, [key], lambda new, old: old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new))
 
 
-def run_once(stream: DataFrame, sink: LedgerSink, checkpoint: str) -> None:
+def run_once(stream: DataFrame, sink: KeyedSink, checkpoint: str, mode: str = "append") -> None:
     """Everything there is, then stop; the checkpoint resumes."""
-    stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
