@@ -119,7 +119,7 @@ MISSED = 0.001  # share of pairs at the least similarity that no band finds
 FIRST_BANDS = 8  # that the first search uses, which need not find all
 CHECK_BITS, SIGMAS = 64, 4  # deviations from the mean that a pair at the least similarity may have in other bits
 FEW = 200_000  # rows of some 100 bytes that may be broadcast
-MANY, WIDE_WORDS = 4, 64  # candidates of a text in a trie from which on it is looked at with so many more 64-bit words
+MANY, WIDE_WORDS, WIDE_SIGMAS = 4, 64, 3.3  # candidates of a text in a task from which on it is looked at by so many 64-bit words
 
 
 
@@ -163,9 +163,9 @@ class Plan:
         """64-bit words of a sketch."""
         return -(-self.bands * self.bits // 64)
 
-    def most_apart(self, bits: int) -> int:
+    def most_apart(self, bits: int, sigmas: float = SIGMAS) -> int:
         """Bits of so many that a pair at the least similarity may differ in."""
-        return ceil(bits * self.odds + SIGMAS * sqrt(bits * self.odds * (1 - self.odds)))
+        return ceil(bits * self.odds + sigmas * sqrt(bits * self.odds * (1 - self.odds)))
 
 
 def shingle_set(text: bytes | None, n: int) -> np.ndarray:
@@ -234,9 +234,10 @@ def _unpacker(plan: Plan, bands: range):
 def close_links(nodes: DataFrame, plan: Plan, most: int | None = None) -> DataFrame:
     """Distinct links (u, v) that look close, from (node, bits): of each trie a minimum spanning forest by the check words' distance.
 
-    They only serve to connect most of what belongs together.
+    They only serve to connect most of what belongs together, so only links at
+    most as far apart as a pair at the least similarity is on average are taken.
     """
-    apart = plan.most_apart(CHECK_BITS)
+    apart = plan.most_apart(CHECK_BITS, 0)
 
     def work(shape: Keys, x: dict, nodes, depth: int) -> Iterator[pa.RecordBatch]:
         def near(i, j):
@@ -289,7 +290,7 @@ def crowded_links(nodes: DataFrame, plan: Plan, large_roots: list[int], most: in
     The whole sketch travels with every key, so pairs that are not close enough
     are never listed; a pair is listed by the first trie that holds it.
     """
-    apart, kind = plan.most_apart(64 * WIDE_WORDS), f"V{8 * WIDE_WORDS}"
+    apart, kind = plan.most_apart(64 * WIDE_WORDS, WIDE_SIGMAS), f"V{8 * WIDE_WORDS}"
     narrow = _unpacker(plan, range(plan.bands))
 
     def unpack(batch: pa.RecordBatch) -> dict:
@@ -335,8 +336,8 @@ def _bodies_of(some: DataFrame, nodes: DataFrame, bodies: DataFrame, out: str, o
     return checkpoint(read.mapInArrow(run, f"node long, {out} array<long>"))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, bodies: DataFrame, plan: Plan, words: int) -> DataFrame:
-    """The pairs (u, v) whose shingle sets are similar enough: first by all bits of their sketches, then exactly."""
+def _verified(pairs: DataFrame, nodes: DataFrame, bodies: DataFrame, plan: Plan, words: int, sure: DataFrame | None = None) -> DataFrame:
+    """The pairs (u, v) whose shingle sets are similar enough: first by all bits of their sketches, which the pairs ``sure`` need not, then exactly."""
 
     def ends(some: DataFrame, of: DataFrame, column: str) -> DataFrame:
         for end in ("u", "v"):
@@ -344,7 +345,8 @@ def _verified(pairs: DataFrame, nodes: DataFrame, bodies: DataFrame, plan: Plan,
         return some
 
     differing = F.aggregate(F.zip_with("_u", "_v", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
-    close = checkpoint(ends(pairs, nodes, "bits").filter(differing <= plan.most_apart(64 * plan.words)).select("u", "v"))
+    close = ends(pairs, nodes, "bits").filter(differing <= plan.most_apart(64 * plan.words)).select("u", "v")
+    close = checkpoint(close if sure is None else close.unionByName(sure))
     sets = _bodies_of(close.select(F.explode(F.array("u", "v")).alias("node")), nodes, bodies, "shingles", (words, lambda s: s.view(np.int64)))
     met = ends(close, sets, "shingles").withColumn("_both", F.size(F.array_intersect("_u", "_v")))
     return met.filter(F.col("_both") / (F.size("_u") + F.size("_v") - F.col("_both")) >= plan.similarity).select("u", "v")
@@ -414,7 +416,7 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
     for end in ("u", "v"):
         others = others.join(crowded.select(F.col("node").alias(end), F.lit(1).alias(f"_{end}")), end, "left")
     others = others.filter("_u is null or _v is null").select("u", "v")
-    second = _verified(checkpoint(others.unionByName(among)), nodes, bodies, plan, words)
+    second = _verified(checkpoint(others), nodes, bodies, plan, words, among)
     roots = connected_components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(second))
 
     rooted = nodes.select("node", "best").join(roots, "node", "left").select("best", F.coalesce("root", "node").alias("root"))
