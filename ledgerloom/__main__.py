@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import datetime
 import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import policy as P
+from .operators.delivery import encode_delivery
 from .plans import pipelines as J
+from .plans import scan as S
 from .sources import readers, sinks
 
 LEDGER = "school string, mailbox string, person string, collected_at date, last_observed_at date, suppressed boolean, status string"
@@ -40,6 +44,11 @@ def parser() -> argparse.ArgumentParser:
     add("stats", "counts of the schools table", "schools")
     add("resolve-websites", "verify websites by captured pages", "schools", "pages", "output", limit=positive, dry_run=bool)
     add("extract", "contacts and review items of captured pages", "schools", "pages", "output", robots=str)
+    add("scan", "websites confirmed, crawled best-first and read from captured pages", "schools", "pages", "output", robots=str, portal=str, maps=str, budget=positive, given_names=str)
+    add("crawl", "the websites that are verified already, crawled and read from captured pages", "schools", "pages", "output", robots=str, maps=str, budget=positive, region=str, limit=positive, given_names=str)
+    add("crawl-url", "one website crawled and read from captured pages", "url", "pages", "output", robots=str, maps=str, budget=positive, given_names=str)
+    add("reparse", "the pages of an earlier scan read anew from their captures", "schools", "scan", "pages", "output", given_names=str)
+    add("delivery", "a contact table as a compact coded delivery", "contacts", "output")
     add("batch-export", "gate, ledger, statuses and the contact file of captured pages", "schools", "pages", "output", robots=str, previous=str)
     add("export-csv", "a contact table as a file", "contacts", "output", policy=str)
     add("reviewed-export", "a reviewed capture through the strict gate", "input", "output", previous=str)
@@ -90,6 +99,14 @@ def run(argv: list[str], spark: SparkSession) -> dict:
         sinks.write_csv(result.schools.withColumn("contacts", F.col("contacts").cast("string")), f"{a.output}/schools", ["name", "type", "address", "website", "address_source_url", "contacts"], ("Škola", "Typ", "Adresa", "Web", "Zdroj adresy", "Potvrzené kontakty"), ["key"])
         sinks.write_csv(result.review, f"{a.output}/review", ["school", "name", "email", "reason", "url"], ("Klíč školy", "Jméno", "E-mail", "Důvod", "Zdroj"), ["school", "email", "reason"])
         return _finish(result, a.output)
+    if a.command in ("scan", "crawl", "crawl-url", "reparse"):
+        return _run_row(a, spark, _scan)
+    if a.command == "delivery":
+        rows = read(a.contacts)
+        rows = rows.withColumnRenamed("mailbox", "email") if "email" not in rows.columns else rows
+        for name, table in encode_delivery(rows.withColumn("source", F.get("sources", F.lit(0)))).items():
+            table.write.mode("errorifexists").option("compression", "zstd").parquet(f"{a.output}/{name}")
+        return {"contacts": rows.count(), "output": a.output}
     found = J.extract_contacts(read(a.schools), read(a.pages), read(a.robots) if a.robots else None)
     if a.command == "extract":
         for name in ("pages", "contacts", "review"):
@@ -101,6 +118,50 @@ def run(argv: list[str], spark: SparkSession) -> dict:
     return _finish(result, a.output)
 
 
+def _run_row(a: argparse.Namespace, spark: SparkSession, work) -> dict:
+    """The command's work between its start and its end, kept as one row: COMPLETED, PARTIAL or FAILED."""
+    started = datetime.datetime.now(datetime.timezone.utc).isoformat()
+    status, report, failure = "FAILED", {}, None
+    try:
+        report = work(a, spark)
+        status = report["status"]
+        return report
+    except Exception as e:
+        failure = f"{type(e).__name__}: {e}"[:500]
+        raise
+    finally:
+        row = (a.command, started, datetime.datetime.now(datetime.timezone.utc).isoformat(), status, failure, report.get("pages"), report.get("errors"), report.get("contacts"))
+        spark.createDataFrame([row], "command string, started_at string, finished_at string, status string, failure string, pages long, errors long, contacts long").write.mode("append").parquet(f"{a.output}/runs")
+
+
+def _scan(a: argparse.Namespace, spark: SparkSession) -> dict:
+    """The crawling commands and the replay; a run row tells how it went."""
+    table = lambda path: spark.read.parquet(path) if path else None
+    given = [r["value"] for r in spark.read.text(a.given_names).collect()] if a.given_names else P.GIVEN_NAMES
+    if a.command == "reparse":
+        found, notes = S.reparse(table(f"{a.scan}/pages").filter("error is null"), table(a.pages), table(a.schools), given)
+        notes.write.mode("errorifexists").parquet(f"{a.output}/notes")
+    else:
+        budget = a.budget or P.PAGE_BUDGET["batch"]
+        if a.command == "crawl-url":
+            schools = spark.range(1).select(F.lit("url").alias("registry_id"), F.lit(a.url).alias("website"), F.lit("").alias("name"))
+        elif a.command == "crawl":
+            schools = readers.crawlable(table(a.schools).withColumn("school", F.col("registry_id")), a.region, a.limit)
+        else:
+            schools = table(a.schools)
+        known = None if a.command == "scan" else schools.select("registry_id", "website")
+        scan = S.scan_sites(schools, table(a.pages), table(a.robots), table(a.portal) if a.command == "scan" else None, table(a.maps), budget, given, known)
+        found = scan.extraction
+        for name in ("verdicts", "targets", "errors"):
+            getattr(scan, name).write.mode("errorifexists").parquet(f"{a.output}/{name}")
+        found.counts.write.mode("errorifexists").parquet(f"{a.output}/counts")
+    for name in ("pages", "contacts", "review"):
+        getattr(found, name).write.mode("errorifexists").parquet(f"{a.output}/{name}")
+    pages = spark.read.parquet(f"{a.output}/pages")
+    row = pages.agg(F.count_if(F.col("error").isNull()).alias("pages"), F.count_if(F.col("error").isNotNull()).alias("errors"), F.when(F.count_if(F.col("error").isNotNull()) > 0, "PARTIAL").otherwise("COMPLETED").alias("status"))
+    return json.loads(sinks.report(row)) | {"contacts": spark.read.parquet(f"{a.output}/contacts").count()}
+
+
 def _finish(result: J.BatchResult, output: str) -> dict:
     """The ledger, the summary and the report; the ledger is what the next run takes as --previous."""
     result.ledger.write.mode("errorifexists").parquet(f"{output}/ledger")

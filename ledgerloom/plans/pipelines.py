@@ -56,9 +56,12 @@ def resolve_websites(schools: DataFrame, pages: DataFrame) -> tuple[DataFrame, D
 
 @dataclass
 class Extraction:
+    """Pages read, contacts and review items; counts: school, website, browser_targets, remaining, pages, notes of a scan."""
+
     pages: DataFrame
     contacts: DataFrame
     review: DataFrame
+    counts: DataFrame | None = None
 
 
 def extract_contacts(schools: DataFrame, pages: DataFrame, robots: DataFrame | None = None) -> Extraction:
@@ -116,6 +119,9 @@ def batch_export(schools: DataFrame, extraction: Extraction, ledger: DataFrame)
     review = C.prune_review(items, contacts).drop("name", "pos")
     pages = extraction.pages.groupBy(F.col("registry_id").alias("school")).agg(F.count_if(F.col("error").isNull()).alias("pages"), F.count_if(F.col("error").isNotNull()).alias("notes"))
     scans = sites.join(pages, "school", "left").select("school", F.col("school_website").alias("website"), F.lit(0).alias("browser_targets"), F.lit(0).alias("remaining"), F.coalesce("notes", F.lit(0)).alias("notes"), F.coalesce("pages", F.lit(0)).alias("pages"))
+    if extraction.counts is not None:  # a scan tells more of the sites it has confirmed
+        known = extraction.counts.select("school", *[F.col(c).alias(f"_{c}") for c in ("website", "browser_targets", "remaining", "pages", "notes")])
+        scans = scans.join(known, "school", "left").select("school", F.coalesce("_website", "website").alias("website"), *[F.coalesce(f"_{c}", c).alias(c) for c in ("browser_targets", "remaining", "notes", "pages")])
     none = sites.limit(0).select("school", F.lit(0).alias("profiles"), F.lit(False).alias("profiles_checked"))
     rows = M.school_rows(sites.select("school", "school_name"), scans, none, contacts)
     one = lambda df: df.withColumn("_k", F.lit(1))

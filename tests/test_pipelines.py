@@ -107,3 +107,117 @@ def test_options_are_checked(spark):
     for bad in (["resolve-websites", "--schools", "a", "--pages", "b", "--output", "c", "--limit", "0"], ["nonsense"], ["stats"]):
         with pytest.raises(SystemExit):
             parser().parse_args(bad)
+
+
+# --- scan, crawl, replay, delivery ------------------------------------------------------------
+
+
+def site(body, title="Škola", h1="Škola"):
+    return f"<html><head><title>{title}</title></head><body><h1>{h1}</h1>{body}</body></html>"
+
+
+@pytest.fixture
+def captured(spark, tmp_path):
+    """Site 1 is confirmed by a linked page, site 2 by the portal only, site 3 not at all; site 4 shows a soft 404."""
+    home = site('<a href="/kontakt/">Kontakt</a><a href="/kontakt">Kontakty</a><a href="/sbor">Pedagogický <b>sbor</b></a><a href="/aktuality">Aktuality</a><a href="/admin/sbor">x</a><a href="https://jinde.example.com/sbor">y</a>')
+    pages = {
+        "https://zs1.example.org/": home,
+        "https://zs1.example.org/kontakt/": site("<p>IČO 70000001</p><a href='/vedeni'>Vedení</a><p>info@zs1.example.org</p>"),
+        "https://zs1.example.org/sbor": site("<ul><li>Mgr. Jan Novák, učitel jan@zs1.example.org</li><li>Eva Malá eva@zs1.example.org</li></ul><button>Zobrazit profil</button><a href='/sbor?page=2'>další</a>"),
+        "https://zs1.example.org/vedeni": site("<ul><li>Hana Horáková, ředitelka hana@zs1.example.org</li><li>Základní Škola x@zs1.example.org</li></ul>"),
+        "https://zs1.example.org/tajne/sbor": site("<li>Petr Šimek petr@zs1.example.org</li>"),
+        "https://zs1.example.org/stare/kontakt": site("", "Stránka nenalezena"),
+        "https://zs2.example.net/": site("<ul><li>Petr Šimek petr@zs2.example.net</li></ul>"),
+        "https://zs3.example.org/": site("nic"),
+        "https://zs4.example.org/": site("IČO 70000004", "404"),
+    }
+    day = dt.date(2026, 2, 1)
+    spark.createDataFrame([(u, h, day) for u, h in pages.items()], "url string, html string, observed_at date").write.parquet(str(tmp_path / "pages"))
+    rows = [(str(n), f"Základní škola {n}", f"6000{n}", f"7000000{n}", "Dlouhá 1", [f"info@zs{n}.example.org"] if n != 2 else [], None, "Adresa", "UNKNOWN") for n in range(1, 5)]
+    spark.createDataFrame(rows, "registry_id string, name string, red_izo string, ico string, street string, emails array<string>, website string, address string, website_status string").write.parquet(str(tmp_path / "schools"))
+    spark.createDataFrame([("zs1.example.org", "User-agent: *\nDisallow: /tajne")], "host string, robots string").write.parquet(str(tmp_path / "robots"))
+    portal = "<body>60002<table><tr><td>Web: <a href='https://zs2.example.net/'>www</a></td></tr></table></body>"
+    spark.createDataFrame([("https://portal.example.org/School/60002", portal, "60002")], "url string, html string, red_izo string").write.parquet(str(tmp_path / "portal"))
+    loc = lambda u: f"<url><loc>{u}</loc></url>"
+    maps = [
+        ("https://zs1.example.org", "https://zs1.example.org/sitemap.xml", "<sitemapindex><sitemap><loc>https://zs1.example.org/a.xml</loc></sitemap></sitemapindex>"),
+        ("https://zs1.example.org", "https://zs1.example.org/a.xml", "<urlset>" + loc("https://zs1.example.org/tajne/sbor") + loc("https://zs1.example.org/stare/kontakt") + loc("https://zs1.example.org/obed") + "</urlset>"),
+    ]
+    spark.createDataFrame(maps, "website string, url string, xml string").write.parquet(str(tmp_path / "maps"))
+    return tmp_path
+
+
+def test_scan_confirms_crawls_and_reads(spark, captured):
+    p = lambda n: str(captured / n)
+    got = run(["scan", "--schools", p("schools"), "--pages", p("pages"), "--robots", p("robots"), "--portal", p("portal"), "--maps", p("maps"), "--output", p("out")], spark)
+    verdicts = {r["registry_id"]: (r["website"], r["source"]) for r in spark.read.parquet(p("out/verdicts")).collect()}
+    assert verdicts == {"1": ("https://zs1.example.org/", "REGISTRY_EMAIL_DOMAIN_AND_IDENTITY"), "2": ("https://zs2.example.net/", "https://portal.example.org/School/60002")}
+    errors = {(r["registry_id"], r["code"]) for r in spark.read.parquet(p("out/errors")).collect()}
+    assert {("3", "IDENTITY_NOT_CONFIRMED"), ("4", "SOFT_404"), ("1", "ROBOTS_DISALLOWED"), ("1", "SOFT_404")} <= errors
+    pages = {r["url"]: r["error"] for r in spark.read.parquet(p("out/pages")).collect()}
+    assert [u for u, e in pages.items() if e is None and "zs1" in u] and pages["https://zs1.example.org/vedeni"] is None
+    assert not any("aktuality" in u or "admin" in u or "jinde" in u or "obed" in u for u in pages)
+    assert sum("zs1.example.org/kontakt" in u for u in pages) == 1
+    people = {(r["first_name"], r["last_name"], r["mailbox"], r["website"]) for r in spark.read.parquet(p("out/contacts")).collect()}
+    assert people == {("Jan", "Novák", "jan@zs1.example.org", "https://zs1.example.org/"), ("Eva", "Malá", "eva@zs1.example.org", "https://zs1.example.org/"), ("Hana", "Horáková", "hana@zs1.example.org", "https://zs1.example.org/"), ("Petr", "Šimek", "petr@zs2.example.net", "https://zs2.example.net/")}
+    (target,) = spark.read.parquet(p("out/targets")).collect()
+    assert (target["url"], target["reason"], target["weight"]) == ("https://zs1.example.org/sbor", "INTERACTIVE_PROFILES", 120)
+    counts = {r["school"]: r for r in spark.read.parquet(p("out/counts")).collect()}
+    assert (counts["1"]["browser_targets"], counts["1"]["notes"], counts["2"]["pages"]) == (1, 1, 1)
+    (row,) = spark.read.parquet(p("out/runs")).collect()
+    assert got["contacts"] == 4 and (row["status"], row["contacts"]) == (got["status"], 4) == ("PARTIAL", 4)
+
+    # the replay reads the same contacts with their first times; a page without capture gives a note
+    spark.read.parquet(p("pages")).filter("url not like '%vedeni'").write.parquet(p("fewer"))
+    schools = spark.read.parquet(p("schools")).drop("website").join(spark.read.parquet(p("out/verdicts")).select("registry_id", "website"), "registry_id", "left")
+    schools.write.parquet(p("confirmed"))
+    assert run(["reparse", "--schools", p("confirmed"), "--scan", p("out"), "--pages", p("pages"), "--output", p("again")], spark)["contacts"] == 4
+    run(["reparse", "--schools", p("confirmed"), "--scan", p("out"), "--pages", p("fewer"), "--output", p("partly")], spark)
+    assert [r["note"] for r in spark.read.parquet(p("partly/notes")).collect() if "vedeni" in r["note"]] == ["SOURCE_CAPTURE_MISSING:https://zs1.example.org/vedeni"]
+    assert {r["observed_at"] for r in spark.read.parquet(p("again/contacts")).collect()} == {dt.date(2026, 2, 1)}
+
+    assert run(["delivery", "--contacts", p("out/contacts"), "--output", p("delivery")], spark)["contacts"] == 4
+    from ledgerloom.operators.delivery import decode_delivery
+
+    back = decode_delivery({n: spark.read.parquet(p(f"delivery/{n}")) for n in ("firsts", "domains", "sources", "contacts")})
+    assert {r["email"] for r in back.collect()} == {m for *_, m, _ in people}
+
+
+def test_crawl_stops_at_its_budget_and_failures_are_kept(spark, captured):
+    p = lambda n: str(captured / n)
+    got = run(["crawl-url", "--url", "https://zs1.example.org/", "--pages", p("pages"), "--budget", "2", "--output", p("one")], spark)
+    assert got["pages"] == 2 and {r["url"] for r in spark.read.parquet(p("one/pages")).collect()} == {"https://zs1.example.org/", "https://zs1.example.org/sbor"}
+    assert spark.read.parquet(p("one/counts")).first()["remaining"] >= 1  # /kontakt; /vedeni was never seen
+    with pytest.raises(Exception):
+        run(["crawl", "--schools", p("nowhere"), "--pages", p("pages"), "--output", p("bad")], spark)
+    assert spark.read.parquet(p("bad/runs")).first()["status"] == "FAILED"
+
+
+def test_best_first_order_equals_a_queue(spark):
+    """One page a round is the strict order of a priority queue."""
+    import heapq
+    import random
+
+    from ledgerloom.operators.links import crawl_order
+
+    rng, edges = random.Random(5), []
+    for s in ("a", "b"):
+        for k in range(12):
+            for t in rng.sample(range(12), 4):
+                edges.append((s, f"https://{s}/{k}", f"https://{s}/{t}/" if rng.random() < 0.3 else f"https://{s}/{t}", 4 + (t * 7) % 9))
+    links = spark.createDataFrame(edges, "site string, page_url string, url string, score long")
+    home = spark.createDataFrame([("a", "https://a/0"), ("b", "https://b/0")], "site string, url string")
+    got = {(r["site"], r["round"]): r["url"].rstrip("/") for r in crawl_order(home, links, budget=8, step=1).collect()}
+    for s in ("a", "b"):
+        seen, queue, order = set(), [(-100, f"https://{s}/0")], []
+        while queue and len(order) < 8:
+            _, u = heapq.heappop(queue)
+            if u in seen:
+                continue
+            seen.add(u)
+            order.append(u)
+            for q, f, t, w in edges:
+                if q == s and f == u and t.rstrip("/") not in seen:
+                    heapq.heappush(queue, (-w, t.rstrip("/")))
+        assert [got.get((s, k)) for k in range(len(order))] == order
+    assert len(crawl_order(home, links, budget=8, step=4).collect()) == 16
