@@ -71,8 +71,11 @@ def page_flags(spark, sf):
 _BODY = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<body[^>]*>(.*)', 1), '(?s)<!--.*?-->', '', 'g'), '(?is)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?s)<[^>]+>', chr(10), 'g'), '&[a-z]+;', 'x', 'g')"
 
 
+_PLAIN = r"regexp_replace(replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?is)<{0}>(.*?)</{0}>', 1), '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;?', '&', 'g')"
+
+
 @query(
-    rf"""SELECT page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1), '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS h1,
+    rf"""SELECT page_id, {_PLAIN.format("title")} AS title, {_PLAIN.format("h1")} AS h1,
     CAST(len(regexp_extract_all(html, '<a href=')) AS INT) AS links, length(regexp_replace(regexp_replace({_BODY}, '[ \t]+', ' ', 'g'), '\n\s*\n', chr(10), 'g').trim(' ' || chr(10))) < 500 AND contains(html, '<script') AS js_shell, regexp_matches(lower(left(html, 20)), '^<!doctype\s+html') AS is_html FROM pages"""
 )
 def page_outline(spark, sf):
@@ -139,9 +142,17 @@ def block_quarantine(spark, sf):
 
 
 def _pages(spark, sf):
-    """Pages of people made by rule, and the driver's pages, which hold neither addresses nor profiles."""
-    made = read(spark, sf, "fx_people_page").select("url", "html")
-    return made.unionByName(read(spark, sf, "pages").select("url", "html"))
+    """Pages of people made by rule."""
+    return read(spark, sf, "fx_people_page").select("url", "html")
+
+
+@query(
+    r"""SELECT DISTINCT url, lower(unnest(regexp_extract_all(part, '(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,}'))) AS email, 'TEXT' AS kind FROM
+    (SELECT url, unnest(string_split_regex(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'g'), '<[^>]+>')) AS part FROM pages)"""
+)
+def page_mails(spark, sf):
+    """H1 over raw pages: the addresses in their texts."""
+    return H.occurrences(read(spark, sf, "pages")).select("url", "email", "kind").distinct()
 
 
 _LIST = """lists AS (SELECT k, url, first_name AS f, last_name AS l, 'm' || k || '@zs.example.org' AS mail, 'Mgr. ' || first_name || ' ' || last_name || CASE WHEN k % 4 = 0 THEN ' a Hana Malá' ELSE ', učitelka' END AS entry FROM fx_people_page)"""
