@@ -19,13 +19,19 @@ def csv_lines(rows: DataFrame, columns: list[str], policy: str = "pilot"):
     return F.concat_ws(";", *[csv_cell(F.col(c), policy) for c in columns])
 
 
+MOST_ROWS = 1_048_575  # rows that a spreadsheet holds below its header
+
+
 def write_csv(rows: DataFrame, path: str, columns: list[str], header: tuple[str, ...] = HEADER, order: list[str] | None = None, policy: str = "pilot") -> None:
     """K1–K3: one file with byte order mark, CRLF ends and header, in the given order; an existing path is an error (classic and batch replace it).
 
     The file is what a person opens in a spreadsheet, so it is one ordered
-    part, written by one task; use JSON or Parquet sinks for large results.
+    part, written by one task; more rows than a spreadsheet holds are an error.
+    Use JSON or Parquet sinks for larger results.
     """
     spark = rows.sparkSession
+    if rows.limit(MOST_ROWS + 1).count() > MOST_ROWS:
+        raise ValueError(f"a spreadsheet holds {MOST_ROWS} rows")
     cells = [csv_cell(F.lit(h), P.check(policy)) for h in header]
     top = spark.range(1).select(F.concat(F.lit("﻿"), F.concat_ws(";", *cells)).alias("value"), F.lit(0).alias("_k"), *[F.lit(None).cast(rows.schema[c].dataType).alias(f"_o{n}") for n, c in enumerate(order or [])])
     body = rows.select(csv_lines(rows, columns, policy).alias("value"), F.lit(1).alias("_k"), *[F.col(c).alias(f"_o{n}") for n, c in enumerate(order or [])])
