@@ -60,7 +60,8 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
 
     Turns go by number (nulls first), equal numbers by role and flattened text;
     repeated rows are turns of their own. A null role is an empty role, null
-    parts are no parts, a null conv_id is a conversation. loss_spans are the
+    parts are no parts, rows of a null conv_id are one conversation; a conversation is
+    one text and so is put together in one task. loss_spans are the
     (start, length) in code points of the assistant bodies in ``formatted``.
     """
     parts = F.coalesce(F.col(parts_col), F.array().cast(f"array<{PART}>"))
@@ -94,6 +95,30 @@ def parse_conversation(formatted: Column) -> Column:
     return F.transform(turns, one)
 
 
+def parse_parts(formatted: Column, attachments: Column) -> Column:
+    """array<struct<role, parts>> read back: parts are array<struct<type, text, ref, tokens>>, placeholders with the attachments in their order.
+
+    Neighbouring texts come back as one part; empty ones leave none. A text that
+    says ``<image>`` is told from a placeholder, as its ``<`` is escaped.
+    """
+    turns = F.filter(F.split(formatted, "</s>\n"), lambda s: s != "")
+    pieces_of = lambda s: F.regexp_extract_all(F.substr(s, F.length(F.substring_index(s, "]\n", 1)) + 3), F.lit("<(?:image|audio|document)>|[^<]+"), F.lit(0))
+    placeholders = lambda pieces: F.size(F.filter(pieces, lambda p: p.startswith("<")))
+
+    def one(s: Column, n: Column) -> Column:
+        before = F.aggregate(F.slice(turns, F.lit(1), n), F.lit(0), lambda k, t: k + placeholders(pieces_of(t)))
+
+        def part(p: Column, k: Column) -> Column:
+            a = F.get(attachments, before + placeholders(F.slice(pieces_of(s), F.lit(1), k)))
+            held = F.struct(a["kind"].alias("type"), F.lit(None).cast("string").alias("text"), a["ref"].alias("ref"), a["tokens"].alias("tokens"))
+            return F.when(p.startswith("<"), held).otherwise(F.struct(F.lit("text").alias("type"), unescape(p).alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("long").alias("tokens")))
+
+        role = unescape(F.substr(F.substring_index(s, "]\n", 1), F.lit(5)))
+        return F.struct(role.alias("role"), F.transform(pieces_of(s), part).alias("parts"))
+
+    return F.transform(turns, one)
+
+
 def loss_text(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped."""
     return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"]))), "")

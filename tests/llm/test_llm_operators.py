@@ -540,6 +540,17 @@ def test_parts_become_placeholders_with_attachments(spark):
     assert chat.format_conversations(parts_frame(spark).limit(0)).count() == 0
 
 
+def test_parts_are_read_back_with_their_attachments(spark):
+    f = chat.format_conversations(parts_frame(spark)).withColumn("back", chat.parse_parts(F.col("formatted"), F.col("attachments")))
+    rows = {r["conv_id"]: [(t["role"], [tuple(p) for p in t["parts"]]) for t in r["back"]] for r in f.collect()}
+    assert rows[1] == [
+        ("", []),
+        ("user", [("text", "Co je", None, None), ("image", None, "s3/a.png", 4), ("audio", None, "b.wav", 63), ("document", None, "c.pdf", 1536)]),
+        ("assistant", [("text", "Vidím <image> [x] \\b", None, None)]),
+    ]
+    assert rows[2] == [("assistant", [])] and rows[None] == [("user", [])]
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "]x["]), st.text(alphabet="ab\\<>[]/s\n|lbe🙂", max_size=12)), min_size=1, max_size=4))
 def test_any_text_is_read_back(spark, turns):
@@ -917,6 +928,20 @@ def test_license_query_gives_the_matches(spark, tmp_path):
     assert row["n_matches"] == 2 and [tuple(m) for m in row["matches"]] == [(0, "MIT", 1.0), (1, "ISC", 1.0)]
 
 
+@pytest.mark.parametrize("lead", ["", "# ", " * ", "// "])
+def test_every_template_is_found_wrapped_inside_a_long_text(lead):
+    """Recall over all templates at several widths, in a comment block between code and prose without blank lines: 1."""
+    scan, rng = licenses.Scanner(), np.random.default_rng(len(lead))
+    for name, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            for width in (4, 9):
+                w = notice.split()
+                block = [lead + " ".join(w[k : k + width]) for k in range(0, len(w), width)]
+                noise = [" ".join(f"w{x}" for x in rng.integers(0, 9999, 12)) for _ in range(6)]
+                found = scan("\n".join([*noise[:3], lead + "Copyright 2024 Somebody", *block, *noise[3:]]))
+                assert max(found, key=lambda f: f[2])[2] >= licenses.THRESHOLD and any(n == name or d >= 0.95 for _, n, d in found), (name, notice[:40], found)
+
+
 def test_licenses_of_odd_rows(spark, odd):
     rows = licenses.scan_licenses(odd).toPandas()
     assert len(rows) == 12 and rows.license.notna().sum() == 1 and licenses.scan_licenses(empty(odd)).count() == 0
