@@ -68,6 +68,7 @@ class Sparse:
         self.ends = np.cumsum([0, *map(len, at)], dtype=np.int64)
         self.at = np.concatenate(at) if at else np.empty(0, np.int32)
         self.value = np.concatenate(values) if values else np.empty(0, np.float32)
+        self._turned: tuple[Sparse, np.ndarray] | None = None
 
     @property
     def n(self) -> int:
@@ -86,17 +87,28 @@ class Sparse:
             yield a, b, int(self.ends[a]), int(self.ends[b])
             a = b
 
-    def local(self, a: int, b: int) -> np.ndarray:
-        return np.repeat(np.arange(b - a), np.diff(self.ends[a : b + 1]))
-
     def dot(self, w: np.ndarray) -> np.ndarray:
-        out = [np.bincount(self.local(a, b), weights=self.value[s:e] * w[self.at[s:e]], minlength=b - a) for a, b, s, e in self.blocks()]
-        return np.concatenate(out) if out else np.empty(0)
+        out = np.zeros(self.n)
+        for a, b, s, e in self.blocks():
+            full = np.flatnonzero(np.diff(self.ends[a : b + 1])) + a
+            if len(full):
+                out[full] = np.add.reduceat(self.value[s:e] * w[self.at[s:e]], self.ends[full] - s)
+        return out
+
+    def turned(self) -> tuple[Sparse, np.ndarray]:
+        """(rows and columns exchanged, columns without entries left out; the columns that are left), made once."""
+        if self._turned is None:
+            order = np.argsort(self.at, kind="stable")
+            out, columns = Sparse([], []), self.at[order]
+            cuts = np.flatnonzero(np.diff(columns, prepend=-1))
+            out.ends, out.at, out.value = np.append(cuts, len(columns)), self.row[order], self.value[order]
+            self._turned = out, columns[cuts]
+        return self._turned
 
     def back(self, r: np.ndarray, size: int) -> np.ndarray:
         out = np.zeros(size)
-        for a, b, s, e in self.blocks():
-            out += np.bincount(self.at[s:e], weights=self.value[s:e] * r[a:b][self.local(a, b)], minlength=size)
+        turned, columns = self.turned()
+        out[columns] = turned.dot(r)
         return out
 
     def rows(self, keep: np.ndarray) -> Sparse:
