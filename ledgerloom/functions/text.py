@@ -116,3 +116,15 @@ def prague_date(ts: Column) -> Column:
 def positive_int(c: Column) -> Column:
     """The value of an option that must be a positive whole number, else null."""
     return F.when(c.rlike(r"^\s*[+]?[0-9]+\s*$") & (F.trim(c).try_cast("int") > 0), F.trim(c).try_cast("int"))
+
+
+def regex_quote(c: Column) -> Column:
+    """The text as a pattern that matches just it."""
+    return F.regexp_replace(c, r"([.*+?^${}()|\[\]\\])", r"\\$1")
+
+
+def chunks(values: Column, size: int) -> Column:
+    """An array cut into arrays of ``size`` values, the last one shorter; an empty array has none."""
+    n = F.size(values)
+    starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(size))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda at: F.slice(values, at, F.lit(size)))

@@ -52,6 +52,11 @@ def run_rows(runs: DataFrame, pages: DataFrame) -> DataFrame:
     return met.select("run", "started_at", "finished_at", "failure", *counts, status.alias("status"))
 
 
+def scope_blob(**values: Column) -> Column:
+    """What a run was asked to do, as a JSON text; nulls are left out."""
+    return F.to_json(F.struct(*[c.alias(n) for n, c in values.items()]))
+
+
 def batch_summary(rows: DataFrame, contacts: DataFrame, review: DataFrame) -> DataFrame:
     """The 13 metrics of a batch, one row.
 

@@ -167,3 +167,27 @@ def delivery_file(spark, sf):
     for name, table in D.encode_delivery(rows).items():
         table.write.option("compression", "zstd").parquet(f"{folder}/{name}")
     return D.decode_delivery({n: spark.read.parquet(f"{folder}/{n}") for n in ("firsts", "domains", "sources", "contacts")})
+
+
+@query(r"SELECT page_id, regexp_replace(url || '(a|b)*[x]{2}$', '([.*+?^${}()|\[\]\\])', '\\\1', 'g') AS pattern, true AS matches FROM pages")
+def regex_quoted(spark, sf):
+    """A text quoted as a pattern matches just itself."""
+    raw = F.concat("url", F.lit("(a|b)*[x]{2}$"))
+    return read(spark, sf, "pages").select("page_id", text.regex_quote(raw).alias("pattern"), F.regexp_like(raw, F.concat(F.lit("^"), text.regex_quote(raw), F.lit("$"))).alias("matches"))
+
+
+@query("SELECT o_custkey AS school, CAST((p - 1) // 3 AS INT) AS chunk, array_to_string(list(o_orderkey ORDER BY o_orderkey), ' ') AS keys FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS p FROM orders) GROUP BY 1, 2")
+def array_chunks(spark, sf):
+    """Arrays cut into pieces of three."""
+    rows = read(spark, sf, "orders").groupBy(F.col("o_custkey").alias("school")).agg(F.sort_array(F.collect_list("o_orderkey")).alias("keys"))
+    return rows.select("school", F.posexplode(text.chunks(F.col("keys"), 3)).alias("chunk", "part")).select("school", "chunk", F.array_join("part", " ").alias("keys"))
+
+
+@query("SELECT run, '{\"region\":\"Praha\",' || CASE WHEN run % 2 = 0 THEN '\"limit\":' || run || ',' ELSE '' END || '\"dry_run\":' || CASE WHEN run % 3 = 0 THEN 'true' ELSE 'false' END || '}' AS scope FROM (SELECT DISTINCT s_suppkey % 12 AS run FROM supplier)")
+def run_scope(spark, sf):
+    """The scope of a run."""
+    from ..operators.metrics import scope_blob
+
+    run = F.col("run")
+    rows = read(spark, sf, "supplier").select((F.col("s_suppkey") % 12).alias("run")).distinct()
+    return rows.select("run", scope_blob(region=F.lit("Praha"), limit=F.when(run % 2 == 0, run), dry_run=run % 3 == 0).alias("scope"))
