@@ -22,12 +22,17 @@ def conflicts(obs: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return obs.groupBy(*keys).agg(F.count_distinct("person").alias("persons")).filter("persons > 1")
 
 
-def best_by_confidence(obs: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """One row for each mailbox of exactly one person: that of the highest confidence, the first on ties."""
+def best_by_confidence(obs: DataFrame, keys: list[str] | None = None, first_seen: str | None = None) -> DataFrame:
+    """One row for each mailbox of exactly one person: that of the highest confidence, the first on ties.
+
+    first_seen names a column for the first time that the mailbox was observed
+    (A14), taken in the same pass.
+    """
     keys = keys or ["mailbox"]
     rest = [c for c in obs.columns if c not in keys]
-    best = obs.groupBy(*keys).agg(F.min("person").alias("_a"), F.max("person").alias("_b"), F.min_by(F.struct(*rest), F.struct(-F.col("confidence"), F.col("pos"))).alias("_w"))
-    return best.filter("_a = _b").select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest])
+    seen = [F.min("observed_at").alias(first_seen)] if first_seen else []
+    best = obs.groupBy(*keys).agg(F.min("person").alias("_a"), F.max("person").alias("_b"), F.min_by(F.struct(*rest), F.struct(-F.col("confidence"), F.col("pos"))).alias("_w"), *seen)
+    return best.filter("_a = _b").select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest], *([first_seen] if first_seen else []))
 
 
 def first_with_unions(obs: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -109,8 +109,7 @@ def _schools(spark, sf):
 )
 def export_contacts(spark, sf):
     """The flagship: conflict-free contacts of verified sites, joined with their school, ranked and projected."""
-    obs = read(spark, sf, "fx_obs")
-    best = C.best_by_confidence(obs).join(obs.groupBy("mailbox").agg(F.min("observed_at").alias("first_seen")), "mailbox")
+    best = C.best_by_confidence(read(spark, sf, "fx_obs"), first_seen="first_seen")
     schools = _schools(spark, sf).withColumn("website", F.when(F.col("school") % 10 != 0, F.concat(F.lit("https://zs"), "school", F.lit(".example.org"))))
     rows = export_rows(best, schools)
     return rows.select("rank", "person", F.col("mailbox").alias("email"), "school_name", F.col("nation").alias("address"), "website", F.date_format("first_seen", "yyyy-MM-dd").alias("collected_at"))
