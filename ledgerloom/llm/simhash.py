@@ -398,7 +398,8 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
     first = connected_components(_verified(checkpoint(close_links(nodes.select("node", "bits"), plan, most)), nodes, bodies, plan, words))
     grouped = checkpoint(nodes.select("node", "bits").join(first, "node", "left").select("node", "bits", F.coalesce("root", "node").alias("root")))
 
-    large = first.groupBy("root").count().filter(F.col("count") > (most or MOST // 64) // 8).select("root").collect()  # few: each holds many nodes
+    # roots that may fill a task on their own: few, as each holds so many nodes
+    large = first.groupBy("root").count().filter(F.col("count") > (most or MOST // 64) // 8).select("root").collect()
     large = [r["root"] for r in large]
     # nodes that the first bands find crowded are known in the others
     start = min(FIRST_BANDS, plan.bands)
@@ -411,7 +412,7 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
     crowded = checkpoint(crowded)
     wide = _bodies_of(crowded, nodes, bodies, "bits", (words, lambda s: np.packbits(sketch(s, WIDE_WORDS), bitorder="little").view(np.int64)))
     among = crowded_links(grouped.select("node", "root").join(wide, "node"), Plan(crowded.count(), similarity, CROWDED_BITS), large, most)
-    # pairs of two crowded nodes that some trie listed are among the others
+    # what the tries listed of pairs of two crowded nodes, crowded_links lists too
     others = crossing.filter("u < v")
     for end in ("u", "v"):
         others = others.join(crowded.select(F.col("node").alias(end), F.lit(1).alias(f"_{end}")), end, "left")
