@@ -62,6 +62,7 @@ class Extraction:
     contacts: DataFrame
     review: DataFrame
     counts: DataFrame | None = None
+    browsers: DataFrame | None = None  # school, profiles, profiles_checked, browser_pages, profile_cards, opened_cards of browser runs
 
 
 def extract_contacts(schools: DataFrame, pages: DataFrame, robots: DataFrame | None = None) -> Extraction:
@@ -122,12 +123,11 @@ def batch_export(schools: DataFrame, extraction: Extraction, ledger: DataFrame)
     if extraction.counts is not None:  # a scan tells more of the sites it has confirmed
         known = extraction.counts.select("school", *[F.col(c).alias(f"_{c}") for c in ("website", "browser_targets", "remaining", "pages", "notes")])
         scans = scans.join(known, "school", "left").select("school", F.coalesce("_website", "website").alias("website"), *[F.coalesce(f"_{c}", c).alias(c) for c in ("browser_targets", "remaining", "notes", "pages")])
-    none = sites.limit(0).select("school", F.lit(0).alias("profiles"), F.lit(False).alias("profiles_checked"))
-    rows = M.school_rows(sites.select("school", "school_name"), scans, none, contacts)
-    one = lambda df: df.withColumn("_k", F.lit(1))
-    counts = rows.agg(F.count(F.lit(1)).alias("schools"), F.count_if(F.col("website").isNotNull()).alias("schools_with_web"), F.count_if(F.col("contacts") > 0).alias("schools_with_contacts"), F.coalesce(F.sum("pages"), F.lit(0)).alias("pages"))
-    unique = contacts.agg(F.count(F.lit(1)).alias("contact_rows"), F.count_distinct("email").alias("unique_emails"), F.count_distinct("school", text.fold(F.concat_ws(" ", "first_name", "last_name"))).alias("unique_people"))
-    summary = one(counts).join(one(unique), "_k").join(one(review.agg(F.count(F.lit(1)).alias("review_items"))), "_k").join(one(M.histogram_map(rows, "status").withColumnRenamed("counts", "statuses")), "_k").drop("_k")
+    empty = [F.lit(0).alias(c) for c in ("profiles", "browser_pages", "profile_cards", "opened_cards")]
+    browsers = extraction.browsers if extraction.browsers is not None else sites.limit(0).select("school", *empty, F.lit(False).alias("profiles_checked"))
+    rows = M.school_rows(sites.select("school", "school_name"), scans, browsers, contacts)
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("browser_pages", "profile_cards", "opened_cards")})
+    summary = M.batch_summary(rows, contacts.withColumn("person", text.fold(F.concat_ws(" ", "first_name", "last_name"))), review)
     return BatchResult(contacts, rows, review, summary, merged.drop("reason"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import policy as P
-from ..functions import names, text, urls
+from ..functions import emails, names, text, urls
 from ..operators import contacts as C
 from ..operators import identity as I
 from ..operators import links as L
@@ -26,14 +26,21 @@ SUB_PAGES = 3  # pages whose signals are added to the home page's
 MAPS, MAP_CHILDREN = 2, 3  # sitemaps of a site that are read, and maps taken from an index
 
 
+@dataclass
+class Found:
+    contacts: DataFrame
+    review: DataFrame
+
+
 @dataclass
 class Scan:
-    """verdicts: a row a school (website, source, identity); extraction: pages, contacts, review, per-school counts; targets: pages for the browser; errors: candidates and pages that failed."""
+    """verdicts: a row a school (website, source, identity); extraction: pages, contacts, review, per-school counts; targets: pages for the browser; errors: candidates and pages that failed; found: all observations."""
 
     verdicts: DataFrame
     extraction: Extraction
     targets: DataFrame
     errors: DataFrame
+    found: Found
 
 
 def _usable(captures: DataFrame, robots: DataFrame | None) -> DataFrame:
@@ -102,7 +109,7 @@ def scan_sites(schools: DataFrame, captures: DataFrame, robots: DataFrame | None
     sites = verdicts.withColumn("_bare", urls.bare_host(F.col("website")))
     own = read.withColumn("_bare", urls.bare_host(F.col("url"))).join(sites.select("registry_id", "_bare", "website"), "_bare").drop("_bare")
     good = own.filter("error is null and not soft404")
-    links = L.admitted(L.outline_links(good.select("url", "links").distinct())).join(good.select(F.col("url").alias("page_url"), F.col("registry_id").alias("site")), "page_url")
+    links = checkpoint(L.admitted(L.outline_links(good.select("url", "links").distinct())).join(good.select(F.col("url").alias("page_url"), F.col("registry_id").alias("site")), "page_url"))
     listed = None
     if maps is not None:
         children = L.sitemap_children(maps, most=MAP_CHILDREN).withColumnRenamed("map", "url").join(maps.select("url", "xml"), "url")
@@ -127,19 +134,14 @@ def scan_sites(schools: DataFrame, captures: DataFrame, robots: DataFrame | None
     kept = winners(found.contacts, verdicts)
     lost = taken.filter("error is not null").select("registry_id", F.coalesce("url", "page").alias("url"), F.col("error").alias("code"))
     listing = taken.select("registry_id", F.coalesce("url", "page").alias("url"), "error", "content_hash")
-    return Scan(verdicts, Extraction(listing, kept, found.review, counts), targets, errors.unionByName(lost))
-
-
-@dataclass
-class Found:
-    contacts: DataFrame
-    review: DataFrame
+    return Scan(verdicts, Extraction(listing, kept, found.review, counts), targets, errors.unionByName(lost), found)
 
 
 def read_contacts(pages: DataFrame, captures: DataFrame, schools: DataFrame, given=P.GIVEN_NAMES) -> Found:
     """Contacts and review items of pages (registry_id, url, observed_at) that were captured; the school's own name is no person."""
     html = pages.select("url").distinct().join(captures.select("url", "html").dropDuplicates(["url"]), "url")
-    rows = H.contacts(html, given=given).join(pages, "url").join(schools.select("registry_id", F.col("name").alias("school_name")), "registry_id")
+    # read once: contacts, conflicts and review all come from these rows
+    rows = checkpoint(H.contacts(html, given=given).join(pages, "url").join(schools.select("registry_id", F.col("name").alias("school_name")), "registry_id"))
     person = text.fold(F.concat_ws("|", "first_name", "last_name"))
     mine = rows.filter("kind = 'CONTACT'").filter(~names.within(F.concat_ws(" ", "first_name", "last_name"), F.col("school_name")))
     obs = mine.select(
@@ -169,3 +171,48 @@ def reparse(pages: DataFrame, captures: DataFrame, schools: DataFrame, given=P.G
     kept = winners(found.contacts, schools.select("registry_id", "website"))
     listing = met.select("registry_id", "url", F.when(F.col("_hit").isNull(), "SOURCE_CAPTURE_MISSING").alias("error"), "content_hash")
     return Extraction(listing, kept, found.review), notes
+
+
+def profile_contacts(profiles: DataFrame, given=P.GIVEN_NAMES) -> tuple[DataFrame, DataFrame]:
+    """(observations, review) of opened profile cards (H12, F9): registry_id, url and the columns of a profile capture.
+
+    A card counts if it was opened and shows a name and exactly one well-formed
+    address; others go to review with the reason.
+    """
+    o = F.col("o")
+    rows = profiles.select("registry_id", "url", F.explode("observations").alias("o")).withColumn("name", names.split_name(o["publishedName"], given))
+    mails = F.coalesce(o["publishedEmails"], F.array().cast("array<string>"))
+    one = (F.size(mails) == 1) & emails.valid(F.get(mails, F.lit(0)), "batch")
+    opened = F.coalesce(o["status"] == "OPENED", F.lit(False))
+    reason = F.when(~opened, F.coalesce(o["status"], F.lit("NOT_OPENED"))).when(F.col("name").isNull(), "NAME_NEEDS_REVIEW").when(F.size(mails) > 1, "MULTIPLE_EMAILS").when(~one, "NO_PUBLISHED_EMAIL")
+    judged = rows.withColumns({"reason": reason, "mail": F.lower(F.get(mails, F.lit(0)))})
+    lines = F.split(F.coalesce(o["text"], F.lit("")), "\n")
+    digest = text.sha256(F.coalesce(o["text"], F.lit("")))
+    obs = judged.filter("reason is null").select(
+        F.col("registry_id").alias("school"), "url", F.col("mail").alias("mailbox"), names.name_key(F.col("name")).alias("person"), F.col("url").alias("source"), F.nullif(text.squeeze(F.array_join(F.slice(lines, 3, 2), " ")), F.lit("")).alias("role"),
+        "name.first_name", "name.last_name", F.lit("BROWSER_PROFILE_CARD").alias("method"), F.to_date(F.substring(o["observedAt"], 1, 10)).alias("observed_at"), F.concat_ws("|", F.substring(o["observedAt"], 1, 10), "url", F.lit("BROWSER_PROFILE_CARD"), digest).alias("pos"),
+    )
+    review = judged.filter("reason is not null").select(F.col("registry_id").alias("school"), F.when(F.size(mails) == 1, F.col("mail")).alias("email"), "reason", "url")
+    return obs, review
+
+
+def with_browser(scan: Extraction, static: Found, verdicts: DataFrame, schools: DataFrame, rendered: DataFrame, profiles: DataFrame, given=P.GIVEN_NAMES) -> Extraction:
+    """A scan with what the browser saw: rendered pages (registry_id, url, html, observed_at) and profile captures (registry_id, url, ...).
+
+    Static observations go before those of rendered pages and of profile cards;
+    a mailbox that two of them give to different people is a conflict.
+    """
+    shown = read_contacts(rendered.select("registry_id", "url", "observed_at"), rendered, schools, given)
+    cards, bad = profile_contacts(profiles, given)
+    visible = shown.contacts.withColumn("method", F.lit("BROWSER_VISIBLE_DOM"))
+    ordered = [o.withColumn("pos", F.concat_ws("|", F.lit(str(n)), "pos")) for n, o in enumerate((static.contacts, visible, cards))]
+    obs = ordered[0].unionByName(ordered[1]).unionByName(ordered[2])
+    shared = C.conflicts(obs, C.KEY).select("school", F.col("mailbox").alias("email"), F.lit("SHARED_OR_CONFLICTING_PERSON").alias("reason"), F.lit("").alias("url"))
+    seen = F.transform("observations", lambda o: F.struct(o["idx"].alias("idx"), o["cardName"].alias("card_name"), o["publishedName"].alias("published_name"), o["status"].alias("status"), F.coalesce(o["publishedEmails"], F.array().cast("array<string>")).alias("emails")))
+    coverage = M.profile_coverage(profiles.select("registry_id", F.concat_ws("|", "registry_id", "url").alias("capture"), "expected", "names", F.coalesce("exhausted", F.lit(False)).alias("exhausted"), seen.alias("observations")).drop("registry_id"))
+    school = F.split_part("capture", F.lit("|"), F.lit(1)).alias("school")
+    cover = coverage.groupBy(school).agg(F.count(F.lit(1)).alias("profiles"), F.bool_and(F.col("status") == "PROFILES_CHECKED").alias("profiles_checked"), F.sum("expected_cards").alias("profile_cards"), F.sum("opened_cards").alias("opened_cards"))
+    browsers = rendered.groupBy(F.col("registry_id").alias("school")).agg(F.count(F.lit(1)).alias("browser_pages")).join(cover, "school", "full_outer")
+    browsers = browsers.select("school", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("profiles", "browser_pages", "profile_cards", "opened_cards")], F.coalesce("profiles_checked", F.lit(False)).alias("profiles_checked"))
+    review = scan.review.unionByName(shown.review).unionByName(bad).unionByName(shared).distinct()
+    return Extraction(scan.pages, winners(obs, verdicts), review, scan.counts, browsers)

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.__main__ import parser, run
 
@@ -38,7 +39,7 @@ def test_registry_to_contact_file_and_back(spark, root):
     assert spark.read.parquet(p("schools2")).filter("website_status = 'VERIFIED'").count() == 1  # the import keeps websites
 
     out = run(["batch-export", "--schools", p("resolved"), "--pages", p("pages"), "--robots", p("robots"), "--output", p("out")], spark)
-    assert (out["contact_rows"], out["unique_people"], out["schools_with_contacts"]) == (2, 2, 1)
+    assert (out["contact_rows"], out["unique_people_in_schools"], out["schools_with_contacts"]) == (2, 2, 1)
     assert out["statuses"] == {"PARTIAL_COVERAGE": 1, "WEB_UNRESOLVED": 1}
     lines = next((root / "out/contacts").glob("part-*")).read_text("utf-8-sig").splitlines()
     assert len(lines) == 3 and '"jan.novak@zs1.example.org"' in lines[2] and '"2026-02-01"' in lines[1]
@@ -221,3 +222,31 @@ def test_best_first_order_equals_a_queue(spark):
                     heapq.heappush(queue, (-w, t.rstrip("/")))
         assert [got.get((s, k)) for k in range(len(order))] == order
     assert len(crawl_order(home, links, budget=8, step=4).collect()) == 16
+
+
+def test_browser_runs_are_merged_into_the_export(spark, captured):
+    from ledgerloom.__main__ import LEDGER
+    from ledgerloom.plans import pipelines as J
+    from ledgerloom.plans import scan as S
+    from ledgerloom.sources import readers
+
+    p = lambda n: str(captured / n)
+    schools, day = spark.read.parquet(p("schools")), dt.date(2026, 2, 2)
+    scan = S.scan_sites(schools, spark.read.parquet(p("pages")), spark.read.parquet(p("robots")), spark.read.parquet(p("portal")))
+    url = "https://zs1.example.org/sbor"
+    rendered = spark.createDataFrame([("1", url, site("<ul><li>Mgr. Jan Novák jan@zs1.example.org</li><li>Petra Šimková petra@zs1.example.org</li><li>Eva Jiná eva@zs1.example.org</li></ul>"), day)], "registry_id string, url string, html string, observed_at date")
+    card = lambda n, name, mails, status="OPENED": (n, status, name, name, mails, f"x\n{name}\nučitel\nfyziky", "2026-02-02T10:00:00Z")
+    seen = [card(0, "Karel Malý", ["karel@zs1.example.org"]), card(1, "Dana Malá", []), card(2, "Neznámý Člověk", ["n@zs1.example.org"]), card(3, "Hana Bílá", ["a@x.cz", "b@x.cz"]), card(4, "Petr Bílý", ["p@x.cz"], "TIMEOUT")]
+    profiles = spark.createDataFrame([("1", url, 5, [s[2] for s in seen], False, seen)], "registry_id string, url string, " + readers.PROFILES)
+    merged = S.with_browser(scan.extraction, scan.found, scan.verdicts, schools, rendered, profiles)
+    people = {(r["mailbox"], r["last_name"], r["method"], r["role"]) for r in merged.contacts.filter("school = '1'").collect()}
+    assert people == {("jan@zs1.example.org", "Novák", "STATIC_TEXT", "učitel"), ("hana@zs1.example.org", "Horáková", "STATIC_TEXT", "ředitelka"), ("petra@zs1.example.org", "Šimková", "BROWSER_VISIBLE_DOM", None), ("karel@zs1.example.org", "Malý", "BROWSER_PROFILE_CARD", "učitel fyziky")}
+    reasons = {(r["email"], r["reason"]) for r in merged.review.collect()}
+    assert {("eva@zs1.example.org", "SHARED_OR_CONFLICTING_PERSON"), (None, "NO_PUBLISHED_EMAIL"), ("n@zs1.example.org", "NAME_NEEDS_REVIEW"), (None, "MULTIPLE_EMAILS"), ("p@x.cz", "TIMEOUT")} <= reasons
+    known = schools.drop("website", "website_status").join(scan.verdicts.select("registry_id", "website", F.lit("VERIFIED").alias("website_status")), "registry_id", "left")
+    result = J.batch_export(known, merged, spark.createDataFrame([], LEDGER))
+    (row,) = result.schools.filter("school = '1'").collect()
+    assert (row["contacts"], row["browser_pages"], row["profile_cards"], row["opened_cards"], row["status"]) == (4, 1, 5, 4, "PARTIAL_COVERAGE")
+    totals = result.summary.first()
+    assert (totals["contact_rows"], totals["schools_with_web"], totals["browser_pages"], totals["opened_profile_cards"]) == (5, 2, 1, 4)
+    assert totals["statuses"] == {"PARTIAL_COVERAGE": 1, "SOURCES_SCANNED_COMPLETENESS_UNCONFIRMED": 1, "WEB_UNRESOLVED": 2}
