@@ -49,7 +49,7 @@ def dictionary(rows: DataFrame, value: str, order: str) -> DataFrame:
     return ranked(firsts, [F.col("_p"), F.col(value)], "code").select(value, (F.col("code") - 1).alias("code"))
 
 
-#: The ways an address is made of a name, by their code; other local parts are kept as they are.
+#: The ways that a contact is found, by their code.
 METHODS = ("STATIC_MAILTO", "STATIC_TEXT", "BROWSER_VISIBLE_DOM", "BROWSER_PROFILE_CARD")
 
 
