@@ -113,7 +113,7 @@ def simhash_components(df: DataFrame, words: int = 3, budget: int = 3, id_col: s
 # --- near-duplicates by several bands and an exact check ----------------------
 
 BUDGET = 2
-LEAST_BITS, CROWDED_BITS = 24, 9
+LEAST_BITS, CROWDED_BITS = 24, 15
 COMPARED = 256  # keys that a key meets by chance in a band, about, at most
 MISSED = 0.001  # share of pairs at the least similarity that no band finds
 FIRST_BANDS = 8  # that the first search uses, which need not find all
