@@ -115,7 +115,7 @@ def simhash_components(df: DataFrame, words: int = 3, budget: int = 3, id_col: s
 BUDGET = 2
 LEAST_BITS, CROWDED_BITS = 24, 15
 COMPARED = 256  # keys that a key meets by chance in a band, about, at most
-MISSED = 0.001  # share of pairs at the least similarity that no band finds
+MISSED, CROWDED_MISSED = 0.001, 1e-5  # share of pairs at the least similarity that no band finds; fewer where bands are short
 FIRST_BANDS = 8  # that the first search uses, which need not find all
 CHECK_BITS, SIGMAS = 64, 4  # deviations from the mean that a pair at the least similarity may have in other bits
 FEW = 200_000  # rows of some 100 bytes that may be broadcast
@@ -130,12 +130,13 @@ class Plan:
     Sets of a Jaccard similarity s meet at an angle of acos(2s / (1 + s)) if they
     are equally large; each SimHash bit differs with that angle over pi. Keys have
     so many bits that chance meets stay bounded, and there are so many bands
-    that a pair at the least similarity is missed with a probability of MISSED.
+    that a pair at the least similarity is missed with a probability of ``missed``.
     """
 
     n: int
     similarity: float = 0.8
     least_bits: int = LEAST_BITS
+    missed: float = MISSED
 
     @property
     def odds(self) -> float:
@@ -156,7 +157,7 @@ class Plan:
 
     @property
     def bands(self) -> int:
-        return ceil(log(MISSED) / log(1 - self.found))
+        return ceil(log(self.missed) / log(1 - self.found))
 
     @property
     def words(self) -> int:
@@ -411,7 +412,7 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
         crowded = crossing.filter("u = v").select(F.col("u").alias("node"))
     crowded = checkpoint(crowded)
     wide = _bodies_of(crowded, nodes, bodies, "bits", (words, lambda s: np.packbits(sketch(s, WIDE_WORDS), bitorder="little").view(np.int64)))
-    among = crowded_links(grouped.select("node", "root").join(wide, "node"), Plan(crowded.count(), similarity, CROWDED_BITS), large, most)
+    among = crowded_links(grouped.select("node", "root").join(wide, "node"), Plan(crowded.count(), similarity, CROWDED_BITS, CROWDED_MISSED), large, most)
     # what the tries listed of pairs of two crowded nodes, crowded_links lists too
     others = crossing.filter("u < v")
     for end in ("u", "v"):
