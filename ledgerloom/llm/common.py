@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import tempfile
@@ -55,6 +56,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def lean_checkpoint(df: DataFrame) -> DataFrame:
+    """A checkpoint for steps of many rounds: what no step refers to any more is deleted first.
+
+    Spark deletes shuffle files and old checkpoints only as the driver collects
+    its garbage, which a driver with little to do may put off to the end.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return checkpoint(df)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not have yet."""
     taken = {c.lower() for c in df.columns}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from .common import checkpoint, fresh, prepare, row_key, texts
+from .common import fresh, lean_checkpoint, prepare, row_key, texts
 from .components import connected_components
 from .trie import MOST, Keys, same_run, spanning_links, trie_join, trie_links
 
@@ -100,8 +100,8 @@ def simhash_components(df: DataFrame, words: int = 3, budget: int = 3, id_col: s
     linked like any other. Repeated rows stay, empty tables give no rows,
     other columns are ignored.
     """
-    docs = checkpoint(simhash(df, words, id_col, text_col))
-    least = checkpoint(docs.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    docs = lean_checkpoint(simhash(df, words, id_col, text_col))
+    least = lean_checkpoint(docs.groupBy("fp").agg(F.min("doc_id").alias("low")))
     roots = connected_components(fingerprint_links(least, "fp", 64, budget)).withColumnRenamed("node", "fp")
     rooted = least.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -282,7 +282,7 @@ def crossing_links(nodes: DataFrame, plan: Plan, bands: range, large_roots: list
 
     columns = {"root": "i8", "check": "u8", "node": "i8", "crowded": "?"}
     found = trie_join(nodes, Keys(plan.bits, BUDGET, len(bands)), _unpacker(plan, bands), work, "u long, v long", columns, plan.n, large_roots, most=most)
-    return checkpoint(found.distinct())
+    return lean_checkpoint(found.distinct())
 
 
 def crowded_links(nodes: DataFrame, plan: Plan, large_roots: list[int], most: int | None = None) -> DataFrame:
@@ -322,7 +322,7 @@ def _bodies_of(some: DataFrame, nodes: DataFrame, bodies: DataFrame, out: str, o
     meet the texts by a shuffled join.
     """
     words, name = of
-    wanted = checkpoint(some.select("node").distinct().join(nodes.select("node", "_key"), "node"))
+    wanted = lean_checkpoint(some.select("node").distinct().join(nodes.select("node", "_key"), "node"))
     if wanted.count() <= FEW:
         wanted = F.broadcast(wanted)
 
@@ -334,7 +334,7 @@ def _bodies_of(some: DataFrame, nodes: DataFrame, bodies: DataFrame, out: str, o
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", out])
 
     read = bodies.join(wanted, "_key").dropDuplicates(["node"]).select("node", "_text")
-    return checkpoint(read.mapInArrow(run, f"node long, {out} array<long>"))
+    return lean_checkpoint(read.mapInArrow(run, f"node long, {out} array<long>"))
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, bodies: DataFrame, plan: Plan, words: int, sure: DataFrame | None = None) -> DataFrame:
@@ -347,7 +347,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, bodies: DataFrame, plan: Plan,
 
     differing = F.aggregate(F.zip_with("_u", "_v", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
     close = ends(pairs, nodes, "bits").filter(differing <= plan.most_apart(64 * plan.words)).select("u", "v")
-    close = checkpoint(close if sure is None else close.unionByName(sure))
+    close = lean_checkpoint(close if sure is None else close.unionByName(sure))
     sets = _bodies_of(close.select(F.explode(F.array("u", "v")).alias("node")), nodes, bodies, "shingles", (words, lambda s: s.view(np.int64)))
     met = ends(close, sets, "shingles").withColumn("_both", F.size(F.array_intersect("_u", "_v")))
     return met.filter(F.col("_both") / (F.size("_u") + F.size("_v") - F.col("_both")) >= plan.similarity).select("u", "v")
@@ -393,11 +393,11 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
     nodes = read.groupBy("_set").agg(best, F.first("bits").alias("bits"))
     # numbers are stored with the nodes; they only name them
     key_of = lambda r: row_key(r["_id"], r["_digest"], r["_rest"])
-    nodes = checkpoint(nodes.select(F.monotonically_increasing_id().alias("node"), "best", key_of(F.col("best")).alias("_key"), "bits"))
+    nodes = lean_checkpoint(nodes.select(F.monotonically_increasing_id().alias("node"), "best", key_of(F.col("best")).alias("_key"), "bits"))
     bodies = rows.select(row_key(F.col("_id"), F.col("_digest"), F.col("_rest")).alias("_key"), "_text")
 
-    first = connected_components(_verified(checkpoint(close_links(nodes.select("node", "bits"), plan, most)), nodes, bodies, plan, words))
-    grouped = checkpoint(nodes.select("node", "bits").join(first, "node", "left").select("node", "bits", F.coalesce("root", "node").alias("root")))
+    first = connected_components(_verified(lean_checkpoint(close_links(nodes.select("node", "bits"), plan, most)), nodes, bodies, plan, words))
+    grouped = lean_checkpoint(nodes.select("node", "bits").join(first, "node", "left").select("node", "bits", F.coalesce("root", "node").alias("root")))
 
     # roots that may fill a task on their own: few, as each holds so many nodes
     large = first.groupBy("root").count().filter(F.col("count") > (most or MOST // 64) // 8).select("root").collect()
@@ -410,7 +410,7 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
         marked = grouped.join(crowded.withColumn("crowded", F.lit(True)), "node", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
         crossing = crossing.unionByName(crossing_links(marked, plan, range(start, plan.bands), large, most)).distinct()
         crowded = crossing.filter("u = v").select(F.col("u").alias("node"))
-    crowded = checkpoint(crowded)
+    crowded = lean_checkpoint(crowded)
     wide = _bodies_of(crowded, nodes, bodies, "bits", (words, lambda s: np.packbits(sketch(s, WIDE_WORDS), bitorder="little").view(np.int64)))
     among = crowded_links(grouped.select("node", "root").join(wide, "node"), Plan(crowded.count(), similarity, CROWDED_BITS, CROWDED_MISSED), large, most)
     # what the tries listed of pairs of two crowded nodes, crowded_links lists too
@@ -418,7 +418,7 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, similarity: float = 0.8,
     for end in ("u", "v"):
         others = others.join(crowded.select(F.col("node").alias(end), F.lit(1).alias(f"_{end}")), end, "left")
     others = others.filter("_u is null or _v is null").select("u", "v")
-    second = _verified(checkpoint(others), nodes, bodies, plan, words, among)
+    second = _verified(lean_checkpoint(others), nodes, bodies, plan, words, among)
     roots = connected_components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(second))
 
     rooted = nodes.select("node", "best").join(roots, "node", "left").select("best", F.coalesce("root", "node").alias("root"))

@@ -3,6 +3,8 @@
 import hashlib
 import io
 import os
+import re
+import time
 import wave
 import zlib
 from collections import Counter
@@ -297,6 +299,58 @@ def test_hubs_are_broadcast_and_change_nothing(spark):
     assert "BroadcastHashJoin" in plan
 
 
+def tasks_of(spark, name, job):
+    """The number of tasks that job() runs, with 64 shuffle partitions that are not merged."""
+    sc, held = spark.sparkContext, {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup(name, name)
+        out = job()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for j in sc.statusTracker().getJobIdsForGroup(name) for s in sc.statusTracker().getJobInfo(j).stageIds}
+    return out, sum(i.numCompletedTasks for s in stages if (i := sc.statusTracker().getStageInfo(s)))
+
+
+def test_few_links_take_few_tasks(spark):
+    links = [(k, k + 1) for k in range(1000)] + [(5000, 5000 + k) for k in range(1, 60)]
+    frame = spark.createDataFrame(links, "u long, v long").repartition(64, "u")
+    got, tasks = tasks_of(spark, "few links", lambda: {r["node"]: r["root"] for r in components.connected_components(frame).collect()})
+    assert got == {k: 0 for k in range(1001)} | {k: 5000 for k in range(5000, 5060)}
+    assert 64 <= tasks <= 500  # each round of stars took some 1,000
+
+
+@pytest.mark.parametrize("most", [1, 7, 100])
+def test_components_do_not_depend_on_how_many_links_a_task_contracts(spark, monkeypatch, most):
+    monkeypatch.setattr(components, "LINKS", most)
+    rng = np.random.default_rng(most)
+    order = rng.permutation(60).tolist()
+    links = [*zip(order, order[1:], strict=False), *[(100, k) for k in range(101, 160)], *rng.integers(200, 500, (150, 2)).tolist()]
+    links += [(b, a) for a, b in links[::3]] + [(70, 70)]
+    want = brute_components(range(500), links)
+    got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame([*links, (None, 1)], "u long, v long").repartition(6)).collect()}
+    assert got == {x: want[x] for e in links if e[0] != e[1] for x in e}
+
+
+def test_shuffle_files_of_past_rounds_are_deleted(spark, monkeypatch):
+    monkeypatch.setattr(components, "LINKS", 1)
+    ids = lambda: {int(x) for x in re.findall(r"shuffle_(\d+)_", spark._jsparkSession.sparkContext().env().blockManager().diskBlockManager().getAllBlocks().mkString(" "))}
+    spark.range(10).repartition(3, "id").collect()
+    start = max(ids())
+    got = components.connected_components(spark.createDataFrame([(k, k + 1) for k in range(40)], "u long, v long"))
+    spark.range(10).repartition(3, "id").collect()
+    made, left = max(ids()) - start, 0
+    for _ in range(20):  # deleted by a thread of Spark's own
+        if (left := len([x for x in ids() if x > start])) <= made // 2:
+            break
+        time.sleep(0.5)
+    assert got.filter("root = 0").count() == 41 and made > 20 and left <= made // 2
+
+
 def test_simhash_of_odd_rows(spark, odd):
     rows = simhash.simhash_components(odd).toPandas()
     zero = rows[rows.fingerprint == "0" * 16]
