@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def fold(c: Column) -> Column:
     return F.lower(F.translate(F.regexp_replace(c, "[\\u0300-\\u036f]", ""), P.FOLD_FROM, P.FOLD_TO))
 
 
+def folded(s: str) -> str:
+    """P14 of a constant."""
+    return re.sub("[\u0300-\u036f]", "", s).translate(str.maketrans(P.FOLD_FROM, P.FOLD_TO)).lower()
+
+
 def slug(c: Column) -> Column:
     """Folded, other characters as single hyphens."""
     return F.regexp_replace(F.regexp_replace(fold(c), "[^a-z0-9]+", "-"), "^-+|-+$", "")

@@ -20,12 +20,19 @@ class Fixture:
         return f"SELECT {', '.join(self.exprs)} FROM {self.table}" if self.table else f"SELECT * FROM (VALUES {self.values}) AS t({', '.join(self.exprs)})"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, or a fixture."""
+def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table, or a fixture. spread: its rows are dealt over all cores.
+
+    A table of narrow rows is few splits, often one, however much is made of each
+    row; spread deals the driver's rows, before a fixture widens them.
+    """
     f = FIXTURES.get(name)
-    if f is None:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spark.read.parquet(f"{sf_dir}/{f.table}.parquet").selectExpr(*f.exprs) if f.table else spark.sql(f.sql)
+    if f and not f.table:
+        return spark.sql(f.sql)
+    rows = spark.read.parquet(f"{sf_dir}/{f.table if f else name}.parquet")
+    if spread:
+        rows = rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return rows.selectExpr(*f.exprs) if f else rows
 
 
 #: Robots rules over the paths of the driver's pages.
