@@ -29,7 +29,7 @@ def test_pages_captured_twice_and_references_cut_off_equal_the_sql(spark, tmp_pa
     spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
     with duckdb.connect() as duck:
         duck.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
-        for name in ("link_admission",):
+        for name in ("link_admission", "page_outline"):
             got = catalogue.queries()[name](spark, str(tmp_path))
             want = duck.sql(catalogue.oracle_sql()[name])
             assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall()), name
