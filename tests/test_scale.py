@@ -1,5 +1,7 @@
 """What queries do over larger tables: rows are dealt over all cores, plans stay small, repeated rows stay."""
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -10,9 +12,14 @@ from ledgerloom.plans import catalogue
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["names_in_text"])
+DEALT = "names_in_text udtf_extract_page pair_people udtf_email_occurrences page_links browser_targets page_flags udtf_profile_inventory portal_lookup".split()
+
+
+@pytest.mark.parametrize("name", DEALT)
 def test_rows_of_a_narrow_table_are_dealt_over_all_cores(spark, name):
-    assert catalogue.queries()[name](spark, SF).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    plan = catalogue.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"RoundRobinPartitioning\((\d+)\), REPARTITION_BY_NUM", plan)
+    assert dealt and int(dealt[0]) >= 4 * spark.sparkContext.defaultParallelism
 
 
 def test_names_of_a_text_are_computed_once(spark):
