@@ -8,26 +8,31 @@ from pyspark.sql import functions as F
 from .. import policy as P
 from ..functions import registry
 from ..functions.text import fold, html_text
+from ..functions.urls import let
 
 
 def classic_signals(html: Column, ico: Column, red_izo: Column, mails: Column, street: Column, name: Column) -> Column:
     """struct(score, signals, status). VERIFIED from 5 points with two strong signals."""
-    page, raw = html_text(html), fold(html)
-    has = lambda x: F.coalesce((x != "") & page.contains(x), F.lit(False))
-    mail = F.coalesce(F.exists(mails, lambda e: page.contains(fold(e)) | raw.contains(fold(e))), F.lit(False))
-    way = html_text(registry.street_name(street))
-    way_ok = F.coalesce((F.length(way) >= 4) & page.contains(way), F.lit(False))
-    numbers = F.split(page, "[^0-9]+")
-    number = F.coalesce(F.arrays_overlap(registry.house_numbers(street), numbers), F.lit(False))
-    hits = F.size(F.filter(registry.name_tokens(name), lambda t: page.contains(t)))
-    parts = (
-        (has(ico), 5, "ico"), (has(red_izo), 5, "redIzo"), (mail, 4, "registryEmail"), (way_ok, 2, "street"), (number, 1, "addressNumber"),
-        (F.coalesce(hits >= 2, F.lit(False)), 3, "schoolName"), (F.coalesce(hits == 1, F.lit(False)), 1, "schoolNamePartial"),
-    )
-    score = sum((F.when(ok, points).otherwise(0) for ok, points, _ in parts), F.lit(0)).cast("long")
-    signals = F.array_compact(F.array(*[F.when(ok, label) for ok, _, label in parts]))
-    strong = F.size(F.array_intersect(signals, F.array(*map(F.lit, ("ico", "redIzo", "registryEmail", "street", "schoolName")))))
-    return F.struct(score.alias("score"), signals.alias("signals"), F.when((score >= 5) & (strong >= 2), "VERIFIED").otherwise("UNKNOWN").alias("status"))
+    texts = F.struct(html_text(html).alias("page"), fold(html).alias("raw"), html_text(registry.street_name(street)).alias("way"))
+
+    def checks(t: Column) -> Column:
+        page, raw, way = t["page"], t["raw"], t["way"]
+        has = lambda x: F.coalesce((x != "") & page.contains(x), F.lit(False))
+        mail = F.coalesce(F.exists(mails, lambda e: let(fold(e), lambda m: page.contains(m) | raw.contains(m))), F.lit(False))
+        way_ok = F.coalesce((F.length(way) >= 4) & page.contains(way), F.lit(False))
+        number = F.coalesce(F.arrays_overlap(registry.house_numbers(street), F.split(page, "[^0-9]+")), F.lit(False))
+        hits = F.size(F.filter(registry.name_tokens(name), lambda w: page.contains(w)))
+        return let(hits, lambda n: F.array(has(ico), has(red_izo), mail, way_ok, number, F.coalesce(n >= 2, F.lit(False)), F.coalesce(n == 1, F.lit(False))))
+
+    parts = ((5, "ico"), (5, "redIzo"), (4, "registryEmail"), (2, "street"), (1, "addressNumber"), (3, "schoolName"), (1, "schoolNamePartial"))
+
+    def judged(ok: Column) -> Column:
+        score = sum((F.when(ok[k], points).otherwise(0) for k, (points, _) in enumerate(parts)), F.lit(0)).cast("long")
+        signals = F.array_compact(F.array(*[F.when(ok[k], label) for k, (_, label) in enumerate(parts)]))
+        strong = sum((F.when(ok[k], 1).otherwise(0) for k, (_, label) in enumerate(parts) if label in ("ico", "redIzo", "registryEmail", "street", "schoolName")), F.lit(0))
+        return F.struct(score.alias("score"), signals.alias("signals"), F.when((score >= 5) & (strong >= 2), "VERIFIED").otherwise("UNKNOWN").alias("status"))
+
+    return let(let(texts, checks), judged)
 
 
 def batch_signals(page_text: Column, page_mails: Column, ico: Column, red_izo: Column, mails: Column, street: Column, name: Column) -> Column:

@@ -238,7 +238,7 @@ def signal_sum(spark, sf):
 
 def _candidates(spark, sf):
     """Pages beside organisations: (k, html, organisation columns)."""
-    return read(spark, sf, "customer").selectExpr(
+    return read(spark, sf, "customer", spread=True).selectExpr(
         "c_custkey AS k", "concat('<p>IČO 70', c_custkey % 50, ' Dlouhá ', c_custkey % 40, ' info', c_custkey % 20, '@example.org Zvonice Alfa</p>') AS html",
         "concat('70', c_custkey % 70) AS ico", "cast(NULL AS STRING) AS red_izo", "array(concat('info', c_custkey % 30, '@example.org')) AS mails", "concat('Dlouhá ', c_custkey % 60) AS street", "CASE c_custkey % 3 WHEN 0 THEN 'Základní škola Zvonice Alfa' WHEN 1 THEN 'Škola Zvonice' ELSE 'Škola' END AS name",
     )

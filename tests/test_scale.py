@@ -12,7 +12,7 @@ from ledgerloom.plans import catalogue
 SF = "/root/testdata/sf0.001"
 
 
-DEALT = "names_in_text udtf_extract_page pair_people udtf_email_occurrences page_links browser_targets page_flags udtf_profile_inventory portal_lookup".split()
+DEALT = "names_in_text udtf_extract_page pair_people udtf_email_occurrences page_links browser_targets page_flags udtf_profile_inventory portal_lookup identity_score_classic identity_signals_batch".split()
 
 
 @pytest.mark.parametrize("name", DEALT)
