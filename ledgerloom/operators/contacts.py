@@ -42,11 +42,16 @@ def first_with_unions(obs: DataFrame, keys: list[str] | None = None) -> DataFram
     are put together, so a mailbox is gathered as its distinct values only.
     """
     keys = keys or ["mailbox"]
-    rest = [c for c in obs.columns if c not in keys]
-    kinds = obs.groupBy(*keys, "source", "role").agg(F.min("person").alias("_a"), F.max("person").alias("_b"), F.min_by(F.struct(*rest), "pos").alias("_w"), F.min("pos").alias("_p"))
-    ordered = lambda c: F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("_p", c))), lambda x: x[c]))
-    rows = kinds.groupBy(*keys).agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"), F.min_by("_w", "_p").alias("_w"), ordered("source").alias("sources"), F.array_compact(ordered("role")).alias("roles"))
-    return rows.filter("_a = _b").select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest], "sources", "roles")
+    rest = [c for c in obs.columns if c not in (*keys, "source", "role", "pos")]
+    # pos, source and role travel once: in the winner's struct or the sighting's, not beside it
+    first = F.min_by(F.struct("pos", *rest), "pos")
+    kinds = obs.groupBy(*keys, "source", "role").agg(F.min("person").alias("_a"), F.max("person").alias("_b"), first.alias("_w"))
+    all_ = F.sort_array(F.collect_list(F.struct("_w.pos", "source", "role"))).alias("_s")
+    rows = kinds.groupBy(*keys).agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"), F.min_by(F.struct("_w", "source", "role"), "_w.pos").alias("_w"), all_).filter("_a = _b")
+    ordered = lambda c: F.array_distinct(F.transform("_s", lambda x: x[c]))
+    columns = {"source": "_w.source", "role": "_w.role"}
+    won = [F.col(columns.get(c, f"_w._w.{c}")).alias(c) for c in obs.columns if c not in keys]
+    return rows.select(*keys, *won, ordered("source").alias("sources"), F.array_compact(ordered("role")).alias("roles"))
 
 
 def unique_occurrences(rows: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ once AS (SELECT mailbox FROM fx_obs GROUP BY mailbox HAVING count(DISTINCT perso
     _UNION,
 )
 def dedupe_first_union(spark, sf):
-    rows = C.first_with_unions(read(spark, sf, "fx_obs"))
+    rows = C.first_with_unions(read(spark, sf, "fx_obs").select("mailbox", "person", "source", "role", "pos"))
     return rows.select("mailbox", "person", F.array_join("sources", " ").alias("sources"), F.array_join("roles", "; ").alias("roles"))
 
 

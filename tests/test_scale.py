@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import names as N
+from ledgerloom.operators import contacts as C
 from ledgerloom.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -40,3 +41,12 @@ def test_pages_captured_twice_and_references_cut_off_equal_the_sql(spark, tmp_pa
             got = catalogue.queries()[name](spark, str(tmp_path))
             want = duck.sql(catalogue.oracle_sql()[name])
             assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall()), name
+
+
+def test_unions_shuffle_each_column_once(spark):
+    plan = catalogue.queries()["dedupe_first_union"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_shipdate" in plan and "observed_at" not in plan and "confidence" not in plan
+    columns = "mailbox string, person int, source string, role string, pos int, school int"
+    rows = spark.createDataFrame([("a", 1, "y", "r", 2, 7), ("a", 1, "x", None, 1, 8), ("a", 1, "y", "s", 3, 9), ("b", 1, "x", "r", 1, 7), ("b", 2, "x", "r", 2, 7)], columns)
+    (got,) = C.first_with_unions(rows).collect()
+    assert got.asDict() == {"mailbox": "a", "person": 1, "source": "x", "role": None, "pos": 1, "school": 8, "sources": ["x", "y"], "roles": ["r", "s"]}
