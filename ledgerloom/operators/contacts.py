@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import policy as P
 from ..functions import emails, names, text, urls
+from ..sources.session import tasks
 from .delivery import small
 
 KEY = ["school", "mailbox"]
@@ -54,6 +55,19 @@ def first_with_unions(obs: DataFrame, keys: list[str] | None = None) -> DataFram
     return rows.select(*keys, *won, ordered("source").alias("sources"), F.array_compact(ordered("role")).alias("roles"))
 
 
+def sightings(obs: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """rows_seen of each mailbox, evidence (distinct source and kind, neither null) and duplicates, the rest.
+
+    Nearly all rows differ, so combining them before they are dealt would keep a
+    whole split in one task's memory; they are dealt by what is counted, which
+    also keeps a mailbox of many sightings from one task.
+    """
+    keys = keys or ["mailbox"]
+    kinds = obs.select(*keys, "source", "kind").repartition(tasks(obs.sparkSession), *keys, "source", "kind").groupBy(*keys, "source", "kind").agg(F.count(F.lit(1)).alias("_n"))
+    rows = kinds.groupBy(*keys).agg(F.sum("_n").alias("rows_seen"), F.count_if(F.col("source").isNotNull() & F.col("kind").isNotNull()).alias("evidence"))
+    return rows.withColumn("duplicates", F.col("rows_seen") - F.col("evidence"))
+
+
 def unique_occurrences(rows: DataFrame) -> DataFrame:
     """One row for each (e-mail, lower-cased context), a mail link first, then the earliest."""
     rest = [c for c in rows.columns if c != "email"]

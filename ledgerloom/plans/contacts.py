@@ -49,8 +49,7 @@ def occurrence_dedupe(spark, sf):
 @query("SELECT mailbox, count(*) AS rows_seen, count(DISTINCT (source, kind)) AS evidence, count(*) - count(DISTINCT (source, kind)) AS duplicates FROM fx_obs GROUP BY mailbox", "fx_obs")
 def duplicate_observations(spark, sf):
     """W8, W9."""
-    seen = F.count_distinct("source", "kind")
-    return read(spark, sf, "fx_obs").groupBy("mailbox").agg(F.count(F.lit(1)).alias("rows_seen"), seen.alias("evidence"), (F.count(F.lit(1)) - seen).alias("duplicates"))
+    return C.sightings(read(spark, sf, "fx_obs"))
 
 
 @query("SELECT school, mailbox, min(observed_at) AS first_seen, max(observed_at) AS last_seen, count(*) AS sightings, array_to_string(list_sort(list(DISTINCT source)), ' ') AS sources FROM fx_obs GROUP BY 1, 2", "fx_obs")

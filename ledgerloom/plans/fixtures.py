@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.session import tasks
+
 
 @dataclass(frozen=True)
 class Fixture:
@@ -31,7 +33,7 @@ def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> D
         return spark.sql(f.sql)
     rows = spark.read.parquet(f"{sf_dir}/{f.table if f else name}.parquet")
     if spread:
-        rows = rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        rows = rows.repartition(tasks(spark))
     return rows.selectExpr(*f.exprs) if f else rows
 
 

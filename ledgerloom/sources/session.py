@@ -44,6 +44,11 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
     return spark
 
 
+def tasks(spark: SparkSession) -> int:
+    """How many tasks rows are dealt to where Spark would choose few: four for each core, spark.sql.shuffle.partitions at least."""
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; where it is unset a local master (tests) takes a temporary one, any other is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

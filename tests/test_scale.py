@@ -50,3 +50,11 @@ def test_unions_shuffle_each_column_once(spark):
     rows = spark.createDataFrame([("a", 1, "y", "r", 2, 7), ("a", 1, "x", None, 1, 8), ("a", 1, "y", "s", 3, 9), ("b", 1, "x", "r", 1, 7), ("b", 2, "x", "r", 2, 7)], columns)
     (got,) = C.first_with_unions(rows).collect()
     assert got.asDict() == {"mailbox": "a", "person": 1, "source": "x", "role": None, "pos": 1, "school": 8, "sources": ["x", "y"], "roles": ["r", "s"]}
+
+
+def test_sightings_are_dealt_by_what_is_counted(spark):
+    rows = spark.createDataFrame([("a", "x", "T"), ("a", "x", "T"), ("a", "y", "T"), ("a", None, "T"), ("b", "x", None)], "mailbox string, source string, kind string")
+    got = C.sightings(rows)
+    assert sorted(map(tuple, got.collect())) == [("a", 4, 2, 2), ("b", 1, 0, 1)]
+    assert "hashpartitioning(mailbox, source, kind" in re.sub(r"#\d+", "", got._jdf.queryExecution().executedPlan().toString())
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
